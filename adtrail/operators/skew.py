@@ -17,6 +17,8 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 CELL = "cell"
+# A group is hot from this many times an even share of the work.
+HOT_SHARES = 2
 BIDS, IMPRESSIONS, CLICKS = "s_bids", "s_impressions", "s_clicks"
 AXES = (BIDS, IMPRESSIONS, CLICKS)
 IMPRESSION_COPIES, CLICK_COPIES = "c_impressions", "c_clicks"
@@ -30,7 +32,7 @@ def find_hot_groups(
     tasks: int | None = None,
     split_bids_only: bool = False,
 ) -> DataFrame | None:
-    """Groups with more work than an even share of ``tasks``, with their splits.
+    """Groups with far more work than an even share of ``tasks``, with their splits.
 
     Runs one aggregation over the key columns. Fewer than ``tasks`` groups can
     exceed the share of one task, so at most ``tasks`` rows reach the driver
@@ -64,7 +66,7 @@ def find_hot_groups(
     hot = [
         (*[row[k] for k in keys], *splits)
         for row in largest
-        if row["work"] > share and all(row[k] is not None for k in keys)
+        if row["work"] > HOT_SHARES * share and all(row[k] is not None for k in keys)
         for splits in [grid(row["b"], row["i"], row["c"], row["work"] / share, split_bids_only)]
         if splits != (1, 1, 1, 1, 1)
     ]
