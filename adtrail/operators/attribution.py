@@ -30,19 +30,23 @@ def attribute_by_user(
     impressions: DataFrame,
     clicks: DataFrame,
     hot: DataFrame | None = None,
+    tasks: int | None = None,
 ) -> DataFrame:
     """All bid x impression x click combinations of a user, flat; batch only.
 
     Both joins use the bid's user: a click joins where there is an impression,
     so this equals joining on the impression's user, the first join's
     partitioning is used again and unmatched bids do not share one NULL key.
-    ``hot`` comes from ``skew.find_hot_groups`` on ``user_id``.
+    The bids, and so the joins, get a fixed number of tasks: adaptive execution
+    would merge tasks by their input, which says little about their output.
+    ``hot`` comes from ``find_hot_users``.
     """
+    tasks = tasks or int(bids.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     b = skew.spread(bids, hot, ["user_id"], skew.BIDS, BID_IDENTITY)
     i = skew.spread(impressions, hot, ["user_id"], skew.IMPRESSIONS, IMPRESSION_IDENTITY)
     c = skew.spread(clicks, hot, ["user_id"], skew.CLICKS, CLICK_IDENTITY)
     keys = ["user_id"] if hot is None else ["user_id", skew.CELL]
-    b, i, c = _named(b, i, c)
+    b, i, c = _named(b.repartition(tasks, *keys), i, c)
     no_impression = F.col("ad_impressions.user_id").isNull()
     joined = b.join(i, _equal("bid_requests", "ad_impressions", keys), "left").join(
         c, _equal("bid_requests", "clicks_conversions", keys) & ~no_impression, "left"
