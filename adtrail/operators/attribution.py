@@ -82,6 +82,7 @@ def attribute_by_interval(
     i = in_buckets(impressions, width, micros(impression_window))
     c = in_buckets(clicks, width, micros(reach))
     hot_on = list(hot_keys)
+    hot = None if hot is None else skew.bids_only(hot, hot_on)
     b = skew.spread(b, hot, hot_on, skew.BIDS, BID_IDENTITY)
     i = skew.spread(i, hot, hot_on, skew.IMPRESSIONS, IMPRESSION_IDENTITY)
     c = skew.spread(c, hot, hot_on, skew.CLICKS, CLICK_IDENTITY)
@@ -156,6 +157,15 @@ def find_hot_intervals(
     )
 
 
+def find_hot_stream_users(
+    bids: DataFrame, impressions: DataFrame, clicks: DataFrame, tasks: int | None = None
+) -> DataFrame | None:
+    """Hot users for attribution on streams, from tables of earlier events."""
+    return skew.find_hot_groups(
+        bids, impressions, clicks, ["user_id"], tasks, split_bids_only=True
+    )
+
+
 def nested(flat: DataFrame, reference_user_id: bool = False) -> DataFrame:
     """The attribution record: the user and one struct per source.
 

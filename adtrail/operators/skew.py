@@ -97,6 +97,12 @@ def grid(
     return s_bids, s_imps, s_clicks, s_imps, s_clicks if ni > 0 else 1
 
 
+def bids_only(hot: DataFrame, keys: list[str]) -> DataFrame:
+    """The same groups with only their bids split."""
+    whole = (IMPRESSIONS, CLICKS, IMPRESSION_COPIES, CLICK_COPIES)
+    return hot.select(*keys, BIDS, *[F.lit(1).alias(name) for name in whole])
+
+
 def _pieces(rows: float, piece: float, most: float) -> int:
     return max(1, math.ceil(min(rows / max(piece, 1.0), rows, most)))
 

@@ -95,9 +95,16 @@ def append_stream(
     tables: Tables,
     table: str,
     partition_by: str | None = EVENT_DATE,
-    once: bool = True,
-    every: str = "1 minute",
-    partitions: int | None = None,
+    files_per_date: int | None = None,
+    **run,
 ) -> StreamingQuery:
-    """Start appending a stream to a table and return the running query."""
-    return start(stream_writer(df, tables, table, partition_by), df, once, every, partitions)
+    """Start appending a stream to a table and return the running query.
+
+    A task writes one file per date it sees. A backfill over many dates can
+    leave too many: with ``files_per_date`` a date is gathered into that many
+    tasks first. ``run`` is passed to ``start``.
+    """
+    if partition_by is not None and files_per_date is not None:
+        piece = F.pmod(F.xxhash64(*[c for c, t in df.dtypes if t == "string"]), F.lit(files_per_date))
+        df = df.repartition(F.col(partition_by), piece)
+    return start(stream_writer(df, tables, table, partition_by), df, **run)

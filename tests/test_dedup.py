@@ -1,0 +1,92 @@
+from __future__ import annotations
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+from adtrail.operators import dedup
+from adtrail.plans.ingest import ingest
+from adtrail.registry import IMPRESSIONS
+from adtrail.streaming.dedup import collapse_copies
+
+ROWS = [
+    ("u1", "t1", "a", 3),
+    ("u1", "t1", "a", 1),
+    ("u1", "t1", "b", 2),
+    ("u1", None, "c", 4),
+    ("u1", None, "d", 5),
+    ("u2", "t1", "e", 6),
+]
+SCHEMA = "user_id string, timestamp string, website string, offset int"
+KEYS = ["user_id", "timestamp"]
+
+
+def test_one_row_per_key_and_null_equals_null(spark):
+    kept = dedup.drop_copies(spark.createDataFrame(ROWS, SCHEMA), KEYS).collect()
+    assert sorted((r.user_id, str(r.timestamp)) for r in kept) == [
+        ("u1", "None"),
+        ("u1", "t1"),
+        ("u2", "t1"),
+    ]
+
+
+def test_first_row_is_kept(spark):
+    df = spark.createDataFrame(ROWS, SCHEMA).repartition(4)
+    kept = dedup.keep_first(df, KEYS, ["offset"])
+    assert kept.columns == df.columns
+    assert sorted((r.website, r.offset) for r in kept.collect()) == [("a", 1), ("c", 4), ("e", 6)]
+
+
+def test_both_forms_combine_before_the_shuffle(spark):
+    df = spark.createDataFrame(ROWS, SCHEMA)
+    for kept in (dedup.drop_copies(df, KEYS), dedup.keep_first(df, KEYS, ["offset"])):
+        plan = kept._jdf.queryExecution().executedPlan().toString()
+        below = plan[plan.index("Exchange") :]
+        assert "partial_" in below
+
+
+def test_ingest_keeps_the_earliest_message(log):
+    same = '{{"ad_creative_id":"{}","user_id":"u1","timestamp":"2024-05-31T12:00:00Z"}}'
+    both = log([same.format(n) for n in "234"], partition=1).unionByName(
+        log([same.format(n) for n in "56"], partition=0, first=7)
+    )
+    assert [r.ad_creative_id for r in ingest(both, IMPRESSIONS).valid.collect()] == ["5"]
+
+
+def test_raw_text_is_the_key(log):
+    payloads = [
+        '{"ad_creative_id":"1","user_id":"u1","timestamp":"2024-05-31T12:00:00Z"}',
+        '{"ad_creative_id":"1","user_id":"u1","timestamp":"2024-05-31T12:00:00+00:00"}',
+    ]
+    valid = ingest(log(payloads), IMPRESSIONS).valid.collect()
+    assert len(valid) == 2
+    assert len({r.event_time for r in valid}) == 1
+
+
+@settings(
+    max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
+)
+@given(
+    st.lists(
+        st.tuples(
+            st.sampled_from(["u1", "u2"]), st.sampled_from(["t1", "t2", None]), st.just("w"), st.integers(0, 99)
+        ),
+        min_size=1,
+        max_size=20,
+    )
+)
+def test_dedup_is_idempotent_and_unique(spark, rows):
+    df = spark.createDataFrame(rows, SCHEMA)
+    once = dedup.keep_first(df, KEYS, ["offset"])
+    keys = [(r.user_id, r.timestamp) for r in once.collect()]
+    assert sorted(keys, key=str) == sorted({(r[0], r[1]) for r in rows}, key=str)
+    assert sorted(map(str, dedup.keep_first(once, KEYS, ["offset"]).collect())) == sorted(
+        map(str, once.collect())
+    )
+
+
+def test_collapse_keeps_the_first_of_a_batch_and_all_columns(spark):
+    df = spark.createDataFrame(
+        [(*row, {"k": str(row[3])}) for row in ROWS], SCHEMA + ", m map<string,string>"
+    ).coalesce(1)
+    kept = collapse_copies(df, KEYS).collect()
+    assert [(r.offset, r.m) for r in kept] == [(3, {"k": "3"}), (4, {"k": "4"}), (6, {"k": "6"})]
