@@ -11,7 +11,11 @@ from pyspark.sql import functions as F
 from adtrail.functions.timing import interval, micros
 from adtrail.operators import skew
 
+USER = ["user_id"]
 BUCKET = "time_bucket"
+SLOTS = "slots"
+# Slots of all hot groups together that are broadcast: some 50 MB.
+MAX_SLOTS = 1_000_000
 
 # What tells the rows of one user apart, per source.
 BID_IDENTITY = ["auction_id", "timestamp"]
@@ -19,10 +23,42 @@ IMPRESSION_IDENTITY = ["ad_creative_id", "website", "timestamp"]
 CLICK_IDENTITY = ["campaign_id", "conversion_type", "timestamp"]
 
 
-def join_impressions(bids: DataFrame, impressions: DataFrame) -> DataFrame:
-    """Every bid with each impression of its user, or once with none."""
-    b, i = bids.alias("bid_requests"), impressions.alias("ad_impressions")
-    return b.join(i, F.col("bid_requests.user_id") == F.col("ad_impressions.user_id"), "left")
+def join_impressions(
+    bids: DataFrame,
+    impressions: DataFrame,
+    hot: DataFrame | None = None,
+    tasks: int | None = None,
+) -> DataFrame:
+    """Every bid with each impression of its user, or once with none; batch only.
+
+    ``hot`` comes from ``find_hot_users``.
+    """
+    return _first_join(bids, impressions, None if hot is None else skew.without_clicks(hot), tasks)
+
+
+def _first_join(
+    bids: DataFrame, impressions: DataFrame, hot: DataFrame | None, tasks: int | None
+) -> DataFrame:
+    """Bids with impressions, in the cells the join with clicks needs.
+
+    The bids, and so the joins, get a fixed number of tasks: adaptive execution
+    would merge tasks by their input, which says little about their output.
+    """
+    tasks = tasks or int(bids.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keys = USER
+    if hot is not None:
+        bids = skew.spread_bids(bids, hot, USER, BID_IDENTITY, F.col(skew.ANY_IMPRESSIONS))
+        impressions = skew.spread_impressions(
+            impressions, hot, USER, IMPRESSION_IDENTITY, F.col(skew.ANY_CLICKS)
+        )
+        keys = [*USER, skew.CELL]
+    b = _named(bids.repartition(tasks, *keys), "bid_requests")
+    i = _named(impressions, "ad_impressions")
+    joined = b.join(i, _equal("bid_requests", "ad_impressions", keys), "left")
+    if hot is not None:
+        found = F.col("ad_impressions.user_id").isNotNull()
+        joined = joined.filter(found | ~F.col(skew.HAS_IMPRESSION))
+    return joined
 
 
 def attribute_by_user(
@@ -37,23 +73,20 @@ def attribute_by_user(
     Both joins use the bid's user: a click joins where there is an impression,
     so this equals joining on the impression's user, the first join's
     partitioning is used again and unmatched bids do not share one NULL key.
-    The bids, and so the joins, get a fixed number of tasks: adaptive execution
-    would merge tasks by their input, which says little about their output.
-    ``hot`` comes from ``find_hot_users``.
     """
-    tasks = tasks or int(bids.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    b = skew.spread(bids, hot, ["user_id"], skew.BIDS, BID_IDENTITY)
-    i = skew.spread(impressions, hot, ["user_id"], skew.IMPRESSIONS, IMPRESSION_IDENTITY)
-    c = skew.spread(clicks, hot, ["user_id"], skew.CLICKS, CLICK_IDENTITY)
-    keys = ["user_id"] if hot is None else ["user_id", skew.CELL]
-    b, i, c = _named(b.repartition(tasks, *keys), i, c)
-    no_impression = F.col("ad_impressions.user_id").isNull()
-    joined = b.join(i, _equal("bid_requests", "ad_impressions", keys), "left").join(
-        c, _equal("bid_requests", "clicks_conversions", keys) & ~no_impression, "left"
+    keys = USER
+    if hot is not None:
+        clicks = skew.spread_clicks(clicks, hot, USER, CLICK_IDENTITY)
+        keys = [*USER, skew.CELL]
+    shown = F.col("ad_impressions.user_id").isNotNull()
+    joined = _first_join(bids, impressions, hot, tasks).join(
+        _named(clicks, "clicks_conversions"),
+        _equal("bid_requests", "clicks_conversions", keys) & shown,
+        "left",
     )
     if hot is not None:
-        no_click = F.col("clicks_conversions.user_id").isNull()
-        joined = joined.filter(~skew.spurious(no_impression, no_click))
+        found = F.col("clicks_conversions.user_id").isNotNull()
+        joined = joined.filter(found | ~shown | ~F.col(skew.HAS_CLICK))
     return _flat(joined)
 
 
@@ -64,7 +97,6 @@ def attribute_by_interval(
     impression_window: timedelta,
     click_window: timedelta,
     hot: DataFrame | None = None,
-    hot_keys: tuple[str, ...] = ("user_id", BUCKET),
     bucket_factor: int = 4,
 ) -> DataFrame:
     """Impressions within a window after the bid, clicks within one after the impression.
@@ -75,29 +107,35 @@ def attribute_by_interval(
     click near the start of a bucket is also placed in the bucket before. A
     user's rows are then compared within a bucket and not over all time, and a
     busy user is spread over buckets.
+
+    ``hot`` comes from ``find_hot_intervals``, on streams from
+    ``find_hot_users`` over tables of earlier events.
     """
     reach = impression_window + click_window
     width = bucket_factor * micros(reach)
     b = in_bucket(bids, width)
     i = in_buckets(impressions, width, micros(impression_window))
     c = in_buckets(clicks, width, micros(reach))
-    hot_on = list(hot_keys)
-    hot = None if hot is None else skew.bids_only(hot, hot_on)
-    b = skew.spread(b, hot, hot_on, skew.BIDS, BID_IDENTITY)
-    i = skew.spread(i, hot, hot_on, skew.IMPRESSIONS, IMPRESSION_IDENTITY)
-    c = skew.spread(c, hot, hot_on, skew.CLICKS, CLICK_IDENTITY)
-    keys = ["user_id", BUCKET] if hot is None else ["user_id", BUCKET, skew.CELL]
-    b, i, c = _named(b, i, c)
+    keys = [*USER, BUCKET]
+    if hot is not None:
+        b, i, c = _spread_interval(b, i, c, hot, impression_window, click_window, width)
+        keys = [*keys, skew.CELL]
+    b = _named(b, "bid_requests")
+    i = _named(i, "ad_impressions")
+    c = _named(c, "clicks_conversions")
 
     bid_time = F.col("bid_requests.event_time")
-    shown = F.col("ad_impressions.event_time")
+    shown_at = F.col("ad_impressions.event_time")
     first = b.join(
         i,
         _equal("bid_requests", "ad_impressions", keys)
-        & (shown >= bid_time)
-        & (shown <= bid_time + interval(impression_window)),
+        & (shown_at >= bid_time)
+        & (shown_at <= bid_time + interval(impression_window)),
         "left",
     )
+    if hot is not None:
+        found = F.col("ad_impressions.user_id").isNotNull()
+        first = first.filter(found | ~F.col(skew.HAS_IMPRESSION))
     # Streams allow one event-time column after a join. It has to be the bid's:
     # an unmatched bid has no impression time and would stay in state for ever.
     # The expression turns the impression's time into an ordinary column.
@@ -107,28 +145,36 @@ def attribute_by_interval(
         "ad_creative_id",
         "website",
         "ad_impressions_timestamp",
-        (shown + interval(timedelta(0))).alias("shown_at"),
+        (shown_at + interval(timedelta(0))).alias("shown_at"),
+        *([] if hot is None else [skew.HAS_CLICK]),
     ).alias("bid_requests")
-    clicked = F.col("clicks_conversions.event_time")
+    shown = F.col("impression_user_id").isNotNull()
+    clicked_at = F.col("clicks_conversions.event_time")
     joined = first.join(
         c,
         _equal("bid_requests", "clicks_conversions", keys)
-        & F.col("impression_user_id").isNotNull()
-        & (clicked >= F.col("shown_at"))
-        & (clicked <= F.col("shown_at") + interval(click_window))
+        & shown
+        & (clicked_at >= F.col("shown_at"))
+        & (clicked_at <= F.col("shown_at") + interval(click_window))
         # Implied by the above; streams need bounds on the bid's time to drop state.
-        & (clicked >= bid_time)
-        & (clicked <= bid_time + interval(reach)),
+        & (clicked_at >= bid_time)
+        & (clicked_at <= bid_time + interval(reach)),
         "left",
     )
+    if hot is not None:
+        found = F.col("clicks_conversions.user_id").isNotNull()
+        joined = joined.filter(found | ~shown | ~F.col(skew.HAS_CLICK))
     return _flat(joined, F.col("impression_user_id"))
 
 
 def find_hot_users(
-    bids: DataFrame, impressions: DataFrame, clicks: DataFrame, tasks: int | None = None
+    bids: DataFrame,
+    impressions: DataFrame,
+    clicks: DataFrame | None = None,
+    tasks: int | None = None,
 ) -> DataFrame | None:
-    """Hot users for ``attribute_by_user``."""
-    return skew.find_hot_groups(bids, impressions, clicks, ["user_id"], tasks)
+    """Hot users for ``attribute_by_user``, without clicks for ``join_impressions``."""
+    return skew.find_hot_groups(bids, impressions, clicks, USER, tasks)
 
 
 def find_hot_intervals(
@@ -140,29 +186,15 @@ def find_hot_intervals(
     bucket_factor: int = 4,
     tasks: int | None = None,
 ) -> DataFrame | None:
-    """Hot users per time bucket for ``attribute_by_interval``.
-
-    Only bids are split: whether a bid has an impression in its window is not
-    known from counts, so every cell of a bid must see all its impressions.
-    """
+    """Hot users per time bucket for ``attribute_by_interval``."""
     reach = impression_window + click_window
     width = bucket_factor * micros(reach)
     return skew.find_hot_groups(
         in_bucket(bids, width),
         in_buckets(impressions, width, micros(impression_window)),
         in_buckets(clicks, width, micros(reach)),
-        ["user_id", BUCKET],
+        [*USER, BUCKET],
         tasks,
-        split_bids_only=True,
-    )
-
-
-def find_hot_stream_users(
-    bids: DataFrame, impressions: DataFrame, clicks: DataFrame, tasks: int | None = None
-) -> DataFrame | None:
-    """Hot users for attribution on streams, from tables of earlier events."""
-    return skew.find_hot_groups(
-        bids, impressions, clicks, ["user_id"], tasks, split_bids_only=True
     )
 
 
@@ -208,19 +240,63 @@ def _bucket(width: int) -> Column:
     return F.expr(f"({time} - pmod({time}, {width}L)) div {width}L")
 
 
-def _named(
-    bids: DataFrame, impressions: DataFrame, clicks: DataFrame
+def _spread_interval(
+    bids: DataFrame,
+    impressions: DataFrame,
+    clicks: DataFrame,
+    hot: DataFrame,
+    impression_window: timedelta,
+    click_window: timedelta,
+    width: int,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
-    return tuple(
-        df.withColumnRenamed("timestamp", f"{name}_timestamp").alias(name)
-        for df, name in (
-            (bids, "bid_requests"),
-            (impressions, "ad_impressions"),
-            (clicks, "clicks_conversions"),
-        )
+    """The three sides with their cells.
+
+    Whether a bid has an impression in its window is read from the first and
+    last impression of each slot of its group. A slot is no longer than the
+    window, so one of the two is in the window if any of the slot is. Streams,
+    and windows so short that a bucket has very many slots, split bids only.
+    """
+    keys = [name for name in (*USER, BUCKET) if name in hot.columns]
+    slots = width // max(1, micros(min(impression_window, click_window)))
+    if bids.isStreaming or BUCKET not in keys or slots * hot.count() > MAX_SLOTS:
+        hot = hot_shown = hot_clicked = skew.bids_only(hot, keys)
+        has_impression, has_click = F.col(skew.ANY_IMPRESSIONS), F.col(skew.ANY_CLICKS)
+    else:
+        hot_shown = _with_slots(hot, keys, impressions, impression_window)
+        hot_clicked = _with_slots(hot, keys, clicks, click_window)
+        has_impression, has_click = _meets(impression_window), _meets(click_window)
+    return (
+        skew.spread_bids(bids, hot_shown, keys, BID_IDENTITY, has_impression),
+        skew.spread_impressions(impressions, hot_clicked, keys, IMPRESSION_IDENTITY, has_click),
+        skew.spread_clicks(clicks, hot, keys, CLICK_IDENTITY),
     )
 
 
+def _with_slots(
+    hot: DataFrame, keys: list[str], df: DataFrame, window: timedelta
+) -> DataFrame:
+    """Hot groups with the first and last time of ``df`` in each slot of the group."""
+    slots = (
+        df.join(F.broadcast(hot.select(*keys)), keys)
+        .groupBy(*keys, _bucket(micros(window)).alias("slot"))
+        .agg(F.min("event_time").alias("first"), F.max("event_time").alias("last"))
+        .groupBy(*keys)
+        .agg(F.collect_list(F.struct("first", "last")).alias(SLOTS))
+    )
+    return hot.join(slots, keys, "left")
+
+
+def _meets(window: timedelta) -> Column:
+    """Whether a slot holds a time within ``window`` after the row's."""
+    start = F.col("event_time")
+    end = start + interval(window)
+    return F.exists(SLOTS, lambda slot: (slot["last"] >= start) & (slot["first"] <= end))
+
+
+def _named(df: DataFrame, name: str) -> DataFrame:
+    return df.withColumnRenamed("timestamp", f"{name}_timestamp").alias(name)
+
+
 def _equal(left: str, right: str, keys: list[str]) -> Column:
     return reduce(
         lambda a, b: a & b, [F.col(f"{left}.{key}") == F.col(f"{right}.{key}") for key in keys]

@@ -1,11 +1,15 @@
-"""Splitting of hot groups in the three-way join.
+"""Splitting of hot groups in the attribution joins.
 
 A group (a user, or a user in one time bucket) with ``nb`` bids, ``ni``
 impressions and ``nc`` clicks is one join key and so one task. A hot group is
 cut into a grid of cells instead: bids are hashed along one axis, impressions
 along the second, clicks along the third, and each row is copied to the cells
 its own axis does not fix. Every bid x impression x click combination then
-meets in exactly one cell, so the join keeps its result and only its key grows.
+meets in exactly one cell.
+
+Left joins also keep rows without a partner. Such a row is put in one cell
+only; a row that has a partner in some cell is dropped from the cells where it
+found none. Which of the two a row is must be known before the join.
 """
 
 from __future__ import annotations
@@ -17,20 +21,21 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 CELL = "cell"
-# A group is hot from this many times an even share of the work.
-HOT_SHARES = 2
 BIDS, IMPRESSIONS, CLICKS = "s_bids", "s_impressions", "s_clicks"
 AXES = (BIDS, IMPRESSIONS, CLICKS)
-IMPRESSION_COPIES, CLICK_COPIES = "c_impressions", "c_clicks"
+ANY_IMPRESSIONS, ANY_CLICKS = "any_impressions", "any_clicks"
+HAS_IMPRESSION, HAS_CLICK = "has_impression", "has_click"
+
+# A group is hot from this many times an even share of the work.
+HOT_SHARES = 2
 
 
 def find_hot_groups(
     bids: DataFrame,
     impressions: DataFrame,
-    clicks: DataFrame,
+    clicks: DataFrame | None,
     keys: list[str],
     tasks: int | None = None,
-    split_bids_only: bool = False,
 ) -> DataFrame | None:
     """Groups with far more work than an even share of ``tasks``, with their splits.
 
@@ -43,6 +48,7 @@ def find_hot_groups(
     tagged = [
         df.select(*keys, *[F.lit(int(name == own)).alias(name) for name in "bic"])
         for own, df in zip("bic", (bids, impressions, clicks))
+        if df is not None
     ]
     counts = (
         reduce(DataFrame.unionByName, tagged)
@@ -52,10 +58,10 @@ def find_hot_groups(
     rows = F.col("b") + F.col("i") + F.col("c")
     combinations = F.col("b") * F.greatest("i", F.lit(1.0)) * F.greatest("c", F.lit(1.0))
     joined = F.when(F.col("i") == 0, F.col("b")).otherwise(combinations)
-    weighed = counts.withColumn("work", rows + joined)
     seen = Observation()
     largest = (
-        weighed.observe(seen, F.sum("work").alias("total"))
+        counts.withColumn("work", rows + joined)
+        .observe(seen, F.sum("work").alias("total"))
         .orderBy(F.desc("work"))
         .limit(tasks)
         .collect()
@@ -63,100 +69,109 @@ def find_hot_groups(
     if not largest:
         return None
     share = seen.get["total"] / tasks
-    hot = [
-        (*[row[k] for k in keys], *splits)
-        for row in largest
-        if row["work"] > HOT_SHARES * share and all(row[k] is not None for k in keys)
-        for splits in [grid(row["b"], row["i"], row["c"], row["work"] / share, split_bids_only)]
-        if splits != (1, 1, 1, 1, 1)
-    ]
+    hot = []
+    for row in largest:
+        if row["work"] <= HOT_SHARES * share or any(row[key] is None for key in keys):
+            continue
+        splits = grid(row["b"], row["i"], row["c"], row["work"] / share)
+        if splits != (1, 1, 1):
+            hot.append((*[row[key] for key in keys], *splits, row["i"] > 0, row["c"] > 0))
     if not hot:
         return None
-    key_types = [f"{k} {bids.schema[k].dataType.simpleString()}" for k in keys]
-    split_types = [f"{name} int" for name in (*AXES, IMPRESSION_COPIES, CLICK_COPIES)]
-    return spark.createDataFrame(hot, ", ".join(key_types + split_types))
+    columns = [f"{key} {bids.schema[key].dataType.simpleString()}" for key in keys]
+    columns += [f"{name} int" for name in AXES]
+    columns += [f"{name} boolean" for name in (ANY_IMPRESSIONS, ANY_CLICKS)]
+    return spark.createDataFrame(hot, ", ".join(columns))
 
 
-def grid(
-    nb: float, ni: float, nc: float, cells: float, split_bids_only: bool = False
-) -> tuple[int, int, int, int, int]:
-    """Splits per axis for about ``cells`` cells, with few copies of the rows.
+def grid(nb: float, ni: float, nc: float, cells: float) -> tuple[int, int, int]:
+    """Splits per axis for about ``cells`` cells.
 
-    Copies are fewest when all axes have pieces of equal size. The last two
-    numbers say over how many impression and click pieces a bid is copied: a
-    bid that finds no partner must be in one cell only.
+    Rows are copied least when the pieces of all axes are equally large.
     """
-    if split_bids_only:
-        return _pieces(nb, 1.0, cells), 1, 1, 1, 1
     sizes = [max(n, 1.0) for n in (nb, ni, nc)]
     s_bids = _pieces(nb, (sizes[0] * sizes[1] * sizes[2] / cells) ** (1 / 3), cells)
     cells /= s_bids
-    s_imps = _pieces(ni, math.sqrt(sizes[1] * sizes[2] / max(cells, 1.0)), cells)
-    cells /= s_imps
-    s_clicks = _pieces(nc, 1.0, cells)
-    return s_bids, s_imps, s_clicks, s_imps, s_clicks if ni > 0 else 1
+    s_impressions = _pieces(ni, math.sqrt(sizes[1] * sizes[2] / max(cells, 1.0)), cells)
+    cells /= s_impressions
+    return s_bids, s_impressions, _pieces(nc, 1.0, cells)
 
 
 def bids_only(hot: DataFrame, keys: list[str]) -> DataFrame:
-    """The same groups with only their bids split."""
-    whole = (IMPRESSIONS, CLICKS, IMPRESSION_COPIES, CLICK_COPIES)
-    return hot.select(*keys, BIDS, *[F.lit(1).alias(name) for name in whole])
+    """The same groups with only their bids split: needs to know of no partners."""
+    return hot.select(
+        *keys,
+        BIDS,
+        *[F.lit(1).alias(name) for name in (IMPRESSIONS, CLICKS)],
+        *[F.lit(False).alias(name) for name in (ANY_IMPRESSIONS, ANY_CLICKS)],
+    )
 
 
-def _pieces(rows: float, piece: float, most: float) -> int:
-    return max(1, math.ceil(min(rows / max(piece, 1.0), rows, most)))
+def without_clicks(hot: DataFrame) -> DataFrame:
+    """The same groups for a join of bids and impressions alone."""
+    return hot.withColumns({CLICKS: F.lit(1), ANY_CLICKS: F.lit(False)})
+
+
+def spread_bids(
+    bids: DataFrame, hot: DataFrame, keys: list[str], identity: list[str], partner: Column
+) -> DataFrame:
+    """Bids with their cells; ``partner`` says whether a bid of a hot group has an impression."""
+    copies = [F.col(BIDS), F.when(partner, F.col(IMPRESSIONS)), F.when(partner, F.col(CLICKS))]
+    return _spread(bids, hot, keys, identity, BIDS, copies, {HAS_IMPRESSION: partner})
 
 
-def spread(
-    df: DataFrame, hot: DataFrame | None, keys: list[str], axis: str, identity: list[str]
+def spread_impressions(
+    impressions: DataFrame, hot: DataFrame, keys: list[str], identity: list[str], partner: Column
 ) -> DataFrame:
-    """Add the cell of each row, copying rows of hot groups along the other axes.
+    """Impressions with their cells; ``partner`` as above for clicks."""
+    copies = [F.col(BIDS), F.col(IMPRESSIONS), F.when(partner, F.col(CLICKS))]
+    return _spread(impressions, hot, keys, identity, IMPRESSIONS, copies, {HAS_CLICK: partner})
+
+
+def spread_clicks(
+    clicks: DataFrame, hot: DataFrame, keys: list[str], identity: list[str]
+) -> DataFrame:
+    return _spread(clicks, hot, keys, identity, CLICKS, [F.col(name) for name in AXES], {})
+
+
+def _spread(
+    df: DataFrame,
+    hot: DataFrame,
+    keys: list[str],
+    identity: list[str],
+    axis: str,
+    copies: list[Column],
+    flags: dict[str, Column],
+) -> DataFrame:
+    """Copy rows of hot groups to their cells; all other rows get cell 0.
 
     ``identity`` names columns that differ between the rows of a group; their
-    hash picks the piece, so a recomputed task picks the same one. Without hot
-    groups the frame comes back as it is. ``hot`` has at most as many rows as
-    the join has tasks and is broadcast for that reason.
+    hash picks the piece, so a recomputed task picks the same one. ``hot`` has
+    fewer rows than the join has tasks and is broadcast for that reason.
     """
-    if hot is None:
-        return df
     joined = df.join(F.broadcast(hot), keys, "left")
-    size = {name: F.coalesce(F.col(name), F.lit(1)) for name in AXES}
-    copies = dict(size)
-    if axis == BIDS:
-        copies[IMPRESSIONS] = F.coalesce(F.col(IMPRESSION_COPIES), F.lit(1))
-        copies[CLICKS] = F.coalesce(F.col(CLICK_COPIES), F.lit(1))
-    own = F.pmod(F.xxhash64(*identity), size[axis]).cast("int")
+    own = F.pmod(F.xxhash64(*identity), F.col(axis)).cast("int")
     places = [
-        F.array(own) if name == axis else F.sequence(F.lit(0), copies[name] - 1) for name in AXES
+        F.array(own)
+        if name == axis
+        else F.sequence(F.lit(0), F.coalesce(number, F.lit(1)) - 1)
+        for name, number in zip(AXES, copies)
     ]
-    cells = F.flatten(
-        F.transform(
-            places[0],
-            lambda a: F.flatten(
-                F.transform(
-                    places[1],
-                    lambda b: F.transform(
-                        places[2],
-                        lambda c: (a * size[IMPRESSIONS] + b) * size[CLICKS] + c,
-                    ),
-                )
-            ),
-        )
+    row = F.lit(0).cast("int")
+    cells = F.transform(places[0], lambda a: row + a)
+    for name, place in zip(AXES[1:], places[1:]):
+        cells = _cross(cells, place, F.col(name))
+    is_hot = F.col(BIDS).isNotNull()
+    return joined.select(
+        *df.columns,
+        *[F.coalesce(flag, F.lit(False)).alias(name) for name, flag in flags.items()],
+        F.explode(F.when(is_hot, cells).otherwise(F.array(row))).alias(CELL),
     )
-    kept = [*df.columns]
-    if axis == BIDS:
-        joined = joined.withColumns({IMPRESSIONS: size[IMPRESSIONS], CLICKS: size[CLICKS]})
-        kept += [IMPRESSIONS, CLICKS]
-    return joined.select(*kept, F.explode(cells).alias(CELL))
 
 
-def spurious(no_impression: Column, no_click: Column) -> Column:
-    """TRUE for NULL-extended rows of a cell whose partners lie in other cells.
+def _cross(cells: Column, places: Column, width: Column) -> Column:
+    return F.flatten(F.transform(cells, lambda c: F.transform(places, lambda p: c * width + p)))
 
-    Impressions (clicks) are only split where the group has some, and on the
-    user key alone any of them matches, so a bid without a partner in its cell
-    has one in another.
-    """
-    return ((F.col(IMPRESSIONS) > 1) & no_impression) | (
-        (F.col(CLICKS) > 1) & ~no_impression & no_click
-    )
+
+def _pieces(rows: float, piece: float, most: float) -> int:
+    return max(1, math.ceil(min(rows / max(piece, 1.0), rows, most)))

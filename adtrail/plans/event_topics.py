@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from adtrail.registry import BIDS, CLICKS, IMPRESSIONS, LOG_SCHEMA, SourceSpec
+from adtrail.registry import BIDS, CLICKS, IMPRESSIONS, SourceSpec
 
 ISO = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
 DAY = "yyyy-MM-dd'T'00:00:00'Z'"
@@ -75,25 +75,18 @@ def valid_side(
 def topic(events: DataFrame, spec: SourceSpec, time_format: str = ISO) -> DataFrame:
     """The message log of a source, JSON payloads, the event id as offset."""
     kinds = [MAIN_TYPE[spec.name], BROKEN, ANONYMOUS]
-    rows = records(events.filter(F.col("event_type").isin(kinds)), spec, time_format)
-    whole = F.to_json(F.struct(*spec.fields))
-    without_user = F.to_json(F.struct(*[f for f in spec.fields if f != "user_id"]))
-    text = (
-        F.when(F.col("event_type") == BROKEN, F.expr("left({0}, length({0}) - 1)".format("whole")))
-        .when(F.col("event_type") == ANONYMOUS, F.col("without_user"))
-        .otherwise(F.col("whole"))
-    )
-    return (
-        rows.withColumns({"whole": whole, "without_user": without_user})
-        .withColumn("text", text)
-        .select(
-            F.lit(None).cast("binary").alias("key"),
-            F.col("text").cast("binary").alias("value"),
-            F.lit(spec.name).alias("topic"),
-            F.lit(0).alias("partition"),
-            F.col("event_id").alias("offset"),
-            F.col("ts").cast("timestamp").alias("timestamp"),
-            F.lit(0).alias("timestampType"),
-        )
-        .select(*LOG_SCHEMA.fieldNames())
+    user = F.when(F.col("event_type") != ANONYMOUS, F.col("user_id").cast("string"))
+    rows = records(events.filter(F.col("event_type").isin(kinds)), spec, time_format, user)
+    # A NULL field is left out of the text.
+    whole = rows.withColumn("text", F.to_json(F.struct(*spec.fields)))
+    cut = F.expr("left(text, length(text) - 1)")
+    text = F.when(F.col("event_type") == BROKEN, cut).otherwise(F.col("text"))
+    return whole.select(
+        F.lit(None).cast("binary").alias("key"),
+        text.cast("binary").alias("value"),
+        F.lit(spec.name).alias("topic"),
+        F.lit(0).alias("partition"),
+        F.col("event_id").alias("offset"),
+        F.col("ts").cast("timestamp").alias("timestamp"),
+        F.lit(0).alias("timestampType"),
     )

@@ -163,10 +163,13 @@ def batch_logs(spark: SparkSession, sf_dir: str, time_format: str = topics_of.IS
     return {name: topics_of.topic(events, spec, time_format) for name, spec in JSON.items()}
 
 
-def staged_topics(spark: SparkSession, sf_dir: str, folder: str, deliveries: int = 1):
+def staged_topics(
+    spark: SparkSession, sf_dir: str, folder: str, deliveries: int = 1, names=tuple(JSON)
+) -> FileTopics:
     """The derived topics as file logs; each message is delivered ``deliveries`` times."""
     topics = FileTopics(f"{folder}/topics")
-    for name, log in batch_logs(spark, sf_dir).items():
+    logs = batch_logs(spark, sf_dir)
+    for name, log in ((name, logs[name]) for name in names):
         for delivery in range(deliveries):
             copy = log.withColumn("partition", F.lit(delivery))
             copy.write.mode("append").parquet(topics.path(name))
@@ -475,7 +478,8 @@ def ingest_bids(spark: SparkSession, sf_dir: str) -> DataFrame:
 def left_join_user(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every bid with the impressions of its user."""
     bids, impressions, _ = sides(spark, sf_dir)
-    return attribution.join_impressions(bids, impressions).select(
+    hot = attribution.find_hot_users(bids, impressions)
+    return attribution.join_impressions(bids, impressions, hot).select(
         F.col("bid_requests.user_id").alias("user_id"), "auction_id", "ad_creative_id"
     )
 
@@ -546,7 +550,8 @@ def attribution_busy_interval(spark: SparkSession, sf_dir: str) -> DataFrame:
 def table_append_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A stream appended to a table, every message delivered twice."""
     folder = work_folder(spark, "append")
-    topics, tables = staged_topics(spark, sf_dir, folder, deliveries=2), Tables(f"{folder}/tables")
+    topics = staged_topics(spark, sf_dir, folder, deliveries=2, names=(IMPRESSIONS.name,))
+    tables = Tables(f"{folder}/tables")
     log = topics.stream(spark, IMPRESSIONS.name)
     streaming.finish([streaming.start_curated(log, IMPRESSIONS, tables, WHOLE_SPAN)])
     return tables.read(spark, IMPRESSIONS.table).select(
@@ -562,7 +567,8 @@ def table_append_read(spark: SparkSession, sf_dir: str) -> DataFrame:
 def dead_letter_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K5: invalid messages of a stream in their table, with place and reason."""
     folder = work_folder(spark, "dead")
-    topics, tables = staged_topics(spark, sf_dir, folder), Tables(f"{folder}/tables")
+    topics = staged_topics(spark, sf_dir, folder, names=(IMPRESSIONS.name,))
+    tables = Tables(f"{folder}/tables")
     log = topics.stream(spark, IMPRESSIONS.name)
     streaming.finish([streaming.start_dead_letters(log, IMPRESSIONS, tables)])
     return tables.read(spark, IMPRESSIONS.dead_letter_table).select("offset", "topic", "reason")

@@ -101,9 +101,7 @@ def attribution_stream(
     sides = (bids, impressions, clicks)
     if delay is not None:
         sides = tuple(with_delay(df, delay) for df in sides)
-    return attribute_by_interval(
-        *sides, impression_window, click_window, hot=hot, hot_keys=("user_id",)
-    )
+    return attribute_by_interval(*sides, impression_window, click_window, hot)
 
 
 def start_attribution(

@@ -5,6 +5,7 @@ from datetime import datetime, timezone
 from pathlib import Path
 
 import pytest
+from hypothesis import HealthCheck, Phase, settings
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
@@ -13,6 +14,16 @@ from pyspark.sql import SparkSession  # noqa: E402
 from adtrail.registry import LOG_SCHEMA  # noqa: E402
 
 
+# Examples are Spark jobs: no time limit and no search for a smaller one.
+settings.register_profile(
+    "spark",
+    deadline=None,
+    phases=[Phase.explicit, Phase.generate],
+    suppress_health_check=[HealthCheck.function_scoped_fixture],
+)
+settings.load_profile("spark")
+
+
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     session = (

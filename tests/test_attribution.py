@@ -4,7 +4,7 @@ from collections import Counter
 from datetime import datetime, timedelta, timezone
 
 import pytest
-from hypothesis import HealthCheck, given, settings
+from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
@@ -170,18 +170,15 @@ def test_no_group_is_hot_in_even_data(spark):
     assert attribution.find_hot_users(*nothing) is None
 
 
-@settings(max_examples=60, deadline=None)
+@settings(max_examples=60)
 @given(
     st.integers(0, 10**9), st.integers(0, 10**9), st.integers(0, 10**9), st.floats(2.0, 4000.0)
 )
 def test_grid_stays_within_its_bounds(nb, ni, nc, cells):
-    s_bids, s_imps, s_clicks, c_imps, c_clicks = skew.grid(nb, ni, nc, cells)
-    for pieces, rows in ((s_bids, nb), (s_imps, ni), (s_clicks, nc)):
+    splits = skew.grid(nb, ni, nc, cells)
+    for pieces, rows in zip(splits, (nb, ni, nc)):
         assert 1 <= pieces <= max(rows, 1)
-    assert s_bids * s_imps * s_clicks <= 8 * cells + 8
-    assert c_imps == s_imps and c_clicks in (1, s_clicks)
-    if ni == 0:
-        assert s_imps == 1 and c_clicks == 1
+    assert splits[0] * splits[1] * splits[2] <= 8 * cells + 8
 
 
 def test_interval_bounds_are_inclusive(spark):
@@ -208,9 +205,7 @@ events = st.lists(
 )
 
 
-@settings(
-    max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
-)
+@settings(max_examples=10)
 @given(events, events, events, st.integers(1, 90), st.integers(1, 90), st.sampled_from([1, 2, 4]))
 def test_buckets_lose_and_double_nothing(spark, bids, imps, clicks, w1, w2, factor):
     windows = (timedelta(minutes=w1), timedelta(minutes=w2))
@@ -230,16 +225,51 @@ def test_buckets_before_1970_and_far_ahead(spark):
         assert result(flat) == expected(*data, window=(3, 3))
 
 
-def test_hot_interval_is_split_and_whole(spark):
-    busy = [("hot", n / 10) for n in range(300)]
+INTERVAL_SHAPES = {
+    "bids": (300, 5, 4),
+    "impressions": (4, 300, 5),
+    "clicks": (4, 5, 300),
+    "all": (40, 40, 40),
+    "bids_only": (300, 0, 0),
+}
+
+
+@pytest.mark.parametrize("slots", [1_000_000, 0])
+@pytest.mark.parametrize("shape", INTERVAL_SHAPES)
+def test_hot_interval_is_split_and_whole(spark, monkeypatch, shape, slots):
+    monkeypatch.setattr(attribution, "MAX_SLOTS", slots)
     cold = [(f"u{n}", n * 7) for n in range(20)]
-    data = (busy + cold, busy[::30] + cold, busy[::60] + cold)
+    data = [
+        [("hot", n * 37 / rows) for n in range(rows)] + cold for rows in INTERVAL_SHAPES[shape]
+    ]
     sides = frames(spark, *data)
-    windows = (timedelta(minutes=20), timedelta(minutes=20))
+    windows = (timedelta(minutes=4), timedelta(minutes=6))
     hot = attribution.find_hot_intervals(*sides, *windows, tasks=8)
     assert {r.user_id for r in hot.collect()} == {"hot"}
     flat = attribution.attribute_by_interval(*sides, *windows, hot)
-    assert result(flat) == expected(*data, window=(20, 20))
+    assert result(flat) == expected(*data, window=(4, 6))
+
+
+@settings(max_examples=6)
+@given(events, events, events, st.integers(1, 90), st.integers(1, 90), st.tuples(*[st.integers(1, 3)] * 3))
+def test_any_grid_keeps_the_result(spark, bids, imps, clicks, w1, w2, splits):
+    """Also for groups that are not hot, with any number of pieces per axis."""
+    windows = (timedelta(minutes=w1), timedelta(minutes=w2))
+    sides = frames(spark, bids, imps, clicks)
+    width = 4 * (w1 + w2) * 60_000_000
+    columns = "s_bids int, s_impressions int, s_clicks int, any_impressions boolean, any_clicks boolean"
+    first = int(START.timestamp()) * 1_000_000
+    buckets = {(first + m * 60_000_000) // width for m in range(-400, 400)}
+    rows = [(u, k, *splits, True, True) for u in ("u1", "u2") for k in buckets]
+    hot = spark.createDataFrame(rows, "user_id string, time_bucket bigint, " + columns)
+    flat = attribution.attribute_by_interval(*sides, *windows, hot)
+    assert result(flat) == expected(bids, imps, clicks, (w1, w2))
+    shown, clicked = {u for u, _ in imps}, {u for u, _ in clicks}
+    users = [(u, *splits, u in shown, u in clicked) for u in ("u1", "u2")]
+    hot = spark.createDataFrame(users, "user_id string, " + columns)
+    assert result(attribution.attribute_by_user(*sides, hot)) == expected(bids, imps, clicks)
+    pairs = attribution.join_impressions(*sides[:2], hot).withColumn("campaign_id", F.lit(None))
+    assert result(pairs) == expected(bids, imps, [])
 
 
 def test_bid_without_time_is_kept_unmatched(spark):

@@ -1,6 +1,6 @@
 from __future__ import annotations
 
-from hypothesis import HealthCheck, given, settings
+from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from adtrail.operators import dedup
@@ -62,9 +62,7 @@ def test_raw_text_is_the_key(log):
     assert len({r.event_time for r in valid}) == 1
 
 
-@settings(
-    max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
-)
+@settings(max_examples=10)
 @given(
     st.lists(
         st.tuples(

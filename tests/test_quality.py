@@ -3,7 +3,7 @@ from __future__ import annotations
 import json
 
 import pytest
-from hypothesis import HealthCheck, given, settings
+from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
@@ -52,9 +52,7 @@ def test_dead_letters_keep_the_payload(log):
     assert dead.ingest_time is not None
 
 
-@settings(
-    max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
-)
+@settings(max_examples=15)
 @given(
     st.lists(
         st.one_of(
