@@ -618,6 +618,23 @@ def quality_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jobs.monitor_quality(spark, tables, JSON)
 
 
+@query(interval_attribution_sql(sides_sql(), 6))
+def attribution_in_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Attribution from date-partitioned tables, some days at a time, one period twice."""
+    tables = Tables(work_folder(spark, "periods"))
+    for spec, side in zip((BIDS, IMPRESSIONS, CLICKS), sides(spark, sf_dir)):
+        sink.append(quality.curated_columns(side, spec), tables, spec.table)
+    span = tables.read(spark, BIDS.table).agg(F.min("event_date"), F.max("event_date")).first()
+    first, last = span
+    step = (last - first) // 3 + timedelta(days=1)
+    while first <= last:
+        period = (first, min(last, first + step - timedelta(days=1)))
+        jobs.attribute_period(spark, tables, *period, WINDOW, WINDOW)
+        first += step
+    jobs.attribute_period(spark, tables, *period, WINDOW, WINDOW)
+    return flat_attribution(tables.read(spark, ATTRIBUTION_TABLE))
+
+
 # --- streams ---------------------------------------------------------------------------
 
 

@@ -30,6 +30,12 @@ def append(
     writer.partitionBy(partition_by).save(tables.path(table))
 
 
+def replace_dates(df: DataFrame, tables: Tables, table: str, date: str = EVENT_DATE) -> None:
+    """Write a batch frame over the dates it holds and leave all others: safe to repeat."""
+    writer = df.hint("rebalance", date).write.format(tables.fmt).mode("overwrite")
+    writer.option("partitionOverwriteMode", "dynamic").partitionBy(date).save(tables.path(table))
+
+
 def append_once(
     df: DataFrame, tables: Tables, table: str, keys: list[str], date: str
 ) -> None:

@@ -27,8 +27,18 @@ class Tables:
     def read(self, spark: SparkSession, table: str) -> DataFrame:
         return spark.read.format(self.fmt).load(self.path(table))
 
-    def stream(self, spark: SparkSession, table: str, schema: T.StructType) -> DataFrame:
-        return spark.readStream.format(self.fmt).schema(schema).load(self.path(table))
+    def stream(
+        self,
+        spark: SparkSession,
+        table: str,
+        schema: T.StructType,
+        max_files_per_trigger: int | None = None,
+    ) -> DataFrame:
+        """A table as a stream of its appends; the limit bounds what one micro-batch reads."""
+        reader = spark.readStream.format(self.fmt).schema(schema)
+        if max_files_per_trigger is not None:
+            reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+        return reader.load(self.path(table))
 
     def exists(self, spark: SparkSession, table: str) -> bool:
         """Whether the table holds data; a folder an empty append left does not count."""

@@ -111,6 +111,7 @@ def start_attribution(
     click_window: timedelta = CLICK_WINDOW,
     delay: timedelta = DELAY,
     hot: DataFrame | None = None,
+    max_files_per_trigger: int | None = None,
     **run,
 ) -> StreamingQuery:
     """Attribution from the curated tables, which are read as streams.
@@ -118,7 +119,7 @@ def start_attribution(
     The topics are not read a second time and rows are deduplicated once.
     """
     bids, impressions, clicks = (
-        tables.stream(spark, spec.table, curated_schema(spec))
+        tables.stream(spark, spec.table, curated_schema(spec), max_files_per_trigger)
         for spec in (BIDS, IMPRESSIONS, CLICKS)
     )
     flat = attribution_stream(
