@@ -12,6 +12,7 @@ from adtrail.sources.tables import Tables
 EVENT_DATE = "event_date"
 INGEST_DATE = "ingest_date"
 MAX_DATES = 1000
+MAX_BROADCAST_ROWS = 500_000
 
 
 def append(
@@ -45,12 +46,18 @@ def append_once(
     table, and of those only the keys. Copies inside ``df`` are dropped before
     the shuffle. Running this again with the same rows adds nothing, which
     makes it safe for a micro-batch that is repeated after a failure.
+
+    The keys of a small batch go to the table's scan, so that a micro-batch
+    does not shuffle whole days of keys; a large one is joined by shuffling.
     """
     spark = df.sparkSession
     fresh = df.dropDuplicates(keys)
     if tables.exists(spark, table):
-        held = tables.read(spark, table).filter(_dates_of(df, date)).select(date, *keys)
-        fresh = fresh.join(held, [date, *keys], "left_anti")
+        on = [date, *keys]
+        held = tables.read(spark, table).filter(_dates_of(df, date)).select(*on)
+        if df.count() <= MAX_BROADCAST_ROWS:
+            held = held.join(F.broadcast(df.select(*on)), on, "left_semi")
+        fresh = fresh.join(held, on, "left_anti")
     append(fresh.select(*df.columns), tables, table, date)
 
 

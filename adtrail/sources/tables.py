@@ -59,6 +59,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    """Make a folder a stream can start on before the first write to it."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(hadoop_path)
+
+
 def read_curated(spark: SparkSession, tables: Tables) -> dict[str, DataFrame]:
     """The four curated tables."""
     return {name: tables.read(spark, name) for name in CURATED_TABLES}

@@ -14,7 +14,7 @@ from adtrail.operators.attribution import attribute_by_interval, nested
 from adtrail.plans.ingest import DELAY, ingest
 from adtrail.registry import ATTRIBUTION_TABLE, BIDS, CLICKS, IMPRESSIONS, SourceSpec
 from adtrail.sinks import tables as sink
-from adtrail.sources.tables import Tables, path_exists
+from adtrail.sources.tables import Tables, make_folder, path_exists
 from adtrail.streaming.dedup import with_delay
 
 IMPRESSION_WINDOW = timedelta(hours=1)
@@ -118,6 +118,8 @@ def start_attribution(
 
     The topics are not read a second time and rows are deduplicated once.
     """
+    for spec in (BIDS, IMPRESSIONS, CLICKS):
+        make_folder(spark, tables.path(spec.table))
     bids, impressions, clicks = (
         tables.stream(spark, spec.table, curated_schema(spec), max_files_per_trigger)
         for spec in (BIDS, IMPRESSIONS, CLICKS)

@@ -40,7 +40,9 @@ def test_date_filter_reaches_the_partitions(spark, log, tmp_path):
     assert len(list(tmp_path.rglob("*.parquet"))) == len(files) == 3
 
 
-def test_append_once_adds_no_row_twice(spark, log, tmp_path):
+@pytest.mark.parametrize("broadcast_rows", [1000, 0])
+def test_append_once_adds_no_row_twice(spark, log, tmp_path, monkeypatch, broadcast_rows):
+    monkeypatch.setattr(sink, "MAX_BROADCAST_ROWS", broadcast_rows)
     tables = Tables(str(tmp_path))
     keys = list(IMPRESSIONS.dedup_keys)
 
