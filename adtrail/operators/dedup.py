@@ -15,19 +15,23 @@ def drop_copies(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.dropDuplicates(keys)
 
 
-def keep_first(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+def keep_first(
+    df: DataFrame, keys: list[str], order: list[str], drop_order: bool = False
+) -> DataFrame:
     """Keep the row that comes first by ``order`` in each key.
 
     ``min_by`` is an aggregate with a map-side part: like ``drop_copies``, a
     task sends one row per key. ``order`` should be unique inside a key, and
-    NULL comes first.
+    NULL comes first. ``drop_order`` leaves the columns of ``order`` out of the
+    result and so out of the shuffle's second copy of them.
     """
-    others = [name for name in df.columns if name not in keys]
+    columns = [name for name in df.columns if not (drop_order and name in order)]
+    others = [name for name in columns if name not in keys]
     if not others:
-        return df.dropDuplicates(keys)
+        return df.select(*columns).dropDuplicates(keys)
     kept = F.min_by(F.struct(*others), F.struct(*order))
     return (
         df.groupBy(*keys)
         .agg(kept.alias("kept"))
-        .select(*[F.col(c) if c in keys else F.col(f"kept.`{c}`").alias(c) for c in df.columns])
+        .select(*[F.col(c) if c in keys else F.col(f"kept.`{c}`").alias(c) for c in columns])
     )

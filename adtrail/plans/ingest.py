@@ -20,13 +20,19 @@ class Ingested(NamedTuple):
 
 
 def ingest(
-    log: DataFrame, spec: SourceSpec, delay: timedelta = DELAY, observe: bool = False
+    log: DataFrame,
+    spec: SourceSpec,
+    delay: timedelta = DELAY,
+    observe: bool = False,
+    collapse_copies: bool = True,
 ) -> Ingested:
     """Decode a topic, split it by the rules of the source and drop copies of valid rows.
 
     In batch the copy that comes first in the log is kept. A stream keeps the
     first one it sees within ``delay``, and also rejects rows without a
     readable timestamp: they could not leave the state again.
+    ``collapse_copies`` guards a stream's dedup against keys with very many
+    copies.
     """
     if log.isStreaming:
         spec = spec.with_event_time()
@@ -37,12 +43,14 @@ def ingest(
     valid = quality.valid_part(decoded, spec)
     keys = list(spec.dedup_keys)
     if log.isStreaming:
-        unique = stream_dedup.drop_copies(quality.curated_columns(valid, spec), keys, delay)
+        curated = quality.curated_columns(valid, spec)
+        unique = stream_dedup.drop_copies(curated, keys, delay, collapse_copies)
     else:
         first = dedup.keep_first(
             valid.select(*spec.fields, "event_time", "partition", "offset"),
             keys,
             ["partition", "offset"],
+            drop_order=True,
         )
         unique = quality.curated_columns(first, spec)
     return Ingested(unique, invalid)

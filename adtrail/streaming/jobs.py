@@ -27,10 +27,15 @@ def dead_letter_rows(invalid: DataFrame) -> DataFrame:
 
 
 def start_curated(
-    log: DataFrame, spec: SourceSpec, tables: Tables, delay: timedelta = DELAY, **run
+    log: DataFrame,
+    spec: SourceSpec,
+    tables: Tables,
+    delay: timedelta = DELAY,
+    collapse_copies: bool = True,
+    **run,
 ) -> StreamingQuery:
     """Valid rows of a topic, without copies, into the curated table."""
-    valid = ingest(log, spec, delay).valid
+    valid = ingest(log, spec, delay, collapse_copies=collapse_copies).valid
     return sink.append_stream(valid, tables, spec.table, **run)
 
 

@@ -36,6 +36,14 @@ def test_first_row_is_kept(spark):
     assert sorted((r.website, r.offset) for r in kept.collect()) == [("a", 1), ("c", 4), ("e", 6)]
 
 
+def test_order_columns_can_be_dropped(spark):
+    kept = dedup.keep_first(spark.createDataFrame(ROWS, SCHEMA), KEYS, ["offset"], drop_order=True)
+    assert kept.columns == ["user_id", "timestamp", "website"]
+    assert sorted(r.website for r in kept.collect()) == ["a", "c", "e"]
+    only_keys = kept.select(*KEYS)
+    assert dedup.keep_first(only_keys, KEYS, ["user_id"]).count() == 3
+
+
 def test_both_forms_combine_before_the_shuffle(spark):
     df = spark.createDataFrame(ROWS, SCHEMA)
     for kept in (dedup.drop_copies(df, KEYS), dedup.keep_first(df, KEYS, ["offset"])):

@@ -76,6 +76,19 @@ def test_csv_empty_value_is_empty_text_and_missing_value_is_null(spark, tmp_path
     assert rows[None].user_id == "u2" and rows[None].conversion_type is None
 
 
+def test_csv_quotes(spark, tmp_path):
+    text = 'timestamp,user_id,campaign_id,conversion_type\n"a,b","say ""hi""","","x\ny"\n'
+    path = write(tmp_path / "c.csv", text)
+    got = csv_with_header(spark, path, CLICKS, line_breaks=True)
+    assert [tuple(r) for r in got.collect()] == [("a,b", 'say "hi"', "", "x\ny")]
+
+
+def test_broken_json_file_fails(spark, tmp_path):
+    path = write(tmp_path / "in.json", '[{"user_id": "u1"}, {"user')
+    with pytest.raises(Exception, match="(?i)malformed"):
+        json_arrays(spark, path, IMPRESSIONS).collect()
+
+
 def test_csv_files_with_other_headers_fail(spark, tmp_path):
     write(tmp_path / "in" / "a.csv", f"timestamp,user_id,campaign_id,conversion_type\n{TIME},u1,1,x\n")
     write(tmp_path / "in" / "b.csv", f"user_id,timestamp,campaign_id,conversion_type\nu1,{TIME},1,x\n")
