@@ -8,6 +8,7 @@ from datetime import timedelta
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from adtrail.functions.payload import CORRUPT, as_binary, as_text, from_json
 from adtrail.operators import attribution, dedup, quality
@@ -219,14 +220,13 @@ def decode_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def decode_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Payloads cut off in transit decode to NULL and are marked."""
-    from pyspark.sql import types as T
-
     events = topics_of.read_events(spark, sf_dir)
     cut = F.when(
         F.col("event_type") == "error", F.expr("left(props, length(props) - 1)")
     ).otherwise(F.col("props"))
     schema = T.StructType([T.StructField("k", T.StringType())])
-    decoded = events.select("event_id", F.inline(F.array(F.struct(from_json(cut, schema).alias("data")))))
+    data = F.struct(from_json(cut, schema).alias("data"))
+    decoded = events.select("event_id", F.inline(F.array(data)))
     return decoded.select(
         "event_id", F.col("data.k").alias("k"), F.col(f"data.{CORRUPT}").isNotNull().alias("corrupt")
     )
@@ -701,3 +701,27 @@ def stream_fan_out(spark: SparkSession, sf_dir: str) -> DataFrame:
             dead.select(F.lit(spec.dead_letter_table).alias("table"), "rows", "users")
         )
     return curated
+
+
+@query(
+    f"""SELECT source, count(*) AS rows_read,
+    count(*) FILTER (event_type IN ('error', 'signup')) AS data_quality_errors,
+    count(*) FILTER (event_type = 'error') AS undecodable,
+    count(*) FILTER (event_type = 'signup') AS missing_user_id
+    FROM ({ALL_TOPICS_SQL}) GROUP BY source"""
+)
+def stream_quality_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows and errors counted by the streams while they pass."""
+    folder = work_folder(spark, "metrics")
+    topics, tables = staged_topics(spark, sf_dir, folder), Tables(f"{folder}/tables")
+    logs = read_streams(spark, topics, JSON)
+    running = {
+        name: streaming.start_dead_letters(logs[name], spec, tables) for name, spec in JSON.items()
+    }
+    streaming.finish(list(running.values()))
+    names = ["rows_read", "data_quality_errors", "undecodable", "missing_user_id"]
+    totals = []
+    for name, stream in running.items():
+        batches = streaming.metrics(stream, JSON[name])
+        totals.append((name, *[sum(counts[n] for counts in batches) for n in names]))
+    return spark.createDataFrame(totals, ["source", *names])

@@ -251,7 +251,14 @@ def test_hot_interval_is_split_and_whole(spark, monkeypatch, shape, slots):
 
 
 @settings(max_examples=6)
-@given(events, events, events, st.integers(1, 90), st.integers(1, 90), st.tuples(*[st.integers(1, 3)] * 3))
+@given(
+    events,
+    events,
+    events,
+    st.integers(1, 90),
+    st.integers(1, 90),
+    st.tuples(*[st.integers(1, 3)] * 3),
+)
 def test_any_grid_keeps_the_result(spark, bids, imps, clicks, w1, w2, splits):
     """Also for groups that are not hot, with any number of pieces per axis."""
     windows = (timedelta(minutes=w1), timedelta(minutes=w2))

@@ -74,7 +74,10 @@ def test_raw_text_is_the_key(log):
 @given(
     st.lists(
         st.tuples(
-            st.sampled_from(["u1", "u2"]), st.sampled_from(["t1", "t2", None]), st.just("w"), st.integers(0, 99)
+            st.sampled_from(["u1", "u2"]),
+            st.sampled_from(["t1", "t2", None]),
+            st.just("w"),
+            st.integers(0, 99),
         ),
         min_size=1,
         max_size=20,

@@ -101,7 +101,8 @@ def test_batch_job_and_read_back(spark, log, tmp_path, capsys):
     assert (record.bid_requests.auction_id, record.clicks_conversions.campaign_id) == ("5", "9")
     jobs.show_tables(spark, tables)
     assert "bid_requests:" in capsys.readouterr().out
-    counts = {(r.source, r.reason): r.errors for r in jobs.monitor_quality(spark, tables, sources).collect()}
+    errors = jobs.monitor_quality(spark, tables, sources).collect()
+    counts = {(r.source, r.reason): r.errors for r in errors}
     assert counts == {
         ("ad_impressions", "undecodable"): 1,
         ("clicks_conversions", "missing_user_id"): 2,
