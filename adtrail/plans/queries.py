@@ -170,10 +170,10 @@ def staged_topics(
     """The derived topics as file logs; each message is delivered ``deliveries`` times."""
     topics = FileTopics(f"{folder}/topics")
     logs = batch_logs(spark, sf_dir)
-    for name, log in ((name, logs[name]) for name in names):
-        for delivery in range(deliveries):
-            copy = log.withColumn("partition", F.lit(delivery))
-            copy.write.mode("append").parquet(topics.path(name))
+    for name in names:
+        delivery = F.explode(F.sequence(F.lit(0), F.lit(deliveries - 1)))
+        copies = logs[name].withColumn("partition", delivery)
+        copies.write.parquet(topics.path(name))
     return topics
 
 
