@@ -116,6 +116,12 @@ def occurrences(
     return reduce(DataFrame.unionByName, found)
 
 
+def _hits(docs, items, width, shingle, block, ident, text) -> tuple[DataFrame, DataFrame, DataFrame]:
+    keyed = docs.select(row_key(F.col(ident), F.col(text)).alias("key"), words(F.col(text)).alias("words"))
+    windows = windows_of(items, width, shingle)
+    return keyed, windows, stored(occurrences(keyed, windows, shingle, block), "benchmark-hits").distinct()
+
+
 def contamination(
     docs: DataFrame,
     items: DataFrame,
@@ -134,9 +140,7 @@ def contamination(
     benchmark nothing is hit; an empty table gives an empty result. Columns
     beyond id and text are ignored.
     """
-    keyed = docs.select(row_key(F.col(ident), F.col(text)).alias("key"), words(F.col(text)).alias("words"))
-    windows = windows_of(items, width, shingle)
-    hits = stored(occurrences(keyed, windows, shingle, block), "benchmark-hits").distinct()
+    keyed, windows, hits = _hits(docs, items, width, shingle, block, ident, text)
     before = Window.partitionBy("key").orderBy("start", "length").rowsBetween(Window.unboundedPreceding, -1)
     end = F.col("start") + F.col("length")
     covered = F.greatest(F.lit(0), end - F.greatest("start", F.coalesce(F.max(end).over(before), F.lit(0))))
@@ -162,3 +166,19 @@ def contamination(
         F.sha2(F.array_join(names, ","), 256).alias("items_sha256"),
         (F.coalesce("n_hit", F.lit(0)) > 0).alias("contaminated"),
     )
+
+
+def keep_clean(
+    docs: DataFrame,
+    items: DataFrame,
+    width: int = WINDOW,
+    shingle: int = SHINGLE,
+    block: int = BLOCK,
+    ident: str = "doc_id",
+    text: str = "text",
+) -> DataFrame:
+    """The rows of ``docs`` in which no window occurs, all columns."""
+    _, _, hits = _hits(docs, items, width, shingle, block, ident, text)
+    bad = hits.select(F.col("key.id").alias("__id"), F.col("key.text_hash").alias("__hash")).distinct()
+    own = F.xxhash64(F.coalesce(docs[text], F.lit("")))
+    return docs.join(bad, docs[ident].eqNullSafe(F.col("__id")) & (own == F.col("__hash")), "left_anti")

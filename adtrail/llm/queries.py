@@ -10,11 +10,21 @@ from adtrail.llm import sql
 from adtrail.llm.common import table
 from adtrail.llm.decontaminate import contamination
 from adtrail.llm.exact_dedup import exact_groups
+from adtrail.llm.language import identify
 from adtrail.llm.packing import pack
+from adtrail.llm.quality import scored
 from adtrail.llm.sharding import shard
 from adtrail.llm.simhash import near_groups
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(table(spark, sf_dir, "documents"))
+
+
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -38,6 +48,8 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
+        op2_quality,
+        op3_language,
         op5_decontaminate,
         op6_packing,
         op7_exact_dedup,
