@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from adtrail.llm import sql
 from adtrail.llm.common import table
@@ -15,6 +16,7 @@ from adtrail.llm.packing import pack
 from adtrail.llm.quality import scored
 from adtrail.llm.sharding import shard
 from adtrail.llm.simhash import near_groups
+from adtrail.llm.substring_dedup import remove_repeats
 
 
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -37,6 +39,11 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op8_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = remove_repeats(table(spark, sf_dir, "documents"))
+    return done.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard(table(spark, sf_dir, "documents"))
 
@@ -53,6 +60,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op5_decontaminate,
         op6_packing,
         op7_exact_dedup,
+        op8_substrings,
         op9_sharding,
         op10_simhash,
     )

@@ -35,4 +35,24 @@ SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hi
 FROM d LEFT JOIN n_hit USING (doc_id) LEFT JOIN n_items USING (doc_id)
 """
 
-SQL: dict[str, str] = {"op5_decontaminate": DECONTAMINATE, "op7_exact_dedup": DEDUP}
+SUBSTRINGS = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+places AS (
+  SELECT doc_id, s, array_to_string(words[s:s + 12], ' ') AS w
+  FROM (SELECT doc_id, words, unnest(range(1, len(words) - 11)) AS s FROM d)),
+owned AS (SELECT doc_id, s, doc_id > min(doc_id) OVER (PARTITION BY w) AS gone FROM places),
+removed AS (SELECT DISTINCT doc_id, unnest(range(s, s + 13)) AS p FROM owned WHERE gone),
+word AS (SELECT doc_id, unnest(words) AS w, unnest(range(1, len(words) + 1)) AS p FROM d),
+kept AS (
+  SELECT doc_id, count(*) AS n, string_agg(w, ' ' ORDER BY p) AS text
+  FROM word ANTI JOIN removed USING (doc_id, p) GROUP BY doc_id)
+SELECT doc_id, len(words)::BIGINT AS n_words, (len(words) - coalesce(n, 0))::BIGINT AS n_removed,
+       sha256(coalesce(text, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""
+
+SQL: dict[str, str] = {
+    "op5_decontaminate": DECONTAMINATE,
+    "op7_exact_dedup": DEDUP,
+    "op8_substrings": SUBSTRINGS,
+}
