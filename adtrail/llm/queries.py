@@ -17,6 +17,11 @@ from adtrail.llm.quality import scored
 from adtrail.llm.sharding import shard
 from adtrail.llm.simhash import near_groups
 from adtrail.llm.substring_dedup import remove_repeats
+from adtrail.llm.warc import round_trip
+
+
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trip(table(spark, sf_dir, "pages")).drop("url")
 
 
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -55,6 +60,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
+        op1_warc,
         op2_quality,
         op3_language,
         op5_decontaminate,

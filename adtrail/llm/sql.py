@@ -51,7 +51,17 @@ SELECT doc_id, len(words)::BIGINT AS n_words, (len(words) - coalesce(n, 0))::BIG
 FROM d LEFT JOIN kept USING (doc_id)
 """
 
+WARC = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+s AS (SELECT *, octet_length(encode(html))::BIGINT AS payload_bytes, max(page_id) OVER (PARTITION BY html) AS most FROM p)
+SELECT page_id, payload_bytes, sha1(html) AS payload_digest,
+       CASE WHEN payload_bytes >= 1000 AND page_id <> most THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 1000 AND page_id <> most THEN most END AS refers_to
+FROM s
+"""
+
 SQL: dict[str, str] = {
+    "op1_warc": WARC,
     "op5_decontaminate": DECONTAMINATE,
     "op7_exact_dedup": DEDUP,
     "op8_substrings": SUBSTRINGS,
