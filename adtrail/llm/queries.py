@@ -11,6 +11,7 @@ from adtrail.llm import sql
 from adtrail.llm.common import table
 from adtrail.llm.decontaminate import contamination
 from adtrail.llm.exact_dedup import exact_groups
+from adtrail.llm.extract import extract
 from adtrail.llm.language import identify
 from adtrail.llm.packing import pack
 from adtrail.llm.quality import scored
@@ -32,6 +33,10 @@ def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(table(spark, sf_dir, "documents"))
 
 
+def op4_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(table(spark, sf_dir, "pages"))
+
+
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -63,6 +68,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op1_warc,
         op2_quality,
         op3_language,
+        op4_extract,
         op5_decontaminate,
         op6_packing,
         op7_exact_dedup,
