@@ -304,4 +304,6 @@ def pack(
     cut. An empty table gives an empty result; columns beyond id and text are
     ignored.
     """
-    return place(pieces(docs, vocabulary, capacity, ident, text), capacity, small, groups)
+    # Stored, for sorting by range reads its input twice and texts are encoded once.
+    cut = stored(pieces(docs, vocabulary, capacity, ident, text), "packing-pieces")
+    return place(cut, capacity, small, groups)
