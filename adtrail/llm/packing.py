@@ -25,8 +25,8 @@ from pyspark.sql import functions as F
 from adtrail.llm.common import ranked, stored
 
 CAPACITY = 2048
-#: Lengths up to this one are left for best fit.
-SMALL = 256
+#: Lengths up to this one are left for best fit; at most two longer ones fit together.
+SMALL = 900
 GROUPS = 48
 #: Id that ends a document.
 END = 0
