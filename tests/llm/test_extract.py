@@ -1,0 +1,59 @@
+import numpy as np
+
+from adtrail.llm.extract import blocks, extract, main_texts, repeated
+
+PAGES = "page_id long, url string, html string, host int, text int"
+
+
+def page(body, side="<div class='x'><p>Read all about our great offers and terms on the page of this site now</p></div>"):
+    return f"<!DOCTYPE html><html><head><title>t</title><style>p{{}}</style></head><body>{side}{body}</body></html>"
+
+
+def test_blocks():
+    html = (
+        "<nav><p>menu</nav><article><header><h1>Title &amp; more</h1></header><p>One<br>two <b>th</b>ree&nbsp;x\n y<p>Next &lt;p&gt;"
+        "<!-- <p>no --><script>var a='</p><p>';</script><div class='comment-list'><p>remark</div></article>"
+        "<footer>&copy; x</footer><p class=ad>buy<p>after"
+    )
+    assert [t for z, t in blocks(html) if z == 3] == ["Title & more", "One two three x y", "Next <p>"]
+    assert [t for z, t in blocks(html) if z == 1] == ["after"]
+
+
+def test_repeats_against_brute_force():
+    rng = np.random.default_rng(3)
+    streams = [rng.integers(0, 3, n) for n in (0, 3, 40, 40, 60, 9)]
+    streams.append(streams[3].copy())
+    same = np.array([0, 1, 2, 3, 4, 5, 3])
+    got = repeated(streams, same, depth=4, pages=3)
+    where = {}
+    for n, s in enumerate(streams):
+        for at in range(len(s) - 3):
+            where.setdefault(tuple(s[at : at + 4]), set()).add(same[n])
+    for s, mask in zip(streams, got, strict=True):
+        want = np.zeros(len(s), bool)
+        for at in range(len(s) - 3):
+            if len(where[tuple(s[at : at + 4])]) >= 3:
+                want[at : at + 4] = True
+        assert (mask == want).all()
+
+
+def test_repeats_go_and_unique_runs_stay():
+    own = [f"story {n} " + " ".join(f"w{n}_{k}" for k in range(30)) for n in range(5)]
+    got = main_texts([page(f"<div><p>{t}</p></div>") for t in own])
+    assert got == own
+    # Copies of one page are one page, and a page is not emptied.
+    assert main_texts([page("")] * 5) == ["Read all about our great offers and terms on the page of this site now"] * 5
+    # What an article says stays, however many say it.
+    assert main_texts([page(f"<article><p>{own[0]}<p>{n}</article>") for n in range(5)]) == [f"{own[0]}\n{n}" for n in range(5)]
+
+
+def test_table(spark):
+    rows = [(n, f"http://h.org/{n}", page(f"<main><p>text {n}</main>")) for n in range(40)]
+    rows += [(100, None, None), (101, "http://[", ""), (None, "", "<"), (102, "x", "plain &amp text"), (102, "x", "plain &amp text")]
+    table = spark.createDataFrame([(*r, 1, 2) for r in rows], PAGES)
+    got = {(r["page_id"], r["url"], r["text"], r["n_chars"]) for r in extract(table, chunk=2000).collect()}
+    want = {(n, u, f"text {n}", len(f"text {n}")) for n, u, _ in rows[:40]}
+    want |= {(100, None, "", 0), (101, "http://[", "", 0), (None, "", "<", 1), (102, "x", "plain & text", 12)}
+    assert got == want
+    assert extract(table).count() == len(rows)
+    assert extract(table.limit(0)).count() == 0

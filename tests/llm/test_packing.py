@@ -1,0 +1,84 @@
+import zlib
+
+import numpy as np
+import pytest
+from hypothesis import given
+from hypothesis import strategies as st
+
+from adtrail.llm import packing
+from tests.llm.conftest import rows_of
+
+
+def check_plan(counts, plan, capacity):
+    """Every document has one place, and no sequence holds two at one place."""
+    taken = {}
+    fill = np.zeros(plan.sequences, np.int64)
+    for length, rank, count, base, offset in plan.rows:
+        assert (fill[base : base + count] == offset).all()
+        fill[base : base + count] += length
+        taken.setdefault(length, []).append((rank, count))
+    assert fill.max(initial=0) <= capacity and (fill > 0).all()
+    for length, n in counts.items():
+        at = 0
+        for rank, count in sorted(taken.get(length, [])):
+            assert rank == at
+            at += count
+        assert at == n
+    return fill
+
+
+@given(st.dictionaries(st.integers(1, 64), st.integers(1, 400), max_size=30))
+def test_any_lengths(counts):
+    check_plan(counts, packing.make_plan(counts, capacity=64, small=8, groups=6), 64)
+
+
+def test_close_to_the_least_number():
+    rng = np.random.default_rng(1)
+    lengths = np.minimum(2048, rng.lognormal(6.3, 1.1, 60_000).astype(int) + 1)
+    counts = dict(zip(*(x.tolist() for x in np.unique(lengths, return_counts=True)), strict=True))
+    plan = packing.make_plan(counts)
+    check_plan(counts, plan, 2048)
+    assert plan.sequences <= 1.005 * lengths.sum() / 2048 + 1
+
+
+def test_configurations_are_optimal():
+    # Halves and thirds: 6 sixes fill two sequences, 4 fours and so on.
+    got = packing.configurations(np.array([6, 4]), np.array([30, 60]), 12)
+    assert sum(times for _, times in got) == 35
+
+
+def test_hot_length():
+    plan = packing.make_plan({700: 1_000_000_000, 100: 3})
+    assert plan.sequences == 500_000_000 and len(plan.rows) < 50
+
+
+def test_ids_are_those_of_the_tokenizer():
+    from tokenizers import Tokenizer
+
+    vocabulary = packing.public_vocabulary()
+    ids, slow = packing.encoder(*vocabulary), Tokenizer.from_file(vocabulary[0])
+    for text in ("a", "Straße  über\n\n  x'll", "<|endoftext|>", "a<|endoftext|> b", "日本語 ✓  ", "x" * 5000, " \t "):
+        assert ids(text).tolist() == slow.encode(text, add_special_tokens=False).ids
+
+
+def test_round_trip(docs, odd):
+    rows = [*odd, (50, "some words of text " * 900)]
+    got = rows_of(packing.pack(docs(rows), capacity=512, small=64, groups=4))
+    ids = packing.encoder(*packing.public_vocabulary())
+    want = []
+    for doc_id, text in rows:
+        tokens = np.append(ids(text) if text else np.zeros(0), 0).astype("<u4")
+        start, end, piece = 0, len(tokens) % 512 or min(512, len(tokens)), 0
+        while start < len(tokens):
+            want.append((doc_id, piece, start, end - start, zlib.crc32(tokens[start:end].tobytes())))
+            start, end, piece = end, end + 512, piece + 1
+    assert [r[:5] for r in got] == sorted(want, key=repr)
+    places = sorted((s, o, n) for _, _, _, n, _, s, o in got)
+    for (a, at, n), (b, to, _) in zip(places, places[1:], strict=False):
+        assert to == (at + n if a == b else 0)
+    assert max(at + n for _, at, n in places) <= 512
+
+
+@pytest.mark.parametrize("rows", [[], [(None, None)]])
+def test_small_tables(docs, rows):
+    assert packing.pack(docs(rows)).count() == len(rows)

@@ -1,0 +1,67 @@
+import duckdb
+import pytest
+
+import corpus_pipeline
+from adtrail.llm import packing, quality
+from adtrail.llm.common import stored, table
+from adtrail.llm.queries import ORACLE, QUERIES
+from check import TABLES, normal
+from tests.llm import brute
+from tests.llm.conftest import rows_of
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def duck():
+    connection = duckdb.connect()
+    for name in TABLES:
+        connection.sql(f"CREATE VIEW {name} AS SELECT * FROM '{SF}/{name}.parquet'")
+    return connection
+
+
+@pytest.mark.parametrize("name", ORACLE)
+def test_query_equals_its_sql(spark, duck, name):
+    ours, theirs = QUERIES[name](spark, SF).toPandas(), duck.sql(ORACLE[name]).df()
+    assert sorted(ours.columns) == sorted(theirs.columns)
+    assert normal(ours) == normal(theirs)
+
+
+def test_one_query_for_each_operator():
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+
+
+def documents(df):
+    return [(r["doc_id"], r["text"]) for r in df.collect()]
+
+
+def test_simhash_query(spark):
+    assert rows_of(QUERIES["op10_simhash"](spark, SF)) == sorted(brute.simhash(documents(table(spark, SF, "documents"))), key=repr)
+
+
+def test_pipeline_equals_brute_force(spark):
+    docs = table(spark, SF, "documents")
+    model = quality.fit(docs, table(spark, SF, "labels"))
+    rows = [
+        (i, t) for i, t in documents(docs) if model.tails([model.score(*quality.features(t))])[0, -1] >= quality.KEEP
+    ]
+    got, steps = docs, []
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        got = stored(stage(spark, got, SF), name)
+        assert got.columns == docs.columns
+        steps.append(sorted(r["doc_id"] for r in got.collect()))
+    assert steps[0] == sorted(i for i, _ in rows)
+    rows = [r for r, e in zip(rows, brute.exact(rows), strict=True) if e[3]]
+    assert steps[1] == sorted(i for i, _ in rows)
+    stay = {i for i, _, c in brute.simhash(rows) if i == c}
+    rows = [r for r in rows if r[0] in stay]
+    assert steps[2] == sorted(stay)
+    items = [(r["item_id"], r["text"]) for r in table(spark, SF, "benchmark").collect()]
+    rows = [r for r, c in zip(rows, brute.contamination(rows, items), strict=True) if not c[-1]]
+    assert steps[3] == sorted(i for i, _ in rows)
+    packed = corpus_pipeline.run(spark, SF).collect()
+    ids = packing.encoder(*packing.public_vocabulary())
+    total = {}
+    for r in packed:
+        total[r["doc_id"]] = total.get(r["doc_id"], 0) + r["length"]
+    assert total == {i: len(ids(t)) + 1 if t else 1 for i, t in rows}

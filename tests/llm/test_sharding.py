@@ -1,0 +1,42 @@
+import zlib
+
+import numpy as np
+
+from adtrail.llm.sharding import jump, shard
+
+
+def one(key, shards):
+    """The published algorithm, one key at a time."""
+    b, j = -1, 0
+    while j < shards:
+        b = j
+        key = (key * 2862933555777941757 + 1) % (1 << 64)
+        j = int((b + 1) * (float(1 << 31) / ((key >> 33) + 1)))
+    return b
+
+
+def test_jump():
+    keys = np.array([0, 1, 2, 77, 1 << 40, (1 << 64) - 1], np.uint64)
+    for shards in (1, 2, 16, 17, 1000):
+        assert jump(keys, shards).tolist() == [one(int(k), shards) for k in keys]
+
+
+def test_rows(docs, odd):
+    rows = [*odd, *((n, f"text {n % 7}") for n in range(1000, 3000))]
+    got = shard(docs(rows)).collect()
+    assert len(got) == len(rows)
+    sizes = sorted((r["doc_id"] or 0, r["size"], r["text_crc32"]) for r in got)
+    assert sizes == sorted((i or 0, len((t or "").encode()) + 1, zlib.crc32((t or "").encode())) for i, t in rows)
+    places = {}
+    for r in got:
+        assert r["law"] == "key"
+        assert r["shard"] == one(r["doc_id"] or 0, 16)
+        assert r["grown_shard"] in (r["shard"], 16)
+        places.setdefault(r["shard"], []).append((r["slot"], r["doc_id"] or -1))
+    for slots in places.values():
+        slots.sort()
+        assert [s for s, _ in slots] == list(range(len(slots)))
+        assert [i for _, i in slots] == sorted(i for _, i in slots)
+    moved = sum(r["grown_shard"] == 16 for r in got)
+    assert abs(moved / len(got) - 1 / 17) < 0.03
+    assert shard(docs([])).count() == 0

@@ -1,0 +1,63 @@
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from adtrail.llm.substring_dedup import Automaton, remove_repeats, word_hashes
+from tests.llm import brute
+from tests.llm.conftest import rows_of
+
+
+def result(df):
+    return rows_of(df.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256)))
+
+
+@pytest.fixture(scope="module")
+def mixed():
+    rng = random.Random(2)
+    vocabulary = [f"w{n}" for n in range(8)] + [f"rare{n}" for n in range(300)]
+    passages = [" ".join(rng.choices(vocabulary, k=rng.randint(10, 40))) for _ in range(8)]
+    rows = []
+    for n in range(120):
+        parts = [" ".join(rng.choices(vocabulary, k=rng.randint(0, 30))) for _ in range(3)]
+        parts.insert(1, rng.choice(passages))
+        parts.append(passages[0] if n % 3 == 0 else "in " * rng.randint(0, 60))
+        rows.append((n, "\n".join(parts)))
+    return [*rows, (500, rows[3][1]), (501, rows[3][1]), (501, rows[4][1])]
+
+
+@pytest.mark.parametrize(("shard_words", "hot_key"), [(40_000, 20_000), (60, 20_000), (60, 2)])
+def test_brute_force(docs, mixed, shard_words, hot_key):
+    got = result(remove_repeats(docs(mixed), shard_words=shard_words, hot_key=hot_key))
+    assert got == sorted(brute.substrings(mixed), key=repr)
+
+
+def test_odd_rows(docs, odd):
+    rows = [*odd, (20, "word " * 40), (None, "word " * 40), (12, "a\x1cb \x0b c" * 20), (13, "a\x1cb \x0b c" * 20)]
+    assert result(remove_repeats(docs(rows))) == sorted(brute.substrings(rows), key=repr)
+    assert remove_repeats(docs([])).count() == 0
+
+
+def test_automaton_names_the_smallest_owner():
+    rng = random.Random(4)
+    sequences = [[rng.randrange(3) for _ in range(rng.randint(1, 40))] for _ in range(40)]
+    automaton = Automaton()
+    for owner, sequence in enumerate(sequences):
+        automaton.add(sequence, owner)
+    automaton.settle()
+    first = {}
+    for owner, s in enumerate(sequences):
+        for at in range(len(s) - 4):
+            first.setdefault(tuple(s[at : at + 5]), owner)
+    for probe in [*sequences, [rng.randrange(4) for _ in range(300)]]:
+        want = [first.get(tuple(probe[at : at + 5]), 1 << 62) for at in range(len(probe) - 4)]
+        assert automaton.owners(probe, 5) == want
+
+
+def test_equal_words_have_equal_hashes_wherever_they_stand():
+    text = ("é über x " * 400).encode()
+    hashes, starts = word_hashes(text)
+    words = text.split()
+    assert len(words) == len(hashes) == len(starts)
+    assert len(set(hashes.tolist())) == 3
+    assert all(hashes[n] == hashes[n % 3] for n in range(len(words)))
