@@ -14,7 +14,7 @@ from adtrail.operators import skew
 USER = ["user_id"]
 BUCKET = "time_bucket"
 SLOTS = "slots"
-# Slots of all hot groups together that are broadcast: some 50 MB.
+# Slots of all hot groups together up to which they are broadcast: some 50 MB. More are joined by a shuffle.
 MAX_SLOTS = 1_000_000
 
 # What tells the rows of one user apart, per source.
@@ -177,6 +177,13 @@ def find_hot_users(
     return skew.find_hot_groups(bids, impressions, clicks, USER, tasks)
 
 
+def output_tasks(
+    bids: DataFrame, impressions: DataFrame, clicks: DataFrame | None = None
+) -> int:
+    """Tasks for ``attribute_by_user`` and ``join_impressions``, by their estimated output."""
+    return skew.output_tasks(bids, impressions, clicks, USER)
+
+
 def find_hot_intervals(
     bids: DataFrame,
     impressions: DataFrame,
@@ -253,21 +260,25 @@ def _spread_interval(
 
     Whether a bid has an impression in its window is read from the first and
     last impression of each slot of its group. A slot is no longer than the
-    window, so one of the two is in the window if any of the slot is. Streams,
-    and windows so short that a bucket has very many slots, split bids only.
+    window, so one of the two is in the window if any of the slot is. Streams
+    split bids only.
     """
     keys = [name for name in (*USER, BUCKET) if name in hot.columns]
     slots = width // max(1, micros(min(impression_window, click_window)))
-    if bids.isStreaming or BUCKET not in keys or slots * hot.count() > MAX_SLOTS:
+    small = True
+    if bids.isStreaming or BUCKET not in keys:
         hot = hot_shown = hot_clicked = skew.bids_only(hot, keys)
         has_impression, has_click = F.col(skew.ANY_IMPRESSIONS), F.col(skew.ANY_CLICKS)
     else:
+        small = slots * hot.count() <= MAX_SLOTS  # ``hot`` is a local list
         hot_shown = _with_slots(hot, keys, impressions, impression_window)
         hot_clicked = _with_slots(hot, keys, clicks, click_window)
         has_impression, has_click = _meets(impression_window), _meets(click_window)
     return (
-        skew.spread_bids(bids, hot_shown, keys, BID_IDENTITY, has_impression),
-        skew.spread_impressions(impressions, hot_clicked, keys, IMPRESSION_IDENTITY, has_click),
+        skew.spread_bids(bids, hot_shown, keys, BID_IDENTITY, has_impression, small),
+        skew.spread_impressions(
+            impressions, hot_clicked, keys, IMPRESSION_IDENTITY, has_click, small
+        ),
         skew.spread_clicks(clicks, hot, keys, CLICK_IDENTITY),
     )
 

@@ -20,6 +20,9 @@ class DataQualityError(ValueError):
     """Invalid rows were found where none are allowed."""
 
 
+DEAD_COLUMNS = ["raw_value", "topic", "partition", "offset", REASON, "ingest_time"]
+
+
 def valid_records(df: DataFrame, rule: Column) -> DataFrame:
     """Rows for which the rule is TRUE."""
     return df.filter(rule)
@@ -81,9 +84,7 @@ def valid_part(decoded: DataFrame, spec: SourceSpec) -> DataFrame:
 
 def dead_letters(decoded: DataFrame, spec: SourceSpec) -> DataFrame:
     """Invalid rows as they arrived, with the reason."""
-    return invalid_records(decoded, rule_of(spec)).select(
-        "raw_value", "topic", "partition", "offset", REASON, "ingest_time"
-    )
+    return invalid_records(decoded, rule_of(spec)).select(*DEAD_COLUMNS)
 
 
 def curated_columns(valid: DataFrame, spec: SourceSpec) -> DataFrame:

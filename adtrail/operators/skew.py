@@ -28,6 +28,8 @@ HAS_IMPRESSION, HAS_CLICK = "has_impression", "has_click"
 
 # A group is hot from this many times an even share of the work.
 HOT_SHARES = 2
+# Rows a task of an all-pairs join should read and make.
+TASK_ROWS = 5_000_000
 
 
 def find_hot_groups(
@@ -39,31 +41,18 @@ def find_hot_groups(
 ) -> DataFrame | None:
     """Groups with far more work than an even share of ``tasks``, with their splits.
 
-    Runs one aggregation over the key columns. Fewer than ``tasks`` groups can
-    exceed the share of one task, so at most ``tasks`` rows reach the driver
+    Runs one aggregation over the key columns. No more than ``tasks / HOT_SHARES`` groups can
+    exceed so many shares of a task, so no more rows reach the driver
     whatever the size of the data. Returns None when no group is hot.
     """
     spark = bids.sparkSession
     tasks = tasks or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    tagged = [
-        df.select(*keys, *[F.lit(int(name == own)).alias(name) for name in "bic"])
-        for own, df in zip("bic", (bids, impressions, clicks))
-        if df is not None
-    ]
-    counts = (
-        reduce(DataFrame.unionByName, tagged)
-        .groupBy(*keys)
-        .agg(*[F.sum(n).cast("double").alias(n) for n in "bic"])
-    )
-    rows = F.col("b") + F.col("i") + F.col("c")
-    combinations = F.col("b") * F.greatest("i", F.lit(1.0)) * F.greatest("c", F.lit(1.0))
-    joined = F.when(F.col("i") == 0, F.col("b")).otherwise(combinations)
     seen = Observation()
     largest = (
-        counts.withColumn("work", rows + joined)
+        _work(bids, impressions, clicks, keys)
         .observe(seen, F.sum("work").alias("total"))
         .orderBy(F.desc("work"))
-        .limit(tasks)
+        .limit(tasks // HOT_SHARES + 1)  # one more, for the group of NULL
         .collect()
     )
     if not largest:
@@ -84,6 +73,35 @@ def find_hot_groups(
     return spark.createDataFrame(hot, ", ".join(columns))
 
 
+def _work(
+    bids: DataFrame, impressions: DataFrame, clicks: DataFrame | None, keys: list[str]
+) -> DataFrame:
+    """Rows of each side per group, and the rows a join of the group reads and makes."""
+    tagged = [
+        df.select(*keys, *[F.lit(int(name == own)).alias(name) for name in "bic"])
+        for own, df in zip("bic", (bids, impressions, clicks))
+        if df is not None
+    ]
+    counts = (
+        reduce(DataFrame.unionByName, tagged)
+        .groupBy(*keys)
+        .agg(*[F.sum(n).cast("double").alias(n) for n in "bic"])
+    )
+    rows = F.col("b") + F.col("i") + F.col("c")
+    combinations = F.col("b") * F.greatest("i", F.lit(1.0)) * F.greatest("c", F.lit(1.0))
+    joined = F.when(F.col("i") == 0, F.col("b")).otherwise(combinations)
+    return counts.withColumn("work", rows + joined)
+
+
+def output_tasks(
+    bids: DataFrame, impressions: DataFrame, clicks: DataFrame | None, keys: list[str]
+) -> int:
+    """Tasks that keep a task's share of the join near ``TASK_ROWS``, the shuffle width at least."""
+    total = _work(bids, impressions, clicks, keys).agg(F.sum("work")).first()[0] or 0
+    width = int(bids.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(width, math.ceil(total / TASK_ROWS))
+
+
 def grid(nb: float, ni: float, nc: float, cells: float) -> tuple[int, int, int]:
     """Splits per axis for about ``cells`` cells.
 
@@ -113,19 +131,29 @@ def without_clicks(hot: DataFrame) -> DataFrame:
 
 
 def spread_bids(
-    bids: DataFrame, hot: DataFrame, keys: list[str], identity: list[str], partner: Column
+    bids: DataFrame,
+    hot: DataFrame,
+    keys: list[str],
+    identity: list[str],
+    partner: Column,
+    small: bool = True,
 ) -> DataFrame:
     """Bids with their cells; ``partner`` says whether a bid of a hot group has an impression."""
     copies = [F.col(BIDS), F.when(partner, F.col(IMPRESSIONS)), F.when(partner, F.col(CLICKS))]
-    return _spread(bids, hot, keys, identity, BIDS, copies, {HAS_IMPRESSION: partner})
+    return _spread(bids, hot, keys, identity, BIDS, copies, {HAS_IMPRESSION: partner}, small)
 
 
 def spread_impressions(
-    impressions: DataFrame, hot: DataFrame, keys: list[str], identity: list[str], partner: Column
+    impressions: DataFrame,
+    hot: DataFrame,
+    keys: list[str],
+    identity: list[str],
+    partner: Column,
+    small: bool = True,
 ) -> DataFrame:
     """Impressions with their cells; ``partner`` as above for clicks."""
     copies = [F.col(BIDS), F.col(IMPRESSIONS), F.when(partner, F.col(CLICKS))]
-    return _spread(impressions, hot, keys, identity, IMPRESSIONS, copies, {HAS_CLICK: partner})
+    return _spread(impressions, hot, keys, identity, IMPRESSIONS, copies, {HAS_CLICK: partner}, small)
 
 
 def spread_clicks(
@@ -142,14 +170,16 @@ def _spread(
     axis: str,
     copies: list[Column],
     flags: dict[str, Column],
+    small: bool = True,
 ) -> DataFrame:
     """Copy rows of hot groups to their cells; all other rows get cell 0.
 
     ``identity`` names columns that differ between the rows of a group; their
     hash picks the piece, so a recomputed task picks the same one. ``hot`` has
-    fewer rows than the join has tasks and is broadcast for that reason.
+    fewer rows than the join has tasks and is broadcast for that reason; where
+    what it carries is not ``small``, Spark joins it as it sees fit.
     """
-    joined = df.join(F.broadcast(hot), keys, "left")
+    joined = df.join(F.broadcast(hot) if small else hot, keys, "left")
     own = F.pmod(F.xxhash64(*identity), F.col(axis)).cast("int")
     places = [
         F.array(own)

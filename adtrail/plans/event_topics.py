@@ -72,10 +72,13 @@ def valid_side(
     return records(main, spec, time_format, user).select(*spec.fields, event_time)
 
 
-def topic(events: DataFrame, spec: SourceSpec, time_format: str = ISO) -> DataFrame:
-    """The message log of a source, JSON payloads, the event id as offset."""
+def topic(
+    events: DataFrame, spec: SourceSpec, time_format: str = ISO, named: Column | None = None
+) -> DataFrame:
+    """The message log of a source, JSON payloads, the event id as offset; ``named`` replaces the user."""
     kinds = [MAIN_TYPE[spec.name], BROKEN, ANONYMOUS]
-    user = F.when(F.col("event_type") != ANONYMOUS, F.col("user_id").cast("string"))
+    name = F.col("user_id").cast("string") if named is None else named
+    user = F.when(F.col("event_type") != ANONYMOUS, name)
     rows = records(events.filter(F.col("event_type").isin(kinds)), spec, time_format, user)
     # A NULL field is left out of the text.
     whole = rows.withColumn("text", F.to_json(F.struct(*spec.fields)))

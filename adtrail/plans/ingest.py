@@ -24,13 +24,14 @@ def ingest(
     spec: SourceSpec,
     delay: timedelta = DELAY,
     observe: bool = False,
-    collapse_copies: bool = True,
+    collapse_copies: bool = False,
 ) -> Ingested:
     """Decode a topic, split it by the rules of the source and drop copies of valid rows.
 
     In batch the copy that comes first in the log is kept. A stream keeps the
-    first one it sees within ``delay``, and also rejects rows without a
-    readable timestamp: they could not leave the state again.
+    first one it sees and drops those that arrive within ``delay`` after it; a
+    row is never dropped for being late. It also rejects rows without a readable
+    timestamp, which have no place in the windows that follow.
     ``collapse_copies`` guards a stream's dedup against keys with very many
     copies.
     """

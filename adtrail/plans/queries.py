@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import timedelta
+from functools import reduce
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,14 +15,15 @@ from adtrail.operators import attribution, dedup, quality
 from adtrail.plans import event_topics as topics_of
 from adtrail.plans import jobs
 from adtrail.plans.ingest import ingest
-from adtrail.registry import ATTRIBUTION_TABLE, BIDS, CLICKS, IMPRESSIONS, json_sources
+from adtrail.registry import ATTRIBUTION_TABLE, BIDS, BUSY_ATTRIBUTION_TABLE, CLICKS, IMPRESSIONS, json_sources
 from adtrail.session import settings, work_folder
 from adtrail.sinks import publish, tables as sink
 from adtrail.sources.files import csv_with_header, json_arrays
 from adtrail.sources.tables import Tables, preview
-from adtrail.sources.topics import FileTopics, read_streams, read_topics
+from adtrail.sources.topics import FileTopics, read_streams, read_topics, schema_text
 from adtrail.streaming.dedup import drop_copies as drop_stream_copies
 from adtrail.streaming import jobs as streaming
+from adtrail.streaming.metrics import batch_counts, forget
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -30,8 +31,6 @@ JSON = json_sources()
 JSON_BIDS = JSON[BIDS.name]
 WINDOW = timedelta(hours=6)
 DELAY = timedelta(hours=1)
-# Longer than the 30 days the events span: nothing is late.
-WHOLE_SPAN = timedelta(days=60)
 
 QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
@@ -117,6 +116,12 @@ ALL_TOPICS_SQL = """
     UNION ALL SELECT 'bid_requests', event_id, event_type FROM events
     WHERE event_type IN ('view', 'error', 'signup')"""
 
+MAIN_ROWS_SQL = """
+    SELECT CASE event_type WHEN 'click' THEN 'ad_impressions' WHEN 'purchase' THEN 'clicks_conversions'
+           ELSE 'bid_requests' END AS source, event_id, user_id, ts,
+           CASE event_type WHEN 'view' THEN props->>'$.k' ELSE event_type END AS detail
+    FROM events WHERE event_type IN ('click', 'purchase', 'view')"""
+
 ERROR_COUNTS_SQL = f"""SELECT source,
     CASE event_type WHEN 'error' THEN 'undecodable' ELSE 'missing_user_id' END AS reason,
     count(*) AS errors FROM ({ALL_TOPICS_SQL}) WHERE event_type IN ('error', 'signup')
@@ -136,9 +141,10 @@ def sides(spark: SparkSession, sf_dir: str, *users) -> tuple[DataFrame, DataFram
     )
 
 
-def flat_attribution(nested: DataFrame) -> DataFrame:
+def flat_attribution(nested: DataFrame, *others: str) -> DataFrame:
     """Attribution records without structs and maps."""
     return nested.select(
+        *others,
         "user_id",
         F.col("bid_requests.auction_id").alias("auction_id"),
         F.element_at("bid_requests.targeting_criteria", "k").alias("target_k"),
@@ -159,20 +165,32 @@ def flat_records(df: DataFrame) -> DataFrame:
     return df.drop("targeting_criteria", "event_time", "event_date")
 
 
-def batch_logs(spark: SparkSession, sf_dir: str, time_format: str = topics_of.ISO):
+def batch_logs(spark: SparkSession, sf_dir: str, time_format: str = topics_of.ISO, user=None):
     events = topics_of.read_events(spark, sf_dir)
-    return {name: topics_of.topic(events, spec, time_format) for name, spec in JSON.items()}
+    return {name: topics_of.topic(events, spec, time_format, user) for name, spec in JSON.items()}
 
 
 def staged_topics(
-    spark: SparkSession, sf_dir: str, folder: str, deliveries: int = 1, names=tuple(JSON)
+    spark: SparkSession,
+    sf_dir: str,
+    folder: str,
+    deliveries: int = 1,
+    names=tuple(JSON),
+    files: int = 1,
+    user=None,
 ) -> FileTopics:
-    """The derived topics as file logs; each message is delivered ``deliveries`` times."""
+    """The derived topics as file logs; each message is delivered ``deliveries`` times.
+
+    With several ``files`` messages are dealt to them by a hash of their place,
+    so that each file spans the whole time: all but the first are full of late rows.
+    """
     topics = FileTopics(f"{folder}/topics")
-    logs = batch_logs(spark, sf_dir)
+    logs = batch_logs(spark, sf_dir, user=user)
     for name in names:
         delivery = F.explode(F.sequence(F.lit(0), F.lit(deliveries - 1)))
         copies = logs[name].withColumn("partition", delivery)
+        if files > 1:
+            copies = copies.repartition(files, F.xxhash64("offset", "partition"))
         copies.write.parquet(topics.path(name))
     return topics
 
@@ -191,16 +209,20 @@ def deliver_sentinels(spark: SparkSession, sf_dir: str, topics: FileTopics) -> N
         topics_of.topic(main, spec).write.mode("append").parquet(topics.path(name))
 
 
-def json_array_files(df: DataFrame, fields: list[str], path: str) -> None:
-    """Files of one JSON array each, as many as there are Arrow batches."""
+#: Records of one JSON array file.
+ARRAY_RECORDS = 2000
 
-    def arrays(batches):
-        for batch in batches:
-            if len(batch):
-                yield pd.DataFrame({"value": ["[" + ",\n".join(batch["value"]) + "]"]})
 
-    text = df.select(F.to_json(F.struct(*fields)).alias("value"))
-    text.mapInPandas(arrays, "value string").write.option("maxRecordsPerFile", 1).text(path)
+def json_array_files(df: DataFrame, fields: list[str], path: str) -> None:
+    """Files of one JSON array each, of about ``ARRAY_RECORDS`` records."""
+    chunks = -(-df.count() // ARRAY_RECORDS) or 1
+    text = df.select(
+        F.pmod(F.xxhash64("event_id"), F.lit(chunks)).alias("chunk"),
+        F.to_json(F.struct(*fields)).alias("record"),
+    )
+    arrays = text.groupBy("chunk").agg(F.array_join(F.collect_list("record"), ",\n").alias("records"))
+    value = F.concat(F.lit("["), "records", F.lit("]")).alias("value")
+    arrays.select(value).write.option("maxRecordsPerFile", 1).text(path)
 
 
 # --- payloads and scans ----------------------------------------------------------
@@ -233,15 +255,15 @@ def decode_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    "SELECT event_id, user_id, event_type, value, props FROM events"
+    "SELECT event_id, epoch_us(ts) AS ts_micros, user_id, event_type, value, props FROM events"
 )
 def json_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Encode rows as JSON and decode them again."""
-    events = topics_of.read_events(spark, sf_dir).select(
-        "event_id", "user_id", "event_type", "value", "props"
-    )
-    text = events.select(F.to_json(F.struct("*")).alias("value"))
-    return text.select(F.from_json("value", events.schema).alias("data")).select("data.*")
+    """Encode rows as JSON and decode them again, times to the microsecond."""
+    events = topics_of.read_events(spark, sf_dir)
+    options = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+    text = events.select(F.to_json(F.struct("*"), options).alias("value"))
+    rows = text.select(F.from_json("value", events.schema, options).alias("data")).select("data.*")
+    return rows.withColumn("ts_micros", F.unix_micros(F.col("ts").cast("timestamp"))).drop("ts")
 
 
 @query("SELECT event_id, props AS payload, octet_length(encode(props)) AS bytes FROM events")
@@ -322,12 +344,8 @@ def json_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    f"""SELECT 'ad_impressions' AS topic, count(*) AS messages, count(DISTINCT event_id) AS keys
-    FROM events WHERE event_type = 'click'
-    UNION ALL SELECT 'clicks_conversions', count(*), count(DISTINCT event_id)
-    FROM events WHERE event_type = 'purchase'
-    UNION ALL SELECT 'bid_requests', count(*), count(DISTINCT event_id)
-    FROM events WHERE event_type = 'view'"""
+    f"""SELECT source AS topic, CAST(user_id AS VARCHAR) AS user_id, CAST(event_id AS VARCHAR) AS id,
+    {ISO_SQL} AS "timestamp", detail FROM ({MAIN_ROWS_SQL})"""
 )
 def seed_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Input files (JSON arrays, CSV) published to the three topics."""
@@ -342,23 +360,19 @@ def seed_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = jobs.InputFiles(*[f"{folder}/in/{s.name}" for s in (IMPRESSIONS, CLICKS, BIDS)])
     topics = FileTopics(f"{folder}/topics")
     jobs.seed(spark, files, topics, JSON)
-    key = {IMPRESSIONS.name: "ad_creative_id", CLICKS.name: "campaign_id", BIDS.name: "auction_id"}
-    counts = None
-    for name, log in read_topics(spark, topics, JSON).items():
-        decoded = quality.decode_log(log, JSON[name])
-        one = decoded.groupBy("topic").agg(
-            F.count(F.lit(1)).alias("messages"), F.countDistinct(key[name]).alias("keys")
-        )
-        counts = one if counts is None else counts.unionByName(one)
-    return counts
+    rows = [
+        quality.decode_log(log, JSON[name]).select("topic", *record_columns(JSON[name]))
+        for name, log in read_topics(spark, topics, JSON).items()
+    ]
+    return reduce(DataFrame.unionByName, rows)
 
 
 @query(f'SELECT source AS topic, event_id AS "offset" FROM ({ALL_TOPICS_SQL})')
 def topic_stream_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The three topics as streams, earliest first, at a limited rate."""
     folder = work_folder(spark, "scan")
-    staged = staged_topics(spark, sf_dir, folder)
-    limited = FileTopics(staged.root, max_files_per_trigger=16)
+    staged = staged_topics(spark, sf_dir, folder, files=4)
+    limited = FileTopics(staged.root, max_files_per_trigger=1)
     tables = Tables(f"{folder}/tables")
     logs = read_streams(spark, limited, JSON)
     running = [
@@ -366,6 +380,10 @@ def topic_stream_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         for name, log in logs.items()
     ]
     streaming.finish(running)
+    for stream in running:
+        batches = [p for p in stream.recentProgress if p.numInputRows]
+        if len(batches) < 2:
+            raise AssertionError(f"the rate limit did not bind on {stream.name}")
     read = [tables.read(spark, name) for name in logs]
     return read[0].unionByName(read[1]).unionByName(read[2])
 
@@ -488,15 +506,17 @@ def left_join_user(spark: SparkSession, sf_dir: str) -> DataFrame:
 def attribution_user(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Attribution by user."""
     three = sides(spark, sf_dir)
-    hot = attribution.find_hot_users(*three)
-    flat = attribution.attribute_by_user(*three, hot)
+    tasks = attribution.output_tasks(*three)
+    hot = attribution.find_hot_users(*three, tasks)
+    flat = attribution.attribute_by_user(*three, hot, tasks)
     return flat_attribution(attribution.nested(flat))
 
 
 @query(user_attribution_sql(sides_sql(), "i.user_id"))
 def attribution_reference_user(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J3 with the user taken from the impression."""
-    flat = attribution.attribute_by_user(*sides(spark, sf_dir))
+    three = sides(spark, sf_dir)
+    flat = attribution.attribute_by_user(*three, attribution.find_hot_users(*three))
     return flat_attribution(attribution.nested(flat, reference_user_id=True))
 
 
@@ -553,7 +573,24 @@ def table_append_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     topics = staged_topics(spark, sf_dir, folder, deliveries=2, names=(IMPRESSIONS.name,))
     tables = Tables(f"{folder}/tables")
     log = topics.stream(spark, IMPRESSIONS.name)
-    streaming.finish([streaming.start_curated(log, IMPRESSIONS, tables, WHOLE_SPAN)])
+    streaming.finish([streaming.start_curated(log, IMPRESSIONS, tables)])
+    return tables.read(spark, IMPRESSIONS.table).select(
+        *IMPRESSIONS.fields, F.col("event_date").cast("string").alias("event_date")
+    )
+
+
+@query(
+    f"""SELECT CAST(event_id AS VARCHAR) AS ad_creative_id, CAST(user_id AS VARCHAR) AS user_id,
+    {ISO_SQL} AS "timestamp", event_type AS website, strftime(ts, '%Y-%m-%d') AS event_date
+    FROM events WHERE event_type = 'click'"""
+)
+def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Eight files that each span all time, one per micro-batch, default delay; no row is lost."""
+    folder = work_folder(spark, "late")
+    staged = staged_topics(spark, sf_dir, folder, deliveries=2, names=(IMPRESSIONS.name,), files=8)
+    tables = Tables(f"{folder}/tables")
+    log = FileTopics(staged.root, max_files_per_trigger=1).stream(spark, IMPRESSIONS.name)
+    streaming.finish([streaming.start_curated(log, IMPRESSIONS, tables)])
     return tables.read(spark, IMPRESSIONS.table).select(
         *IMPRESSIONS.fields, F.col("event_date").cast("string").alias("event_date")
     )
@@ -581,30 +618,73 @@ def table_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
     return preview(events.select("event_id", "user_id", "event_type"), ["event_id"])
 
 
-BATCH_JOB_SQL = f"""{sides_sql()}
-    SELECT 'ad_impressions' AS "table", count(*) AS rows, count(DISTINCT user_id) AS users FROM i
-    UNION ALL SELECT 'clicks_conversions', count(*), count(DISTINCT user_id) FROM c
-    UNION ALL SELECT 'bid_requests', count(*), count(DISTINCT user_id) FROM b
-    UNION ALL SELECT 'attribution', count(*), count(DISTINCT b.user_id) {{join}}"""
+def table_rows_sql(hours: tuple[int, int] = (1, 24)) -> str:
+    """All four tables as rows of one shape."""
+    return f"""{sides_sql()}
+    SELECT 'ad_impressions' AS "table", user_id, ad_creative_id AS id, impression_timestamp AS "timestamp",
+           website AS detail, NULL AS shown, NULL AS clicked, strftime(ts, '%Y-%m-%d') AS event_date FROM i
+    UNION ALL SELECT 'clicks_conversions', user_id, campaign_id, click_timestamp, conversion_type,
+           NULL, NULL, strftime(ts, '%Y-%m-%d') FROM c
+    UNION ALL SELECT 'bid_requests', user_id, auction_id, bid_timestamp, target_k,
+           NULL, NULL, strftime(ts, '%Y-%m-%d') FROM b
+    UNION ALL SELECT 'attribution', b.user_id, auction_id, bid_timestamp, target_k,
+           ad_creative_id, campaign_id, strftime(b.ts, '%Y-%m-%d')
+    FROM b LEFT JOIN i ON b.user_id = i.user_id AND i.ts BETWEEN b.ts AND b.ts + INTERVAL {hours[0]} HOUR
+    LEFT JOIN c ON i.user_id = c.user_id AND c.ts BETWEEN i.ts AND i.ts + INTERVAL {hours[1]} HOUR"""
+
+
+def record_columns(spec) -> list:
+    """A record of any source in one shape."""
+    names = {
+        IMPRESSIONS.name: ("ad_creative_id", F.col("website")),
+        CLICKS.name: ("campaign_id", F.col("conversion_type")),
+        BIDS.name: ("auction_id", F.element_at("targeting_criteria", "k")),
+    }
+    ident, detail = names[spec.name]
+    return ["user_id", F.col(ident).alias("id"), "timestamp", detail.alias("detail")]
 
 
-def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
-    counts = None
+def table_rows(tables: dict[str, DataFrame]) -> DataFrame:
+    """The rows of curated tables in one shape."""
+    date = F.col("event_date").cast("string").alias("event_date")
+    none = F.lit(None).cast("string")
+    rows = []
     for name, df in tables.items():
-        real = df.filter(F.col("user_id") != "-1")
-        one = real.agg(
-            F.count(F.lit(1)).alias("rows"), F.countDistinct("user_id").alias("users")
-        ).select(F.lit(name).alias("table"), "rows", "users")
-        counts = one if counts is None else counts.unionByName(one)
-    return counts
-
-
-@query(BATCH_JOB_SQL.format(join=USER_JOIN_SQL))
+        if name == ATTRIBUTION_TABLE:
+            flat = flat_attribution(df, "event_date").select(
+                F.lit(name).alias("table"),
+                "user_id",
+                F.col("auction_id").alias("id"),
+                F.col("bid_timestamp").alias("timestamp"),
+                F.col("target_k").alias("detail"),
+                F.col("ad_creative_id").alias("shown"),
+                F.col("campaign_id").alias("clicked"),
+                date,
+            )
+        else:
+            columns = record_columns(JSON[name])
+            flat = df.select(
+                F.lit(name).alias("table"), *columns, none.alias("shown"), none.alias("clicked"), date
+            )
+        rows.append(flat)
+    return reduce(DataFrame.unionByName, rows)
+
+
+@query(table_rows_sql())
 def read_back(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The batch job's four curated tables, read back."""
     tables = Tables(work_folder(spark, "batch"))
     jobs.process_batch(batch_logs(spark, sf_dir), tables, JSON)
-    return table_counts(jobs.read_back(spark, tables))
+    return table_rows(jobs.read_back(spark, tables))
+
+
+@query(table_rows_sql((6, 6)))
+def batch_job_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C4 K4: the batch job run again on the same log leaves the same tables."""
+    tables = Tables(work_folder(spark, "batch"))
+    for _ in range(2):
+        jobs.process_batch(batch_logs(spark, sf_dir), tables, JSON, (WINDOW, WINDOW))
+    return table_rows(jobs.read_back(spark, tables))
 
 
 @query(ERROR_COUNTS_SQL)
@@ -645,7 +725,7 @@ def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     stream = topics_of.stream_events(spark, sf_dir).select(
         "user_id", "event_type", F.col("ts").cast("timestamp").alias("event_time")
     )
-    unique = drop_stream_copies(stream, ["user_id", "event_type"], WHOLE_SPAN)
+    unique = drop_stream_copies(stream, ["user_id", "event_type"], DELAY)
     rows = unique.select("user_id", "event_type")
     streaming.finish([sink.append_stream(rows, tables, "unique", None)])
     return tables.read(spark, "unique")
@@ -669,38 +749,40 @@ def stream_attribution(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    """SELECT 'ad_impressions' AS "table", count(*) AS rows, count(DISTINCT user_id) AS users
-    FROM events WHERE event_type = 'click'
-    UNION ALL SELECT 'clicks_conversions', count(*), count(DISTINCT user_id)
-    FROM events WHERE event_type = 'purchase'
-    UNION ALL SELECT 'bid_requests', count(*), count(DISTINCT user_id)
-    FROM events WHERE event_type = 'view'
-    UNION ALL SELECT 'dead_letter_' || source, count(*), 0 FROM ("""
-    + ALL_TOPICS_SQL
-    + """) WHERE event_type IN ('error', 'signup') GROUP BY source"""
+    f"""SELECT source AS "table", CAST(user_id AS VARCHAR) AS user_id, CAST(event_id AS VARCHAR) AS id,
+    {ISO_SQL} AS "timestamp", detail, NULL AS "partition" FROM ({MAIN_ROWS_SQL})
+    UNION ALL SELECT 'dead_letter_' || source, NULL, CAST(event_id AS VARCHAR), NULL,
+    CASE event_type WHEN 'error' THEN 'undecodable' ELSE 'missing_user_id' END, CAST(p AS VARCHAR)
+    FROM ({ALL_TOPICS_SQL}), (VALUES (0), (1)) AS copies(p) WHERE event_type IN ('error', 'signup')"""
 )
 def stream_fan_out(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each topic read once for its curated and its dead-letter table.
 
-    Every message arrives twice; both tables hold it once per place in the log
-    (dead letters) or once per key (curated).
+    Every message arrives twice, in several micro-batches; the tables hold it
+    once per place in the log (dead letters) or once per key (curated).
     """
     folder = work_folder(spark, "fan-out")
-    topics, tables = staged_topics(spark, sf_dir, folder, deliveries=2), Tables(f"{folder}/tables")
-    logs = read_streams(spark, topics, JSON)
+    staged, tables = staged_topics(spark, sf_dir, folder, deliveries=2, files=3), Tables(f"{folder}/tables")
+    logs = read_streams(spark, FileTopics(staged.root, max_files_per_trigger=1), JSON)
     streaming.finish(
         [streaming.start_fan_out(logs[name], spec, tables) for name, spec in JSON.items()]
     )
-    curated = table_counts({name: tables.read(spark, name) for name in JSON})
-    for spec in JSON.values():
-        dead = tables.read(spark, spec.dead_letter_table).agg(
-            (F.count(F.lit(1)) / 2).cast("long").alias("rows"),
-            F.lit(0).cast("long").alias("users"),
-        )
-        curated = curated.unionByName(
-            dead.select(F.lit(spec.dead_letter_table).alias("table"), "rows", "users")
+    rows = []
+    for name, spec in JSON.items():
+        good = tables.read(spark, name).select(F.lit(name).alias("table"), *record_columns(spec))
+        rows.append(good.withColumn("partition", F.lit(None).cast("string")))
+        none = F.lit(None).cast("string")
+        rows.append(
+            tables.read(spark, spec.dead_letter_table).select(
+                F.lit(spec.dead_letter_table).alias("table"),
+                none.alias("user_id"),
+                F.col("offset").cast("string").alias("id"),
+                none.alias("timestamp"),
+                F.col("reason").alias("detail"),
+                F.col("partition").cast("string").alias("partition"),
+            )
         )
-    return curated
+    return reduce(DataFrame.unionByName, rows)
 
 
 @query(
@@ -711,17 +793,78 @@ def stream_fan_out(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM ({ALL_TOPICS_SQL}) GROUP BY source"""
 )
 def stream_quality_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows and errors counted by the streams while they pass."""
+    """Rows and errors counted by the streams while they pass.
+
+    Many micro-batches, while Spark itself remembers the progress of one.
+    """
     folder = work_folder(spark, "metrics")
-    topics, tables = staged_topics(spark, sf_dir, folder), Tables(f"{folder}/tables")
-    logs = read_streams(spark, topics, JSON)
-    running = {
-        name: streaming.start_dead_letters(logs[name], spec, tables) for name, spec in JSON.items()
-    }
-    streaming.finish(list(running.values()))
+    staged, tables = staged_topics(spark, sf_dir, folder, files=4), Tables(f"{folder}/tables")
+    logs = read_streams(spark, FileTopics(staged.root, max_files_per_trigger=1), JSON)
+    with settings(spark, {"spark.sql.streaming.numRecentProgressUpdates": "1"}):
+        running = [streaming.start_dead_letters(logs[name], spec, tables) for name, spec in JSON.items()]
+        streaming.finish(running)
+    forget(spark, tables)
     names = ["rows_read", "data_quality_errors", "undecodable", "missing_user_id"]
-    totals = []
-    for name, stream in running.items():
-        batches = streaming.metrics(stream, JSON[name])
-        totals.append((name, *[sum(counts[n] for counts in batches) for n in names]))
-    return spark.createDataFrame(totals, ["source", *names])
+    totals = [
+        batch_counts(spark, tables, spec)
+        .agg(*[F.sum(n).alias(n) for n in names])
+        .withColumn("source", F.lit(name))
+        for name, spec in JSON.items()
+    ]
+    return reduce(DataFrame.unionByName, totals)
+
+
+@query(interval_attribution_sql(sides_sql(*[busy_sql("1")] * 3), 1))
+def stream_attribution_busy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``stream_attribution``, a third of all rows on one user.
+
+    The stream leaves that user's bids from the middle of the time on to a batch run.
+    """
+    hour = timedelta(hours=1)
+    folder = work_folder(spark, "stream-busy")
+    topics, tables = staged_topics(spark, sf_dir, folder, user=busy("1")), Tables(f"{folder}/tables")
+    mean = F.avg(F.unix_micros(F.col("ts").cast("timestamp"))).cast("long")
+    middle = topics_of.read_events(spark, sf_dir).agg(mean).first()[0]
+    listed = spark.range(1).select(F.lit("1").alias("user_id"), F.timestamp_micros(F.lit(middle)).alias("since"))
+    options = dict(impression_window=hour, click_window=hour, delay=DELAY, busy=listed)
+    jobs.process_streams(spark, topics, tables, JSON, **options)
+    deliver_sentinels(spark, sf_dir, topics)
+    jobs.process_streams(spark, topics, tables, JSON, **options)
+    jobs.attribute_busy(spark, tables, listed, hour, hour)
+    streamed = tables.read(spark, ATTRIBUTION_TABLE).filter(F.col("user_id") != "-1")
+    return flat_attribution(streamed).unionByName(
+        flat_attribution(tables.read(spark, BUSY_ATTRIBUTION_TABLE))
+    )
+
+
+SCHEMA_FIELDS = {
+    "key": "binary",
+    "value": "binary",
+    "topic": "string",
+    "partition": "integer",
+    "offset": "long",
+    "timestamp": "timestamp",
+    "timestampType": "integer",
+}
+
+
+@query(
+    "SELECT t.topic, f.field, f.kind, count(e.event_id) AS messages FROM (VALUES "
+    + ", ".join(f"('{name}')" for name in JSON)
+    + ") AS t(topic), (VALUES "
+    + ", ".join(f"('{field}', '{kind}')" for field, kind in SCHEMA_FIELDS.items())
+    + f") AS f(field, kind), ({ALL_TOPICS_SQL}) AS e WHERE e.source = t.topic GROUP BY ALL"
+)
+def schema_print(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K7: the printed schema of each topic's stream, line by line, with the messages read under it."""
+    folder = work_folder(spark, "schema")
+    topics = staged_topics(spark, sf_dir, folder)
+    rows = []
+    for name, log in read_streams(spark, topics, JSON).items():
+        text = F.explode(F.split(F.lit(schema_text(log)), "\n"))
+        lines = topics.table(spark, name).agg(F.count(F.lit(1)).alias("messages")).select("messages", text.alias("line"))
+        field, kind = (F.regexp_extract("line", r"\|-- (\w+): (\w+)", n) for n in (1, 2))
+        rows.append(
+            lines.select(F.lit(name).alias("topic"), field.alias("field"), kind.alias("kind"), "messages").where("field <> ''")
+        )
+    return reduce(DataFrame.unionByName, rows)

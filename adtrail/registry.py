@@ -53,6 +53,8 @@ LOG_SCHEMA = T.StructType(
 )
 
 ATTRIBUTION_TABLE = "attribution"
+# Attribution of users too busy for the stream, written by batch runs.
+BUSY_ATTRIBUTION_TABLE = "attribution_busy"
 
 
 @dataclass(frozen=True)

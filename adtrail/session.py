@@ -10,6 +10,7 @@ from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
+STATE_PARTITIONS = "spark.adtrail.statePartitions"
 BATCH_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -76,16 +77,18 @@ def settings(spark: SparkSession, conf: dict[str, str]) -> Iterator[None]:
 def state_partitions(spark: SparkSession) -> int:
     """Width of stateful operators, fixed in a checkpoint at the first start.
 
-    The session's shuffle width, but no more than twice the cores: each
-    partition is one state store per operator, opened in every micro-batch.
+    ``spark.adtrail.statePartitions`` if it is set, else the session's shuffle
+    width. The cores at the start say nothing: with dynamic allocation a cluster
+    begins with few. Each partition is one state store per operator, opened in
+    every micro-batch, so a small stream wants few.
     """
-    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return max(1, min(width, 2 * spark.sparkContext.defaultParallelism))
+    width = spark.conf.get(STATE_PARTITIONS, None) or spark.conf.get("spark.sql.shuffle.partitions")
+    return max(1, int(width))
 
 
 def work_folder(spark: SparkSession, name: str) -> str:
     """A new folder below the cluster's shared checkpoint folder."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if shared:
         return f"{shared.rstrip('/')}/adtrail/{name}-{uuid.uuid4().hex}"
     if not spark.sparkContext.master.startswith("local"):

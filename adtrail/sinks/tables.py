@@ -2,17 +2,32 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from adtrail.session import STREAM_CONF, settings, state_partitions
-from adtrail.sources.tables import Tables
+from adtrail.sources.tables import Tables, remove_folder
 
 EVENT_DATE = "event_date"
 INGEST_DATE = "ingest_date"
 MAX_DATES = 1000
-MAX_BROADCAST_ROWS = 500_000
+#: Files a micro-batch adds to a date.
+FILES_PER_DATE = 4
+
+
+def create_if_absent(
+    df: DataFrame, tables: Tables, table: str, partition_by: str | None = EVENT_DATE
+) -> None:
+    """Make a catalog table with the columns of ``df``; tables of files need none."""
+    if tables.in_catalog and not tables.exists(df.sparkSession, table):
+        empty = df.sparkSession.createDataFrame([], df.schema)
+        writer = empty.writeTo(tables.path(table)).using(tables.fmt)
+        if partition_by is not None:
+            writer = writer.partitionedBy(F.col(partition_by))
+        writer.create()
 
 
 def append(
@@ -24,6 +39,10 @@ def append(
     size: many small tasks do not each leave a file per date, and a date with
     very many rows is still written by many tasks.
     """
+    if tables.in_catalog:
+        create_if_absent(df, tables, table, partition_by)
+        df.writeTo(tables.path(table)).append()
+        return
     if partition_by is None:
         df.write.format(tables.fmt).mode("append").save(tables.path(table))
         return
@@ -31,10 +50,44 @@ def append(
     writer.partitionBy(partition_by).save(tables.path(table))
 
 
-def replace_dates(df: DataFrame, tables: Tables, table: str, date: str = EVENT_DATE) -> None:
-    """Write a batch frame over the dates it holds and leave all others: safe to repeat."""
+def replace(df: DataFrame, tables: Tables, table: str, date: str = EVENT_DATE) -> None:
+    """Write a batch frame in place of all the table holds."""
+    if tables.in_catalog:
+        create_if_absent(df, tables, table, date)
+        df.writeTo(tables.path(table)).overwrite(F.lit(True))
+        return
+    writer = df.hint("rebalance", date).write.format(tables.fmt).mode("overwrite")
+    writer.option("partitionOverwriteMode", "static").partitionBy(date).save(tables.path(table))
+
+
+def replace_dates(
+    df: DataFrame,
+    tables: Tables,
+    table: str,
+    period: Column,
+    date: str = EVENT_DATE,
+) -> None:
+    """Write a batch frame over the dates of ``period``, a condition on ``date``.
+
+    All other dates stay. A date of the period that ``df`` has no row of is
+    emptied, so this is safe to repeat with other rows.
+    """
+    spark = df.sparkSession
+    if tables.in_catalog:
+        create_if_absent(df, tables, table, date)
+        df.writeTo(tables.path(table)).overwrite(period)
+        return
+    old = set()
+    if tables.exists(spark, table):
+        held = tables.read(spark, table).where(period).select(date).distinct()
+        old = {row[0] for row in held.collect()}  # a row per date of the period
     writer = df.hint("rebalance", date).write.format(tables.fmt).mode("overwrite")
     writer.option("partitionOverwriteMode", "dynamic").partitionBy(date).save(tables.path(table))
+    if old:
+        new = {row[0] for row in df.select(date).distinct().collect()}
+        for day in old - new:
+            name = "__HIVE_DEFAULT_PARTITION__" if day is None else day
+            remove_folder(spark, f"{tables.path(table)}/{date}={name}")
 
 
 def append_once(
@@ -47,27 +100,35 @@ def append_once(
     the shuffle. Running this again with the same rows adds nothing, which
     makes it safe for a micro-batch that is repeated after a failure.
 
-    The keys of a small batch go to the table's scan, so that a micro-batch
-    does not shuffle whole days of keys; a large one is joined by shuffling.
+    Of the table's keys only those of ``df`` go on to the second join; Spark
+    broadcasts the keys of a small ``df`` by their size. NULL keys equal each
+    other.
     """
     spark = df.sparkSession
     fresh = df.dropDuplicates(keys)
     if tables.exists(spark, table):
         on = [date, *keys]
         held = tables.read(spark, table).filter(_dates_of(df, date)).select(*on)
-        if df.count() <= MAX_BROADCAST_ROWS:
-            held = held.join(F.broadcast(df.select(*on)), on, "left_semi")
-        fresh = fresh.join(held, on, "left_anti")
+        held = _null_safe(held, df, on, "left_semi")
+        fresh = _null_safe(fresh, held, on, "left_anti")
     append(fresh.select(*df.columns), tables, table, date)
 
 
+def _null_safe(left: DataFrame, right: DataFrame, on: list[str], kind: str) -> DataFrame:
+    """Join on columns of which NULLs equal each other."""
+    other = right.select(*[F.col(c).alias(f"__{c}") for c in on])
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in on])
+    return left.join(other, same, kind)
+
+
 def _dates_of(df: DataFrame, date: str) -> Column:
     """A partition filter for the dates of ``df``: each of them, or their span if they are many."""
     dates = [row[0] for row in df.select(date).distinct().limit(MAX_DATES + 1).collect()]
+    undated = F.col(date).isNull()
     if len(dates) <= MAX_DATES:
-        return F.col(date).isin(dates)
+        return F.col(date).isin([d for d in dates if d is not None]) | (undated & F.lit(None in dates))
     span = df.agg(F.min(date).alias("low"), F.max(date).alias("high")).first()
-    return F.col(date).between(span["low"], span["high"])
+    return F.col(date).between(span["low"], span["high"]) | undated
 
 
 def stream_writer(
@@ -79,12 +140,12 @@ def stream_writer(
         .queryName(table)
         .outputMode("append")
         .option("checkpointLocation", tables.checkpoint(table))
-        .option("path", tables.path(table))
     )
-    # Iceberg and the like take the partitioning from the table they append to.
-    if partition_by is not None and tables.fmt in ("parquet", "orc", "json", "csv"):
-        writer = writer.partitionBy(partition_by)
-    return writer
+    if tables.in_catalog:  # takes its partitioning from the table
+        create_if_absent(df, tables, table, partition_by)
+        return writer
+    writer = writer.option("path", tables.path(table))
+    return writer if partition_by is None else writer.partitionBy(partition_by)
 
 
 def start(
@@ -93,6 +154,7 @@ def start(
     once: bool = True,
     every: str = "1 minute",
     partitions: int | None = None,
+    to_table: str | None = None,
 ) -> StreamingQuery:
     """Start a query: over all there is now (``once``) or for good."""
     trigger = {"availableNow": True} if once else {"processingTime": every}
@@ -100,7 +162,8 @@ def start(
     width = partitions or state_partitions(spark)
     conf = {**STREAM_CONF, "spark.sql.shuffle.partitions": str(width)}
     with settings(spark, conf):
-        return writer.trigger(**trigger).start()
+        writer = writer.trigger(**trigger)
+        return writer.start() if to_table is None else writer.toTable(to_table)
 
 
 def append_stream(
@@ -108,15 +171,17 @@ def append_stream(
     tables: Tables,
     table: str,
     partition_by: str | None = EVENT_DATE,
-    files_per_date: int | None = None,
+    files_per_date: int | None = FILES_PER_DATE,
     **run,
 ) -> StreamingQuery:
     """Start appending a stream to a table and return the running query.
 
-    A task writes one file per date it sees. A backfill over many dates can
-    leave too many: with ``files_per_date`` a date is gathered into that many
-    tasks first. ``run`` is passed to ``start``.
+    A date's rows of a micro-batch are gathered into ``files_per_date`` tasks,
+    each of which writes one file; with None every task writes a file per date
+    it sees. ``run`` is passed to ``start``.
     """
+    if tables.in_catalog:
+        run["to_table"] = tables.path(table)
     if partition_by is not None and files_per_date is not None:
         piece = F.pmod(F.xxhash64(*[c for c, t in df.dtypes if t == "string"]), F.lit(files_per_date))
         df = df.repartition(F.col(partition_by), piece)

@@ -11,20 +11,41 @@ from pyspark.sql import types as T
 from adtrail.registry import CURATED_TABLES
 
 
+FILE_FORMATS = ("parquet", "orc", "json", "csv")
+
+
 @dataclass(frozen=True)
 class Tables:
-    """All tables of one warehouse: one root, so writers and readers agree."""
+    """All tables of one warehouse: one root, so writers and readers agree.
+
+    For formats of files the root is a folder. For others, such as Iceberg, it is
+    a catalog and namespace (``local.ads``), and ``side_root`` the folder for
+    checkpoints and metrics.
+    """
 
     root: str
     fmt: str = "parquet"
+    side_root: str | None = None
+
+    @property
+    def in_catalog(self) -> bool:
+        return self.fmt not in FILE_FORMATS
 
     def path(self, table: str) -> str:
-        return f"{self.root.rstrip('/')}/{table}"
+        """The folder of a table, or its name in the catalog."""
+        return f"{self.root}.{table}" if self.in_catalog else f"{self.root.rstrip('/')}/{table}"
+
+    def side_folder(self, name: str) -> str:
+        if self.in_catalog and self.side_root is None:
+            raise ValueError("tables of a catalog need a side_root for checkpoints")
+        return f"{(self.side_root or self.root).rstrip('/')}/{name}"
 
     def checkpoint(self, query: str) -> str:
-        return f"{self.root.rstrip('/')}/_checkpoints/{query}"
+        return self.side_folder(f"_checkpoints/{query}")
 
     def read(self, spark: SparkSession, table: str) -> DataFrame:
+        if self.in_catalog:
+            return spark.read.table(self.path(table))
         return spark.read.format(self.fmt).load(self.path(table))
 
     def stream(
@@ -35,6 +56,8 @@ class Tables:
         max_files_per_trigger: int | None = None,
     ) -> DataFrame:
         """A table as a stream of its appends; the limit bounds what one micro-batch reads."""
+        if self.in_catalog:
+            return spark.readStream.table(self.path(table))
         reader = spark.readStream.format(self.fmt).schema(schema)
         if max_files_per_trigger is not None:
             reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
@@ -42,6 +65,8 @@ class Tables:
 
     def exists(self, spark: SparkSession, table: str) -> bool:
         """Whether the table holds data; a folder an empty append left does not count."""
+        if self.in_catalog:
+            return spark.catalog.tableExists(self.path(table))
         if not path_exists(spark, self.path(table)):
             return False
         try:
@@ -65,6 +90,21 @@ def make_folder(spark: SparkSession, path: str) -> None:
     hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(hadoop_path)
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file, in place of one of that name."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    out = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).create(hadoop_path, True)
+    try:
+        out.write(bytearray(text, "utf-8"))
+    finally:
+        out.close()
+
+
 def read_curated(spark: SparkSession, tables: Tables) -> dict[str, DataFrame]:
     """The four curated tables."""
     return {name: tables.read(spark, name) for name in CURATED_TABLES}

@@ -9,17 +9,20 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from adtrail.functions.timing import interval
 from adtrail.operators import quality
 from adtrail.operators.attribution import attribute_by_interval, nested
 from adtrail.plans.ingest import DELAY, ingest
 from adtrail.registry import ATTRIBUTION_TABLE, BIDS, CLICKS, IMPRESSIONS, SourceSpec
 from adtrail.sinks import tables as sink
 from adtrail.sources.tables import Tables, make_folder, path_exists
-from adtrail.streaming.dedup import with_delay
+from adtrail.streaming.dedup import drop_copies, with_delay
+from adtrail.streaming.metrics import batch_counts, settle, watch
 
 IMPRESSION_WINDOW = timedelta(hours=1)
 CLICK_WINDOW = timedelta(hours=24)
 HOT_USERS = "_hot_users"
+PLACE = ["topic", "partition", "offset"]
 
 
 def dead_letter_rows(invalid: DataFrame) -> DataFrame:
@@ -31,52 +34,79 @@ def start_curated(
     spec: SourceSpec,
     tables: Tables,
     delay: timedelta = DELAY,
-    collapse_copies: bool = True,
+    collapse_copies: bool = False,
     **run,
 ) -> StreamingQuery:
-    """Valid rows of a topic, without copies, into the curated table."""
+    """Valid rows of a topic, without copies, into the curated table; late ones too."""
     valid = ingest(log, spec, delay, collapse_copies=collapse_copies).valid
     return sink.append_stream(valid, tables, spec.table, **run)
 
 
 def start_dead_letters(log: DataFrame, spec: SourceSpec, tables: Tables, **run) -> StreamingQuery:
     """Invalid rows of a topic into the dead-letter table, counted per micro-batch."""
+    watch(log.sparkSession, tables)
     invalid = ingest(log, spec, observe=True).invalid
     return sink.append_stream(
         dead_letter_rows(invalid), tables, spec.dead_letter_table, sink.INGEST_DATE, **run
     )
 
 
-def start_fan_out(log: DataFrame, spec: SourceSpec, tables: Tables, **run) -> StreamingQuery:
+def start_fan_out(
+    log: DataFrame,
+    spec: SourceSpec,
+    tables: Tables,
+    delay: timedelta = DELAY,
+    collapse_copies: bool = False,
+    **run,
+) -> StreamingQuery:
     """Both tables from one read and one decode of the topic.
 
-    No state is kept: a row is new if the curated table does not hold its key
-    yet, however late it comes. A repeated micro-batch adds nothing.
+    Copies that arrive within ``delay`` are dropped before the micro-batch is
+    written: valid rows by the key of the source, invalid ones by their place in
+    the log. The micro-batches are then plain appends. Only one that may have
+    been written before is compared with the tables: the first after a start,
+    and all of a new checkpoint over tables that exist.
     """
+    spark = log.sparkSession
     spec = spec.with_event_time()
+    watch(spark, tables)
     decoded = quality.observed(quality.decode_log(log, spec), spec)
+    is_valid = F.col(quality.REASON).isNull()
+    by_key, by_place = (F.to_json(F.array(*[F.col(c).cast("string") for c in names])) for names in (spec.dedup_keys, PLACE))
+    slim = decoded.withColumns(
+        {
+            "copy_of": F.when(is_valid, by_key).otherwise(by_place),
+            "raw_value": F.when(~is_valid, F.col("raw_value")),
+        }
+    )
+    unique = drop_copies(slim, ["copy_of"], delay, collapse_copies).drop("copy_of")
+    checkpoint = tables.checkpoint(f"fan_out_{spec.name}")
+    targets = (spec.table, spec.dead_letter_table)
+    compare_all = not path_exists(spark, checkpoint) and any(tables.exists(spark, t) for t in targets)
+    started = False
 
     def write(batch: DataFrame, _batch_id: int) -> None:
+        nonlocal started
         batch.persist()
         try:
-            valid = quality.curated_columns(quality.valid_part(batch, spec), spec)
-            sink.append_once(valid, tables, spec.table, list(spec.dedup_keys), sink.EVENT_DATE)
-            sink.append_once(
-                dead_letter_rows(quality.dead_letters(batch, spec)),
-                tables,
-                spec.dead_letter_table,
-                ["topic", "partition", "offset"],
-                sink.INGEST_DATE,
-            )
+            valid = quality.curated_columns(batch.filter(is_valid), spec)
+            dead = dead_letter_rows(batch.filter(~is_valid).select(*quality.DEAD_COLUMNS))
+            if compare_all or not started:
+                sink.append_once(valid, tables, spec.table, list(spec.dedup_keys), sink.EVENT_DATE)
+                sink.append_once(dead, tables, spec.dead_letter_table, PLACE, sink.INGEST_DATE)
+            else:
+                sink.append(valid, tables, spec.table)
+                sink.append(dead, tables, spec.dead_letter_table, sink.INGEST_DATE)
+            started = True
         finally:
             batch.unpersist()
 
     writer = (
-        decoded.writeStream.foreachBatch(write)
+        unique.writeStream.foreachBatch(write)
         .queryName(f"fan_out_{spec.name}")
-        .option("checkpointLocation", tables.checkpoint(f"fan_out_{spec.name}"))
+        .option("checkpointLocation", checkpoint)
     )
-    return sink.start(writer, decoded, **run)
+    return sink.start(writer, unique, **run)
 
 
 def curated_schema(spec: SourceSpec) -> T.StructType:
@@ -109,6 +139,29 @@ def attribution_stream(
     return attribute_by_interval(*sides, impression_window, click_window, hot)
 
 
+def without_busy(
+    sides: tuple[DataFrame, DataFrame, DataFrame],
+    busy: DataFrame,
+    impression_window: timedelta,
+    click_window: timedelta,
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Bids, impressions and clicks a stream still needs when others attribute busy users.
+
+    ``busy`` has ``user_id`` and ``since``, a user once: bids from then on are
+    not the stream's. Impressions and clicks stay as long as an earlier bid can
+    reach them. The list is no part of a join key, so it may grow at any restart by users
+    with a ``since`` the stream has not reached. It has fewer rows than the joins have tasks and is broadcast.
+    """
+    reaches = (timedelta(0), impression_window, impression_window + click_window)
+    listed = F.broadcast(busy.select(F.col("user_id").alias("busy_user"), "since"))
+    return tuple(
+        df.join(listed, F.col("user_id") == F.col("busy_user"), "left")
+        .where(F.col("since").isNull() | (F.col("event_time") < F.col("since") + interval(reach)))
+        .select(*df.columns)
+        for df, reach in zip(sides, reaches)
+    )
+
+
 def start_attribution(
     spark: SparkSession,
     tables: Tables,
@@ -117,18 +170,28 @@ def start_attribution(
     delay: timedelta = DELAY,
     hot: DataFrame | None = None,
     max_files_per_trigger: int | None = None,
+    busy: DataFrame | None = None,
     **run,
 ) -> StreamingQuery:
     """Attribution from the curated tables, which are read as streams.
 
     The topics are not read a second time and rows are deduplicated once.
+    ``hot`` splits the bids of some users; ``busy`` leaves users to
+    ``plans.jobs.attribute_busy``, which splits all their rows.
     """
     for spec in (BIDS, IMPRESSIONS, CLICKS):
-        make_folder(spark, tables.path(spec.table))
+        if tables.in_catalog:
+            empty = spark.createDataFrame([], curated_schema(spec))
+            sink.create_if_absent(empty, tables, spec.table)
+        else:
+            make_folder(spark, tables.path(spec.table))
     bids, impressions, clicks = (
         tables.stream(spark, spec.table, curated_schema(spec), max_files_per_trigger)
         for spec in (BIDS, IMPRESSIONS, CLICKS)
     )
+    if busy is not None:
+        sides = (bids, impressions, clicks)
+        bids, impressions, clicks = without_busy(sides, busy, impression_window, click_window)
     flat = attribution_stream(
         bids,
         impressions,
@@ -168,14 +231,13 @@ def finish(queries: list[StreamingQuery]) -> None:
     """Wait for queries over the available data; an error of any is raised."""
     for query in queries:
         query.awaitTermination()
+    for query in queries:
+        settle(query)
 
 
-def metrics(query: StreamingQuery, spec: SourceSpec) -> list[dict[str, int]]:
-    """The counts of each micro-batch that has read rows."""
-    name = f"{quality.METRIC_NAME}_{spec.name}"
-    observed = [
-        progress.observedMetrics[name].asDict()
-        for progress in query.recentProgress
-        if name in progress.observedMetrics
-    ]
-    return [counts for counts in observed if counts["rows_read"]]
+def metrics(spark: SparkSession, tables: Tables, spec: SourceSpec) -> list[dict[str, int]]:
+    """The counts of the source's micro-batches in order; ``batch_counts`` has them as a table."""
+    counts = batch_counts(spark, tables, spec)
+    if counts is None:
+        return []
+    return [row.asDict() for row in counts.orderBy("query", "batch").collect()]

@@ -33,7 +33,16 @@ BATCH = [
     "decode_json",
     "json_round_trip",
 ]
-STREAMS = ["table_append_read", "stream_dedup", "stream_fan_out"]
+STREAMS = [
+    "table_append_read",
+    "stream_late_rows",
+    "stream_dedup",
+    "stream_fan_out",
+    "stream_attribution",
+    "stream_quality_metrics",
+    "read_back",
+    "attribution_in_periods",
+]
 RUNS = 3
 
 

@@ -1,9 +1,11 @@
 from __future__ import annotations
 
 import json
+from datetime import date
 from types import SimpleNamespace
 
 import pytest
+from pyspark.sql import functions as F
 from adtrail.operators import quality
 from adtrail.plans import jobs
 from adtrail.plans.ingest import ingest
@@ -40,9 +42,7 @@ def test_date_filter_reaches_the_partitions(spark, log, tmp_path):
     assert len(list(tmp_path.rglob("*.parquet"))) == len(files) == 3
 
 
-@pytest.mark.parametrize("broadcast_rows", [1000, 0])
-def test_append_once_adds_no_row_twice(spark, log, tmp_path, monkeypatch, broadcast_rows):
-    monkeypatch.setattr(sink, "MAX_BROADCAST_ROWS", broadcast_rows)
+def test_append_once_adds_no_row_twice(spark, log, tmp_path):
     tables = Tables(str(tmp_path))
     keys = list(IMPRESSIONS.dedup_keys)
 
@@ -56,6 +56,10 @@ def test_append_once_adds_no_row_twice(spark, log, tmp_path, monkeypatch, broadc
     assert arrive(first + first) == 6
     assert arrive(first) == 6
     assert arrive([first[0], impression(7, day=1), impression(8, day=20)]) == 8
+    # A row without a time has no date, and is one row too.
+    undated = json.dumps({"ad_creative_id": "9", "user_id": "u9"})
+    assert arrive([undated, undated]) == 9
+    assert arrive([undated, first[1]]) == 9
 
 
 def test_append_once_with_more_dates_than_a_list_takes(spark, log, tmp_path, monkeypatch):
@@ -118,7 +122,8 @@ def test_quality_of_no_tables(spark, tmp_path):
 def test_work_folder_follows_the_cluster_setting():
     def cluster(master, shared):
         conf = SimpleNamespace(get=lambda key, default=None: shared or default)
-        return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master))
+        context = SimpleNamespace(master=master, getCheckpointDir=lambda: None)
+        return SimpleNamespace(conf=conf, sparkContext=context)
 
     shared = work_folder(cluster("yarn", "hdfs://shared/checkpoints/"), "x")
     assert shared.startswith("hdfs://shared/checkpoints/adtrail/x-")
@@ -135,3 +140,69 @@ def test_settings_are_put_back(spark):
             assert spark.conf.get(key) == "99"
             raise RuntimeError
     assert spark.conf.get(key) == before
+
+
+def test_period_with_undated_bids_equals_all(spark, log, tmp_path):
+    """Some bids have no readable time; periods leave none of them out."""
+
+    def rows(kind, n):
+        time = "never" if kind == "auction_id" and n % 10 == 0 else f"2024-05-{1 + n % 9:02}T12:{n % 60:02}:00Z"
+        return json.dumps({"user_id": f"u{n % 7}", "timestamp": time, kind: str(n)})
+
+    kinds = {"ad_impressions": "ad_creative_id", "clicks_conversions": "campaign_id", "bid_requests": "auction_id"}
+    logs = {name: log([rows(kind, n) for n in range(80)]) for name, kind in kinds.items()}
+    tables = Tables(str(tmp_path))
+    jobs.process_batch(logs, tables, json_sources())
+
+    def attributed():
+        df = tables.read(spark, "attribution")
+        return sorted(map(repr, df.collect()))
+
+    whole = attributed()
+    assert len(whole) >= 70
+    days = [(date(2024, 5, 1), date(2024, 5, 4)), (date(2024, 5, 5), date(2024, 5, 9))]
+    for first, last in [*days, days[0]]:
+        jobs.attribute_period(spark, tables, first, last, undated=True)
+    assert attributed() == whole
+    # Bids that have gone from their day leave the attribution too.
+    left = tables.read(spark, "bid_requests").where("event_date IS NULL OR event_date <> '2024-05-03'").collect()
+    schema = tables.read(spark, "bid_requests").schema
+    sink.replace(spark.createDataFrame(left, schema), tables, "bid_requests")
+    jobs.attribute_period(spark, tables, *days[0], undated=True)
+    days_left = {r.event_date for r in tables.read(spark, "attribution").collect()}
+    assert date(2024, 5, 3) not in days_left and None in days_left and date(2024, 5, 7) in days_left
+
+
+class Recorder:
+    """Stands in for a writer of a catalog: notes the calls made on it."""
+
+    def __init__(self):
+        self.calls = []
+
+    def __getattr__(self, name):
+        def call(*args):
+            self.calls.append((name, *map(str, args)))
+            return self
+
+        return call
+
+
+def test_calls_on_a_catalog(spark, monkeypatch):
+    """Iceberg itself is not here: only what would be asked of it can be tested."""
+    tables = Tables("local.ads", fmt="iceberg", side_root="/tmp/side")
+    assert tables.path("t") == "local.ads.t"
+    assert tables.checkpoint("q") == "/tmp/side/_checkpoints/q"
+    writer, known = Recorder(), []
+    monkeypatch.setattr(Tables, "exists", lambda self, spark, table: bool(known))
+    df = spark.createDataFrame([("u", date(2024, 5, 1))], "user_id string, event_date date")
+    monkeypatch.setattr(type(df), "writeTo", lambda self, name: writer.writeTo(name))
+    sink.append(df, tables, "t")
+    names = [c[0] for c in writer.calls]
+    assert names == ["writeTo", "using", "partitionedBy", "create", "writeTo", "append"]
+    assert writer.calls[:2] == [("writeTo", "local.ads.t"), ("using", "iceberg")]
+    known.append("t")
+    writer.calls.clear()
+    sink.replace_dates(df, tables, "t", F.col("event_date") == F.lit(date(2024, 5, 1)))
+    assert [c[0] for c in writer.calls] == ["writeTo", "overwrite"]
+    with pytest.raises(ValueError, match="side_root"):
+        Tables("local.ads", fmt="iceberg").checkpoint("q")
