@@ -14,27 +14,29 @@ content alone, so documents that share a segment share one stream.
 
 from __future__ import annotations
 
-import hashlib
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from adtrail.llm.common import stored
 
 WINDOW = 13
-GRAM = 4
+GRAM = 6
 #: Windows of a segment at most.
 SEGMENT = 64
 #: Words of a shard, about.
-SHARD = 40_000
+SHARD = 100_000
 #: Distinct segments of a key beyond which its windows are compared one by one.
 HOT_KEY = 20_000
 #: Bytes of text hashed at once, if a document is not longer.
 CHUNK = 2 << 20
+#: Larger than any document's id.
+NOBODY = (1 << 63) - 1
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -114,26 +116,55 @@ def _keys(batches: Iterator[pd.DataFrame], window: int) -> Iterator[pd.DataFrame
             ends = np.cumsum([len(t) + 1 for t in part])
             doc = np.searchsorted(ends, starts, side="right")
             key, first, _ = segments(hashes, doc, window)
-            yield pd.DataFrame({"key": key, "doc_id": batch["doc_id"].to_numpy()[begin + doc[first]]})
+            rows = pd.DataFrame({"key": key, "doc_id": batch["doc_id"].to_numpy()[begin + doc[first]]})
+            yield rows.drop_duplicates()
 
 
 def _segment_rows(batches: Iterator[pd.DataFrame], window: int) -> Iterator[pd.DataFrame]:
-    """Segments with their words, of the keys in ``wanted``."""
-    names = ["key", "doc_id", "text_hash", "first", "n", "words", "low", "high"]
+    """Segments of shared keys: where each stands, and then, for each content once,
+    its words with the smallest and the largest document of the task.
+
+    A shared key is in ``wanted`` of every document that has it, so the documents of a chunk are
+    looked through together.
+    """
+    reference: dict[tuple[int, int], list] = {}
+    unpack = zstandard.ZstdDecompressor().decompress
+    digest = xxhash.xxh3_64_intdigest
     for batch in batches:
-        out = []
-        for doc_id, text_hash, body, wanted in batch.itertuples(index=False):
-            text = zlib.decompress(body)
-            hashes, _ = word_hashes(text)
-            key, first, n = segments(hashes, np.zeros(len(hashes), np.int64), window)
-            hit = np.isin(key, np.asarray(wanted, np.int64))
-            words = text.split()
-            for k, a, many in zip(key[hit].tolist(), first[hit].tolist(), n[hit].tolist(), strict=True):
-                part = b" ".join(words[a : a + many + window - 1])
-                digest = hashlib.blake2b(part, digest_size=16).digest()
-                low, high = int.from_bytes(digest[:8], "big", signed=True), int.from_bytes(digest[8:], "big", signed=True)
-                out.append((k, doc_id, text_hash, a, many, part, low, high))
-        yield pd.DataFrame(out, columns=names)
+        texts = [b" ".join(unpack(body).split()) for body in batch["body"]]
+        ids, marks = batch["doc_id"].to_numpy(), batch["text_hash"].to_numpy()
+        for begin, end in _chunks(texts):
+            part = texts[begin:end]
+            stream = b"\n".join(part)
+            hashes, starts = word_hashes(stream)
+            edges = np.cumsum([len(t) + 1 for t in part])
+            doc = np.searchsorted(edges, starts, side="right")
+            key, first, n = segments(hashes, doc, window)
+            hit = np.isin(key, np.concatenate(batch["wanted"].tolist()[begin:end]))
+            key, first, n = key[hit], first[hit], n[hit]
+            owner = doc[first]
+            after = np.append(starts, len(stream) + 1)[first + n + window - 1] - 1
+            who, low = ids[begin + owner], np.empty(len(key), np.uint64)
+            rows = zip(key.tolist(), starts[first].tolist(), after.tolist(), who.tolist(), n.tolist(), strict=True)
+            for at, (k, begins, ends, doc_id, many) in enumerate(rows):
+                words = stream[begins:ends]
+                low[at] = mark = digest(words)
+                known = reference.get((k, mark))
+                if known is None:
+                    reference[k, mark] = [doc_id, doc_id, many + window - 1, words]
+                elif doc_id < known[0]:
+                    known[0] = doc_id
+                elif doc_id > known[1]:
+                    known[1] = doc_id
+            place = first - np.searchsorted(doc, owner)  # in words of its document
+            found = {"key": key, "low": low.view(np.int64), "doc_id": who, "text_hash": marks[begin + owner], "first": place}
+            yield pd.DataFrame(found).assign(owner=pd.NA, most=pd.NA, n=pd.NA, words=None)
+    names = [*reference]
+    for at in range(0, len(names), 10_000):
+        part = names[at : at + 10_000]
+        rows = pd.DataFrame([(k, *reference[k, low]) for k, low in part], columns=["key", "owner", "most", "n", "words"])
+        rows["low"] = np.array([low for _, low in part], np.uint64).view(np.int64)
+        yield rows.assign(doc_id=pd.NA, text_hash=pd.NA, first=pd.NA)
 
 
 class Automaton:
@@ -141,126 +172,139 @@ class Automaton:
 
     def __init__(self) -> None:
         self.next: list[dict[int, int]] = [{}]
-        self.link, self.length, self.owner = [-1], [0], [1 << 62]
-
-    def _state(self, length: int, moves: dict[int, int]) -> int:
-        self.next.append(moves)
-        self.link.append(0)
-        self.length.append(length)
-        self.owner.append(1 << 62)
-        return len(self.next) - 1
+        self.link, self.length, self.owner = [-1], [0], [NOBODY]
 
     def _split(self, at: int, symbol: int, target: int) -> int:
         """The copy of ``target`` for the strings one longer than those of ``at``."""
-        copy = self._state(self.length[at] + 1, dict(self.next[target]))
-        self.link[copy], self.link[target] = self.link[target], copy
+        copy = len(self.next)
+        self.next.append(dict(self.next[target]))
+        self.link.append(self.link[target])
+        self.length.append(self.length[at] + 1)
+        self.owner.append(NOBODY)
+        self.link[target] = copy
         while at >= 0 and self.next[at].get(symbol) == target:
             self.next[at][symbol] = copy
             at = self.link[at]
         return copy
 
     def add(self, sequence: list[int], owner: int) -> None:
+        moves, link, length, owners = self.next, self.link, self.length, self.owner
         last = 0
         for symbol in sequence:
-            target = self.next[last].get(symbol)
+            target = moves[last].get(symbol)
             if target is not None:
-                exact = self.length[target] == self.length[last] + 1
+                exact = length[target] == length[last] + 1
                 last = target if exact else self._split(last, symbol, target)
             else:
-                new = self._state(self.length[last] + 1, {})
-                at = last
-                while at >= 0 and symbol not in self.next[at]:
-                    self.next[at][symbol] = new
-                    at = self.link[at]
-                if at >= 0:
-                    target = self.next[at][symbol]
-                    exact = self.length[target] == self.length[at] + 1
-                    self.link[new] = target if exact else self._split(at, symbol, target)
+                new, at, up = len(moves), last, 0
+                moves.append({})
+                link.append(0)
+                length.append(length[last] + 1)
+                owners.append(NOBODY)
+                while at >= 0:
+                    here = moves[at]
+                    if symbol in here:
+                        up = here[symbol]
+                        if length[up] != length[at] + 1:
+                            up = self._split(at, symbol, up)
+                        break
+                    here[symbol] = new
+                    at = link[at]
+                link[new] = up
                 last = new
-            if owner < self.owner[last]:
-                self.owner[last] = owner
+            if owner < owners[last]:
+                owners[last] = owner
 
     def settle(self) -> None:
         """Give each state the smallest owner of all strings that end with its own."""
-        for state in sorted(range(1, len(self.link)), key=self.length.__getitem__, reverse=True):
-            up = self.link[state]
-            if self.owner[state] < self.owner[up]:
-                self.owner[up] = self.owner[state]
+        link, owners = self.link, self.owner
+        for state in np.argsort(self.length)[:0:-1].tolist():  # longest first, without the root
+            up = link[state]
+            if owners[state] < owners[up]:
+                owners[up] = owners[state]
 
     def owners(self, sequence: list[int], window: int) -> list[int]:
-        """Of each window, its smallest owner; none (a large number) where it does not occur."""
+        """Of each window, its smallest owner; ``NOBODY`` where it does not occur."""
+        moves, link, length, owners = self.next, self.link, self.length, self.owner
         state, matched, out = 0, 0, []
         for at, symbol in enumerate(sequence, 1):
-            while state and symbol not in self.next[state]:
-                state = self.link[state]
-                matched = self.length[state]
-            if symbol in self.next[state]:
-                state, matched = self.next[state][symbol], matched + 1
-            while self.length[self.link[state]] >= window:
-                state = self.link[state]
-                matched = self.length[state]
+            ahead = moves[state].get(symbol)
+            while ahead is None and state:
+                state = link[state]
+                matched = length[state]
+                ahead = moves[state].get(symbol)
+            if ahead is not None:
+                state, matched = ahead, matched + 1
+            while state and length[link[state]] >= window:
+                state = link[state]
+                matched = length[state]
             if at >= window:
-                out.append(self.owner[state] if matched >= window else 1 << 62)
+                out.append(owners[state] if matched >= window else NOBODY)
         return out
 
 
 def _shard(rows: pd.DataFrame, window: int) -> pd.DataFrame:
+    same = {"owner": "min", "most": "max", "words": "first"}
+    rows = rows.groupby(["key", "low"], as_index=False, sort=False).agg(same)
     ids: dict[bytes, int] = {}
     sequences = [[ids.setdefault(w, len(ids)) for w in words.split()] for words in rows["words"]]
     reference = Automaton()
     for sequence, owner in zip(sequences, rows["owner"].tolist(), strict=True):
         reference.add(sequence, owner)
     reference.settle()
-    return pd.DataFrame(
-        {"low": rows["low"], "high": rows["high"], "owners": [reference.owners(s, window) for s in sequences]}
-    )
+    rows["owners"] = [reference.owners(s, window) for s in sequences]
+    spent = np.fromiter(map(min, rows["owners"]), np.int64, len(rows)) < rows["most"].to_numpy()
+    return rows.loc[spent, ["key", "low", "owners"]]
 
 
 def _window_owners(hot: DataFrame, window: int) -> DataFrame:
     """The same for keys with too many segments for one shard, window by window."""
-    cut = hot.select("low", "high", "owner", F.split(F.col("words").cast("string"), " ").alias("w"))
-    one = cut.select(
-        "low", "high", "owner", F.posexplode(F.expr(f"transform(sequence(1, size(w) - {window - 1}), i -> array_join(slice(w, i, {window}), ' '))")).alias("at", "text")
-    )
+    hot = hot.groupBy("key", "low", "words").agg(F.min("owner").alias("owner"))
+    cut = hot.select("key", "low", "owner", F.split(F.col("words").cast("string"), " ").alias("w"))
+    texts = F.expr(f"transform(sequence(1, size(w) - {window - 1}), i -> array_join(slice(w, i, {window}), ' '))")
+    one = cut.select("key", "low", "owner", F.posexplode(texts).alias("at", "text"))
     least = one.groupBy("text").agg(F.min("owner").alias("least"))
     return (
         one.join(least, "text")
-        .groupBy("low", "high")
+        .groupBy("key", "low")
         .agg(F.transform(F.array_sort(F.collect_list(F.struct("at", "least"))), lambda x: x["least"]).alias("owners"))
     )
 
 
 def removals(docs: DataFrame, window: int = WINDOW, shard_words: int = SHARD, hot_key: int = HOT_KEY) -> DataFrame:
-    """``doc_id, text_hash, spans``: windows of each document that a smaller id holds.
+    """``doc_id, text_hash, taken``: first words of the windows that a smaller id holds.
 
-    ``docs`` has ``doc_id, text_hash, text`` (binary). A span is the place of a
-    segment's first window and the owners of its windows.
+    ``docs`` has ``doc_id, text_hash, text`` (binary).
     """
     known = docs.where("doc_id IS NOT NULL AND text IS NOT NULL")
     keys = known.select("doc_id", "text").mapInPandas(lambda b: _keys(b, window), "key long, doc_id long")
-    shared = keys.groupBy("key").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).where("a < b").select("key")
-    shared = stored(shared, "substring-keys")
-    wanted = keys.join(shared, "key").groupBy("doc_id").agg(F.collect_set("key").alias("wanted"))
+    keys = stored(keys, "substring-all-keys")
+    # A key in two rows is in two documents or in rows that repeat an id; the latter costs time only.
+    shared = stored(keys.groupBy("key").count().where("count > 1").select("key"), "substring-keys")
+    wanted = keys.join(shared, "key").groupBy("doc_id").agg(F.collect_list("key").alias("wanted"))
     rows = packed(known).join(wanted, "doc_id").select("doc_id", "text_hash", "body", "wanted")
-    schema = "key long, doc_id long, text_hash long, first int, n int, words binary, low long, high long"
-    found = rows.mapInPandas(lambda b: _segment_rows(b, window), schema)
-    members = stored(found, "substring-segments")
-    same = ["key", "low", "high", "words"]
-    distinct = stored(members.groupBy(*same).agg(F.min("doc_id").alias("owner"), F.max("n").alias("n")), "substring-reference")
-    words = distinct.agg(F.sum(F.col("n") + window - 1)).first()[0] or 0
-    shards = max(1, -(-words // shard_words))
-    many = distinct.groupBy("key").count().where(F.col("count") > hot_key).select("key")
-    cold = distinct.join(many, "key", "left_anti").withColumn("shard", F.pmod(F.xxhash64("key"), F.lit(shards)))
-    by_shard = cold.select("shard", "low", "high", "words", "owner").groupBy("shard")
-    owners = by_shard.applyInPandas(lambda r: _shard(r, window), "low long, high long, owners array<long>")
-    owners = owners.unionByName(_window_owners(distinct.join(many, "key", "left_semi"), window))
+    schema = "key long, low long, doc_id long, text_hash long, first int, owner long, most long, n int, words binary"
+    found = stored(rows.mapInPandas(lambda b: _segment_rows(b, window), schema), "substring-segments")
+    members = found.where("doc_id IS NOT NULL").select("key", "low", "doc_id", "text_hash", "first")
+    reference = found.where("doc_id IS NULL").select("key", "low", "owner", "most", "words", "n")
+    shards = max(1, -(-(reference.agg(F.sum("n")).first()[0] or 0) // shard_words))
+    many = stored(reference.groupBy("key").count().where(F.col("count") > hot_key).select("key"), "substring-hot-keys")
+    hot = not many.isEmpty()
+    cold = reference.join(many, "key", "left_anti") if hot else reference
+    dealt = cold.select(F.pmod(F.xxhash64("key"), F.lit(shards)).alias("shard"), "key", "low", "owner", "most", "words")
+    owners = dealt.groupBy("shard").applyInPandas(
+        lambda r: _shard(r.drop(columns="shard"), window), "key long, low long, owners array<long>"
+    )
+    if hot:
+        owners = owners.unionByName(_window_owners(reference.join(many, "key", "left_semi"), window))
     owners = stored(owners, "substring-owners")
+    spent = F.transform("owners", lambda owner, at: F.when(owner < F.col("doc_id"), F.col("first") + at))
     return (
-        members.select("doc_id", "text_hash", "first", "low", "high")
-        .join(owners, ["low", "high"])
+        members.join(owners, ["key", "low"])
         .where(F.array_min("owners") < F.col("doc_id"))
+        .select("doc_id", "text_hash", F.array_compact(spent).alias("taken"))
         .groupBy("doc_id", "text_hash")
-        .agg(F.collect_list(F.struct("first", "owners")).alias("spans"))
+        .agg(F.flatten(F.collect_list("taken")).alias("taken"))
     )
 
 
@@ -268,8 +312,9 @@ def packed(docs: DataFrame) -> DataFrame:
     """``docs`` with the text compressed, for the way through a shuffle."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        pack = zstandard.ZstdCompressor(1).compress
         for batch in batches:
-            bodies = [None if t is None else zlib.compress(t, 1) for t in batch["text"]]
+            bodies = [None if t is None else pack(t) for t in batch["text"]]
             yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "text_hash": batch["text_hash"], "body": bodies})
 
     return docs.select("doc_id", "text_hash", "text").mapInPandas(run, "doc_id long, text_hash long, body binary")
@@ -298,15 +343,18 @@ def remove_repeats(
     )
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        unpack = zstandard.ZstdDecompressor().decompress
         for batch in batches:
             out = []
-            for doc_id, body, spans in zip(batch["doc_id"], batch["body"], batch["spans"], strict=True):
-                words = zlib.decompress(body).split() if body is not None else []
+            for doc_id, body, taken in zip(batch["doc_id"], batch["body"], batch["taken"], strict=True):
+                words = unpack(body).split() if body is not None else []
+                if taken is None:
+                    out.append((doc_id, len(words), 0, b" ".join(words)))
+                    continue
                 gone = np.zeros(len(words) + 1, np.int64)
-                for span in spans if spans is not None else []:
-                    taken = span["first"] + np.flatnonzero(np.asarray(span["owners"]) < doc_id)
-                    np.add.at(gone, taken, 1)
-                    np.add.at(gone, taken + window, -1)
+                taken = np.asarray(taken)
+                np.add.at(gone, taken, 1)
+                np.add.at(gone, taken + window, -1)
                 left = np.cumsum(gone)[:-1] == 0
                 kept = [w for w, stays in zip(words, left.tolist(), strict=True) if stays]
                 out.append((doc_id, len(words), len(words) - len(kept), b" ".join(kept)))
@@ -317,6 +365,6 @@ def remove_repeats(
     spans = removals(plain, window, shard_words, hot_key).withColumnsRenamed({"doc_id": "__id", "text_hash": "__hash"})
     whole = packed(plain)
     joined = whole.join(spans, (whole["doc_id"] == spans["__id"]) & (whole["text_hash"] == spans["__hash"]), "left")
-    return joined.select("doc_id", "body", "spans").mapInPandas(
+    return joined.select("doc_id", "body", "taken").mapInPandas(
         run, "doc_id long, n_words long, n_removed long, kept binary"
     )

@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from adtrail.llm.substring_dedup import Automaton, remove_repeats, word_hashes
+from adtrail.llm.substring_dedup import NOBODY, Automaton, remove_repeats, word_hashes
 from tests.llm import brute
 from tests.llm.conftest import rows_of
 
@@ -50,7 +50,7 @@ def test_automaton_names_the_smallest_owner():
         for at in range(len(s) - 4):
             first.setdefault(tuple(s[at : at + 5]), owner)
     for probe in [*sequences, [rng.randrange(4) for _ in range(300)]]:
-        want = [first.get(tuple(probe[at : at + 5]), 1 << 62) for at in range(len(probe) - 4)]
+        want = [first.get(tuple(probe[at : at + 5]), NOBODY) for at in range(len(probe) - 4)]
         assert automaton.owners(probe, 5) == want
 
 
