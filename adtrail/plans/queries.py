@@ -762,7 +762,7 @@ def stream_fan_out(spark: SparkSession, sf_dir: str) -> DataFrame:
     once per place in the log (dead letters) or once per key (curated).
     """
     folder = work_folder(spark, "fan-out")
-    staged, tables = staged_topics(spark, sf_dir, folder, deliveries=2, files=3), Tables(f"{folder}/tables")
+    staged, tables = staged_topics(spark, sf_dir, folder, deliveries=2, files=2), Tables(f"{folder}/tables")
     logs = read_streams(spark, FileTopics(staged.root, max_files_per_trigger=1), JSON)
     streaming.finish(
         [streaming.start_fan_out(logs[name], spec, tables) for name, spec in JSON.items()]

@@ -82,8 +82,9 @@ def start_fan_out(
     unique = drop_copies(slim, ["copy_of"], delay, collapse_copies).drop("copy_of")
     checkpoint = tables.checkpoint(f"fan_out_{spec.name}")
     targets = (spec.table, spec.dead_letter_table)
-    compare_all = not path_exists(spark, checkpoint) and any(tables.exists(spark, t) for t in targets)
-    started = False
+    held = any(tables.exists(spark, t) for t in targets)
+    compare_all = held and not path_exists(spark, checkpoint)
+    started = not held  # nothing was written that could be written twice
 
     def write(batch: DataFrame, _batch_id: int) -> None:
         nonlocal started
