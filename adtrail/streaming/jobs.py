@@ -61,11 +61,11 @@ def start_fan_out(
 ) -> StreamingQuery:
     """Both tables from one read and one decode of the topic.
 
-    Copies that arrive within ``delay`` are dropped before the micro-batch is
-    written: valid rows by the key of the source, invalid ones by their place in
-    the log. The micro-batches are then plain appends. Only one that may have
-    been written before is compared with the tables: the first after a start,
-    and all of a new checkpoint over tables that exist.
+    Copies are valid rows with the same key of the source, or invalid ones with
+    the same place in the log. Most arrive within ``delay`` and are dropped by
+    the bounded state; the keys it lets through are compared with those the
+    tables hold for the dates of the micro-batch, so a copy is found however
+    late it is, and a micro-batch that is run again adds nothing.
     """
     spark = log.sparkSession
     spec = spec.with_event_time()
@@ -80,32 +80,21 @@ def start_fan_out(
         }
     )
     unique = drop_copies(slim, ["copy_of"], delay, collapse_copies).drop("copy_of")
-    checkpoint = tables.checkpoint(f"fan_out_{spec.name}")
-    targets = (spec.table, spec.dead_letter_table)
-    held = any(tables.exists(spark, t) for t in targets)
-    compare_all = held and not path_exists(spark, checkpoint)
-    started = not held  # nothing was written that could be written twice
 
     def write(batch: DataFrame, _batch_id: int) -> None:
-        nonlocal started
         batch.persist()
         try:
             valid = quality.curated_columns(batch.filter(is_valid), spec)
             dead = dead_letter_rows(batch.filter(~is_valid).select(*quality.DEAD_COLUMNS))
-            if compare_all or not started:
-                sink.append_once(valid, tables, spec.table, list(spec.dedup_keys), sink.EVENT_DATE)
-                sink.append_once(dead, tables, spec.dead_letter_table, PLACE, sink.INGEST_DATE)
-            else:
-                sink.append(valid, tables, spec.table)
-                sink.append(dead, tables, spec.dead_letter_table, sink.INGEST_DATE)
-            started = True
+            sink.append_once(valid, tables, spec.table, list(spec.dedup_keys), sink.EVENT_DATE)
+            sink.append_once(dead, tables, spec.dead_letter_table, PLACE, sink.INGEST_DATE)
         finally:
             batch.unpersist()
 
     writer = (
         unique.writeStream.foreachBatch(write)
         .queryName(f"fan_out_{spec.name}")
-        .option("checkpointLocation", checkpoint)
+        .option("checkpointLocation", tables.checkpoint(f"fan_out_{spec.name}"))
     )
     return sink.start(writer, unique, **run)
 
