@@ -1,10 +1,11 @@
 """Main text of web pages by a host suffix array, helped by the page's own marks.
 
-Pages are sorted by host and cut into chunks of one host. The words of all
-blocks of a chunk's pages form one stream; its suffix array, sorted as deep as
-the shortest repeat of interest, puts equal long substrings side by side. What
-stands on several distinct pages is boilerplate: a block that such substrings
-cover is removed, unique runs stay.
+What several distinct pages of a host have is boilerplate. The pages of a host that
+a task reads are cut into chunks; the words of all blocks of a chunk form one stream,
+and its suffix array, sorted as deep as the shortest repeat of interest, puts equal
+substrings side by side. That combines the substrings of a chunk; those of
+all chunks are then counted by host, and the repeated ones go back to the chunks that
+have them. A block that they cover is removed, unique runs stay.
 
 Elements that name their role (menus, footers, scripts, class names of adverts
 or comments, ...) are left out whatever the stream says. Blocks inside an
@@ -14,8 +15,10 @@ articles; a page is never emptied by repeats alone.
 
 from __future__ import annotations
 
+import hashlib
 import html
 import re
+import uuid
 from collections.abc import Iterator
 from urllib.parse import urlsplit
 
@@ -24,13 +27,15 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from adtrail.llm.common import stored
+
 #: Words of the shortest repeat, a power of two.
 REPEAT = 8
 #: Distinct pages that make a repeat boilerplate.
 PAGES = 3
 #: Share of a block's words that must be covered.
 COVERED = 0.8
-#: Characters of html in one chunk, if a page is not longer.
+#: Characters of html in one chunk, if a page is not longer; no result depends on it.
 CHUNK = 2 << 20
 
 # Elements and the roles they have in HTML.
@@ -138,56 +143,175 @@ def blocks(page: str | None) -> list[tuple[int, str]]:
     return out
 
 
-def repeated(streams: list[np.ndarray], same: np.ndarray, depth: int = REPEAT, pages: int = PAGES) -> list[np.ndarray]:
-    """Which words of each page lie in a substring of ``depth`` words that ``pages`` distinct pages have.
+def _ranks(streams: list[np.ndarray], depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """Rank and page of each suffix; equal ranks are suffixes that share ``depth`` words.
 
-    ``same`` numbers the pages by content; copies count once. The suffix array is
-    built by prefix doubling: equal ranks are suffixes that share their first words.
+    The suffix array is built by prefix doubling. A word of its own ends each page.
     """
-    sizes = np.array([len(s) + 1 for s in streams])
     words = max((int(s.max()) for s in streams if len(s)), default=0) + 1
     rank = np.concatenate([np.append(s, words + n) for n, s in enumerate(streams)]).astype(np.int64)
-    page = np.repeat(np.arange(len(streams)), sizes)
     length = 1
     while length < depth:
         ahead = np.zeros(len(rank), np.int64)
         ahead[:-length] = rank[length:] + 1
         rank = np.unique(rank * (len(rank) + words + 1) + ahead, return_inverse=True)[1]
         length *= 2
-    suffixes = np.argsort(rank, kind="stable")
-    ranks, owner = rank[suffixes], same[page[suffixes]]
-    order = np.lexsort((owner, ranks))
-    ranks, owner = ranks[order], owner[order]
-    new = np.concatenate(([True], (ranks[1:] != ranks[:-1]) | (owner[1:] != owner[:-1])))
-    distinct = np.bincount(ranks[new], minlength=len(rank))
-    starts = distinct[rank] >= pages
-    edges = np.zeros(len(rank) + depth + 1, np.int64)
+    return rank, np.repeat(np.arange(len(streams)), [len(s) + 1 for s in streams])
+
+
+def _first_places(rank: np.ndarray, owner: np.ndarray) -> np.ndarray:
+    """One suffix of each rank and page content, in the order of the suffix array."""
+    order = np.lexsort((owner, rank))
+    ranks, owners = rank[order], owner[order]
+    return order[np.concatenate(([True], (ranks[1:] != ranks[:-1]) | (owners[1:] != owners[:-1])))]
+
+
+def _spread(starts: np.ndarray, depth: int) -> np.ndarray:
+    """The words that ``depth`` words from a start reach."""
+    edges = np.zeros(len(starts) + depth + 1, np.int64)
     np.add.at(edges, np.flatnonzero(starts), 1)
     np.add.at(edges, np.flatnonzero(starts) + depth, -1)
-    covered = np.cumsum(edges)[: len(rank)] > 0
-    return [part[:-1] for part in np.split(covered, np.cumsum(sizes)[:-1])]
+    return np.cumsum(edges)[: len(starts)] > 0
+
+
+def _by_page(flat: np.ndarray, streams: list[np.ndarray]) -> list[np.ndarray]:
+    ends = np.cumsum([len(s) + 1 for s in streams])
+    return [part[:-1] for part in np.split(flat, ends[:-1])]
+
+
+def repeated(streams: list[np.ndarray], same: np.ndarray, depth: int = REPEAT, pages: int = PAGES) -> list[np.ndarray]:
+    """Which words of each page lie in a substring of ``depth`` words that ``pages`` distinct pages have.
+
+    ``same`` numbers the pages by content; copies count once.
+    """
+    rank, page = _ranks(streams, depth)
+    first = _first_places(rank, same[page])
+    distinct = np.bincount(rank[first], minlength=len(rank))
+    return _by_page(_spread(distinct[rank] >= pages, depth), streams)
+
+
+Page = list[tuple[int, str]]
+
+
+def _is_open(page: Page) -> bool:
+    """Whether repeats decide on any block of the page."""
+    floor = _floor(page)
+    return any(zone >= floor and zone != ARTICLE for zone, _ in page)
+
+
+def _floor(page: Page) -> int:
+    return MAIN if max((zone for zone, _ in page), default=OUT) >= MAIN else PLAIN
+
+
+def _text(page: Page, mask: np.ndarray | None, covered: float = COVERED) -> str:
+    """Main text of a page of whose words ``mask`` are repeats; None if no block is open."""
+    floor = _floor(page)
+    own, kept, at = [], [], 0
+    for zone, text in page:
+        words = text.count(" ") + 1
+        if zone >= floor:
+            own.append(text)
+            if zone == ARTICLE or mask is None or mask[at : at + words].mean() < covered:
+                kept.append(text)
+        at += words
+    return "\n".join(kept or own)
+
+
+class Words:
+    """Word numbers, and 128 bits for each word, of the pages of a host."""
+
+    def __init__(self, pages: list[Page]):
+        self.ids: dict[str, int] = {}
+        ids = self.ids
+        self.streams = [
+            np.array([ids.setdefault(w, len(ids)) for _, text in page for w in text.split(" ")], np.int64) for page in pages
+        ]
+
+    def contents(self) -> np.ndarray:
+        """64 bits of each page's words."""
+        words = list(self.ids)
+        texts = (" ".join([words[n] for n in s.tolist()]) for s in self.streams)
+        return np.array([_digest(t)[0] for t in texts], np.uint64).view(np.int64)
+
+    def keys(self, host: str, depth: int = REPEAT) -> np.ndarray:
+        """128 bits, in two columns, of the host and the ``depth`` words from each place; ends of pages are no words."""
+        digests = np.array([_digest(w) for w in self.ids] + [(0, 0)], np.uint64)
+        flat = digests[np.concatenate([np.append(s, len(self.ids)) for s in self.streams])]
+        flat = np.concatenate((flat, np.zeros((depth, 2), np.uint64)))
+        size = len(flat) - depth
+        out = np.tile(np.array(_digest("//" + host), np.uint64) * _FACTORS[depth], (size, 1))
+        for k in range(depth):
+            out += flat[k : k + size] * _FACTORS[k]
+        return out.view(np.int64)
+
+    def whole(self, depth: int = REPEAT) -> np.ndarray:
+        """The places with ``depth`` words of the page ahead."""
+        return np.concatenate([np.arange(len(s), -1, -1) >= depth for s in self.streams])
+
+
+# Odd, so that no bit of a word's digest is lost.
+_FACTORS = np.random.default_rng(8).integers(1 << 62, 1 << 63, (REPEAT + 1, 2), np.uint64) | np.uint64(1)
+
+
+def _digest(text: str) -> tuple[int, int]:
+    bits = hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=16).digest()
+    return int.from_bytes(bits[:8], "little"), int.from_bytes(bits[8:], "little")
+
+
+def runs(host: str, pages: list[Page], depth: int = REPEAT, least: int = PAGES) -> pd.DataFrame:
+    """The runs of ``depth`` words of pages of a host: a row for each and each distinct page.
+
+    The suffix array combines them: one that ``least`` pages have is one row
+    without ``content``. ``open`` tells whether repeats decide on a word of it here.
+    """
+    words = Words(pages)
+    content = words.contents()
+    rank, page = _ranks(words.streams, depth)
+    whole = words.whole(depth)
+    undecided = [[zone >= floor and zone != ARTICLE] * (t.count(" ") + 1) for p in pages for floor in [_floor(p)] for zone, t in p]
+    ends = np.cumsum([len(s) + 1 for s in words.streams]) - 1
+    undecided = np.concatenate([np.zeros(0, bool), *undecided]).astype(bool)
+    undecided = np.insert(undecided, ends - np.arange(len(ends)), False)
+    reach = np.concatenate(([0], np.cumsum(undecided), np.full(depth, undecided.sum())))
+    touches = (reach[depth : depth + len(rank)] - reach[: len(rank)]) > 0
+    is_open = np.zeros(len(rank), bool)
+    is_open[rank[whole & touches]] = True
+    first = _first_places(rank, content[page])
+    first = first[whole[first]]
+    distinct = np.bincount(rank[first], minlength=len(rank))
+    many = distinct[rank[first]] >= least
+    one = np.concatenate(([True], rank[first][1:] != rank[first][:-1])) if len(first) else many
+    first, many = first[~many | one], many[~many | one]
+    keys = words.keys(host, depth)[first]
+    return pd.DataFrame(
+        {
+            "key_1": keys[:, 0],
+            "key_2": keys[:, 1],
+            "content": pd.Series(content[page[first]], dtype="Int64").mask(many),
+            "open": is_open[rank[first]],
+        }
+    )
+
+
+def _covered(host: str, pages: list[Page], key_1: np.ndarray, key_2: np.ndarray, depth: int = REPEAT) -> list[np.ndarray]:
+    """Which words of each page lie in one of the runs."""
+    words = Words(pages)
+    keys = words.keys(host, depth)
+    pair = np.dtype([("a", np.int64), ("b", np.int64)])
+    have = np.ascontiguousarray(keys).view(pair).ravel()
+    want = np.ascontiguousarray(np.column_stack((key_1, key_2)).astype(np.int64)).view(pair).ravel()
+    number = np.unique(np.concatenate((have, want)), return_inverse=True)[1]
+    starts = np.isin(number[: len(have)], number[len(have) :]) & words.whole(depth)
+    return _by_page(_spread(starts, depth), words.streams)
 
 
 def main_texts(pages: list[str | None], repeat: int = REPEAT, least: int = PAGES, covered: float = COVERED) -> list[str]:
     """Main texts of pages of one host."""
     cut = [blocks(p) for p in pages]
-    ids: dict[str, int] = {}
-    split = [[[ids.setdefault(w, len(ids)) for w in text.split(" ")] for _, text in page] for page in cut]
-    streams = [np.array([w for b in page for w in b], np.int64) for page in split]
+    streams = Words(cut).streams
     contents: dict[bytes, int] = {}
     same = np.array([contents.setdefault(s.tobytes(), len(contents)) for s in streams])
-    shared = repeated(streams, same, repeat, least)
-    out = []
-    for page, words, mask in zip(cut, split, shared, strict=True):
-        top = max((zone for zone, _ in page), default=OUT)
-        floor = MAIN if top >= MAIN else PLAIN
-        total = np.concatenate(([0], np.cumsum(mask)))
-        ends = np.cumsum([0, *map(len, words)])
-        share = (total[ends[1:]] - total[ends[:-1]]) / np.maximum(1, np.diff(ends))
-        own = [(zone, text, part) for (zone, text), part in zip(page, share.tolist(), strict=True) if zone >= floor]
-        kept = [text for zone, text, part in own if zone == ARTICLE or part < covered]
-        out.append("\n".join(kept or [text for _, text, _ in own]))
-    return out
+    return [_text(page, mask, covered) for page, mask in zip(cut, repeated(streams, same, repeat, least), strict=True)]
 
 
 def _host(url: str | None) -> str:
@@ -197,49 +321,109 @@ def _host(url: str | None) -> str:
         return ""
 
 
+def _join(page: Page) -> str:
+    return "\n".join([f"{zone}{text}" for zone, text in page])
+
+
+def _split(page: str) -> Page:
+    return [(int(line[0]), line[1:]) for line in page.split("\n")] if page else []
+
+
+def _result(rows: pd.DataFrame, texts: list[str]) -> pd.DataFrame:
+    return pd.DataFrame(
+        {
+            "page_id": pd.array([None if i is None else int(i) for i in rows["page_id"]], "Int64"),
+            "url": rows["url"].tolist(),
+            "text": texts,
+            "n_chars": [len(t) for t in texts],
+        }
+    )
+
+
+RESULT = "page_id long, url string, text string, n_chars long"
+READ = "part binary, host string, open boolean, page_id string, url string, blocks string"
+RUNS = "part binary, key_1 long, key_2 long, content long, open boolean"
+
+
+def _read(pages: DataFrame, chunk: int) -> DataFrame:
+    """The blocks of each page; rows of a host that one task read are of one ``part``, up to a chunk."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: dict[str, list[tuple]] = {}
+        sizes: dict[str, int] = {}
+
+        def done(hosts: list[str]) -> pd.DataFrame:
+            out = []
+            for host in hosts:
+                rows, part = held.pop(host), uuid.uuid4().bytes
+                del sizes[host]
+                is_open = any(row[3] for row in rows)
+                out += [(part, host, is_open, *row[:3]) for row in rows]
+            return pd.DataFrame(out, columns=["part", "host", "open", "page_id", "url", "blocks"])
+
+        for batch in batches:
+            for page_id, url, page in batch.itertuples(index=False, name=None):
+                host, cut = _host(url), blocks(page)
+                size = len(page or "")
+                if host in held and sizes[host] + size > chunk:
+                    yield done([host])
+                held.setdefault(host, []).append((page_id, url, _join(cut), _is_open(cut)))
+                sizes[host] = sizes.get(host, 0) + size
+                if sum(sizes.values()) > 8 * chunk:
+                    yield done(list(held))
+        if held:
+            yield done(list(held))
+
+    return pages.select(F.col("page_id").cast("string"), "url", "html").mapInPandas(run, READ)
+
+
+def _all_runs(rows: DataFrame) -> DataFrame:
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        part, host, held = None, "", []
+        for batch in batches:
+            for now, name, page in batch.itertuples(index=False, name=None):
+                if held and now != part:
+                    yield runs(host, held).assign(part=part)
+                    held = []
+                part, host = now, name
+                held.append(_split(page))
+        if held:
+            yield runs(host, held).assign(part=part)
+
+    return rows.select("part", "host", "blocks").sortWithinPartitions("part").mapInPandas(run, RUNS)
+
+
 def extract(pages: DataFrame, chunk: int = CHUNK) -> DataFrame:
     """One row per row of ``pages``: ``page_id, url, text, n_chars``.
 
     A null or empty html has an empty text; a null or broken url belongs to the
     host without a name. Broken markup is read as far as it goes. Repeated rows
-    each get the result and count once among distinct pages. Pages meet by range
-    of host and hash, so a host of any size is dealt over tasks; which pages
-    of a host without article or main elements are compared follows from that.
-    An empty table gives an empty result. Columns beyond ``page_id, url, html``
-    are ignored.
+    each get the result and count once among distinct pages. Repeats are counted over
+    all pages of a host, wherever they are read: each chunk combines its runs of
+    words by a suffix array, and runs of all chunks meet by 128 bits of host and
+    words. Hosts without a block that repeats decide on need no such count. An
+    empty table gives an empty result. Columns beyond ``page_id, url, html`` are ignored.
     """
 
-    @F.pandas_udf("string")
-    def host(urls: pd.Series) -> pd.Series:
-        return pd.Series([_host(u) for u in urls], dtype=object)
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: list[tuple] = []
-        size, now = 0, None
-
-        def done() -> pd.DataFrame:
-            texts = main_texts([row[2] for row in held])
-            return pd.DataFrame(
-                {
-                    "page_id": pd.array([None if row[0] is None else int(row[0]) for row in held], "Int64"),
-                    "url": [row[1] for row in held],
-                    "text": texts,
-                    "n_chars": [len(t) for t in texts],
-                }
-            )
-
+    def decided(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for row in batch.itertuples(index=False, name=None):
-                if held and (row[3] != now or size + len(row[2] or "") > chunk):
-                    yield done()
-                    held, size = [], 0
-                now = row[3]
-                held.append(row)
-                size += len(row[2] or "")
-        if held:
-            yield done()
+            yield _result(batch, [_text(_split(p), None) for p in batch["blocks"]])
+
+    def judged(rows: pd.DataFrame, hits: pd.DataFrame) -> pd.DataFrame:
+        cut = [_split(p) for p in rows["blocks"]]
+        masks = _covered(rows["host"].iloc[0], cut, hits["key_1"].to_numpy(), hits["key_2"].to_numpy())
+        return _result(rows, [_text(p, m) for p, m in zip(cut, masks, strict=True)])
 
-    order = [F.xxhash64("page_id", "url"), F.col("page_id")]
-    rows = pages.select(F.col("page_id").cast("string"), "url", "html").withColumn("host", host("url"))
-    dealt = rows.repartitionByRange("host", *order).sortWithinPartitions("host", *order)
-    return dealt.mapInPandas(run, "page_id long, url string, text string, n_chars long")
+    read = stored(_read(pages, chunk), "blocks")
+    plain = read.where("NOT open").mapInPandas(decided, RESULT)
+    asked = read.where("open")
+    if asked.isEmpty():
+        return plain
+    found = stored(_all_runs(read.join(asked.select("host").distinct(), "host", "left_semi")), "runs")
+    repeats = (
+        found.groupBy("key_1", "key_2")
+        .agg(F.count_distinct("content").alias("pages"), F.max(F.col("content").isNull()).alias("many"))
+        .where(F.col("many") | (F.col("pages") >= PAGES))
+    )
+    hits = found.where("open").join(repeats, ["key_1", "key_2"], "left_semi").select("part", "key_1", "key_2")
+    return plain.unionByName(asked.groupBy("part").cogroup(hits.groupBy("part")).applyInPandas(judged, RESULT))

@@ -57,3 +57,26 @@ def test_table(spark):
     assert got == want
     assert extract(table).count() == len(rows)
     assert extract(table.limit(0)).count() == 0
+
+
+def test_repeats_count_over_all_chunks(spark):
+    rng = np.random.default_rng(5)
+    stock = [" ".join(f"s{k}_{n}" for n in range(12)) for k in range(6)]
+    rows = []
+    for n in range(24):
+        host = f"h{n % 2}.org"
+        shared = [stock[k] for k in rng.choice(6, 2, replace=False)]
+        if n >= 16:  # on two distinct pages of the host
+            shared = [" ".join(f"{host}_{n // 4}_{k}" for k in range(12))]
+        own = " ".join(f"w{n}_{k}" for k in range(10))
+        rows.append((n, f"http://{host}/{n}", page("".join(f"<p>{t}</p>" for t in [*shared, own]))))
+    rows.append((24, "http://h0.org/again", rows[16][2]))
+    want = {}
+    for host in ("h0.org", "h1.org"):
+        of_host = [r for r in rows if host in r[1]]
+        want |= dict(zip([r[0] for r in of_host], main_texts([r[2] for r in of_host]), strict=True))
+    assert any(t.startswith(f"w{n}_") for n, t in want.items()) and "h0.org_4_" in want[24]
+    table = spark.createDataFrame([(*r, 1, 2) for r in rows], PAGES)
+    for tasks, chunk in ((1, 1), (7, 1), (3, 1500), (1, 1 << 20)):
+        got = {r["page_id"]: r["text"] for r in extract(table.repartition(tasks), chunk).collect()}
+        assert got == want
