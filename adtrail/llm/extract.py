@@ -10,7 +10,8 @@ have them. A block that they cover is removed, unique runs stay.
 Elements that name their role (menus, footers, scripts, class names of adverts
 or comments, ...) are left out whatever the stream says. Blocks inside an
 ``article`` are kept even where pages share them, for copies of an article are still
-articles; a page is never emptied by repeats alone.
+articles. All other blocks are judged by repeats, also those outside the ``article`` or
+``main`` of a page that has one. A page is never emptied by repeats alone.
 """
 
 from __future__ import annotations
@@ -195,26 +196,22 @@ Page = list[tuple[int, str]]
 
 def _is_open(page: Page) -> bool:
     """Whether repeats decide on any block of the page."""
-    floor = _floor(page)
-    return any(zone >= floor and zone != ARTICLE for zone, _ in page)
-
-
-def _floor(page: Page) -> int:
-    return MAIN if max((zone for zone, _ in page), default=OUT) >= MAIN else PLAIN
+    return any(zone in (PLAIN, MAIN) for zone, _ in page)
 
 
 def _text(page: Page, mask: np.ndarray | None, covered: float = COVERED) -> str:
-    """Main text of a page of whose words ``mask`` are repeats; None if no block is open."""
-    floor = _floor(page)
-    own, kept, at = [], [], 0
+    """Main text of a page of whose words ``mask`` are repeats; None if no block is open.
+
+    Where repeats leave nothing, the blocks in ``main`` stay, or all if there are none.
+    """
+    kept, at = [], 0
     for zone, text in page:
         words = text.count(" ") + 1
-        if zone >= floor:
-            own.append(text)
-            if zone == ARTICLE or mask is None or mask[at : at + words].mean() < covered:
-                kept.append(text)
+        if zone == ARTICLE or zone != OUT and mask[at : at + words].mean() < covered:
+            kept.append(text)
         at += words
-    return "\n".join(kept or own)
+    top = MAIN if any(zone == MAIN for zone, _ in page) else PLAIN
+    return "\n".join(kept or [text for zone, text in page if zone >= top])
 
 
 class Words:
@@ -268,7 +265,7 @@ def runs(host: str, pages: list[Page], depth: int = REPEAT, least: int = PAGES)
     content = words.contents()
     rank, page = _ranks(words.streams, depth)
     whole = words.whole(depth)
-    undecided = [[zone >= floor and zone != ARTICLE] * (t.count(" ") + 1) for p in pages for floor in [_floor(p)] for zone, t in p]
+    undecided = [[zone in (PLAIN, MAIN)] * (t.count(" ") + 1) for p in pages for zone, t in p]
     ends = np.cumsum([len(s) + 1 for s in words.streams]) - 1
     undecided = np.concatenate([np.zeros(0, bool), *undecided]).astype(bool)
     undecided = np.insert(undecided, ends - np.arange(len(ends)), False)

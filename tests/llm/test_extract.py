@@ -80,3 +80,21 @@ def test_repeats_count_over_all_chunks(spark):
     for tasks, chunk in ((1, 1), (7, 1), (3, 1500), (1, 1 << 20)):
         got = {r["page_id"]: r["text"] for r in extract(table.repartition(tasks), chunk).collect()}
         assert got == want
+
+
+def test_unique_runs_outside_articles_stay():
+    story = [" ".join(f"w{n}_{k}" for k in range(20)) for n in range(4)]
+    goes_on = [" ".join(f"v{n}_{k}" for k in range(20)) for n in range(4)]
+    menu = "<div><p>Go on to the next of our pages or back to the first one here</div><p class=ad>buy</p>"
+    cards = [page(f"<article><p>Teaser {n}</article>{menu}<div><p>{t}</p></div>") for n, t in enumerate(story)]
+    assert main_texts(cards) == [f"Teaser {n}\n{t}" for n, t in enumerate(story)]
+    for tag in ("article", "main"):
+        split = [page(f"<{tag}><p>{a}</{tag}>{menu}<div>{b}</div>") for a, b in zip(story, goes_on, strict=True)]
+        assert main_texts(split) == [f"{a}\n{b}" for a, b in zip(story, goes_on, strict=True)]
+
+
+def test_unique_runs_outside_articles_stay_in_tables(spark):
+    html = [page(f"<article><p>Teaser {n}</article><div><p>story{n} of its own</p></div>") for n in range(4)]
+    table = spark.createDataFrame([(n, f"http://h.org/{n}", h, 1, 2) for n, h in enumerate(html)], PAGES)
+    got = {r["page_id"]: r["text"] for r in extract(table, chunk=1).collect()}
+    assert got == {n: f"Teaser {n}\nstory{n} of its own" for n in range(4)}
