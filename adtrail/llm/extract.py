@@ -5,7 +5,7 @@ a task reads are cut into chunks; the words of all blocks of a chunk form one st
 and its suffix array, sorted as deep as the shortest repeat of interest, puts equal
 substrings side by side. That combines the substrings of a chunk; those of
 all chunks are then counted by host, and the repeated ones go back to the chunks that
-have them. A block that they cover is removed, unique runs stay.
+have them. The words that they cover are removed, unique runs stay, also within a block.
 
 Elements that name their role (menus, footers, scripts, class names of adverts
 or comments, ...) are left out whatever the stream says. Blocks inside an
@@ -34,8 +34,6 @@ from adtrail.llm.common import stored
 REPEAT = 8
 #: Distinct pages that make a repeat boilerplate.
 PAGES = 3
-#: Share of a block's words that must be covered.
-COVERED = 0.8
 #: Characters of html in one chunk, if a page is not longer; no result depends on it.
 CHUNK = 2 << 20
 
@@ -199,7 +197,23 @@ def _is_open(page: Page) -> bool:
     return any(zone in (PLAIN, MAIN) for zone, _ in page)
 
 
-def _text(page: Page, mask: np.ndarray | None, covered: float = COVERED) -> str:
+def _unique(text: str, mask: np.ndarray, depth: int = REPEAT) -> str:
+    """A block without its repeated words; those that stay are in order.
+
+    Repeats go on from block to block. One that has less than ``depth`` words here
+    and not all of the block only reaches in from the next one, and takes nothing.
+    """
+    if mask.all():
+        return ""
+    edges = np.flatnonzero(np.diff(np.concatenate(([False], mask, [False])).astype(np.int8))).reshape(-1, 2)
+    words, at, left = text.split(" "), 0, []
+    for start, end in edges[edges[:, 1] - edges[:, 0] >= depth].tolist():
+        left += words[at:start]
+        at = end
+    return " ".join(left + words[at:])
+
+
+def _text(page: Page, mask: np.ndarray | None, depth: int = REPEAT) -> str:
     """Main text of a page of whose words ``mask`` are repeats; None if no block is open.
 
     Where repeats leave nothing, the blocks in ``main`` stay, or all if there are none.
@@ -207,8 +221,10 @@ def _text(page: Page, mask: np.ndarray | None, covered: float = COVERED) -> str:
     kept, at = [], 0
     for zone, text in page:
         words = text.count(" ") + 1
-        if zone == ARTICLE or zone != OUT and mask[at : at + words].mean() < covered:
+        if zone == ARTICLE:
             kept.append(text)
+        elif zone != OUT and (left := _unique(text, mask[at : at + words], depth)):
+            kept.append(left)
         at += words
     top = MAIN if any(zone == MAIN for zone, _ in page) else PLAIN
     return "\n".join(kept or [text for zone, text in page if zone >= top])
@@ -302,13 +318,13 @@ def _covered(host: str, pages: list[Page], key_1: np.ndarray, key_2: np.ndarray,
     return _by_page(_spread(starts, depth), words.streams)
 
 
-def main_texts(pages: list[str | None], repeat: int = REPEAT, least: int = PAGES, covered: float = COVERED) -> list[str]:
+def main_texts(pages: list[str | None], repeat: int = REPEAT, least: int = PAGES) -> list[str]:
     """Main texts of pages of one host."""
     cut = [blocks(p) for p in pages]
     streams = Words(cut).streams
     contents: dict[bytes, int] = {}
     same = np.array([contents.setdefault(s.tobytes(), len(contents)) for s in streams])
-    return [_text(page, mask, covered) for page, mask in zip(cut, repeated(streams, same, repeat, least), strict=True)]
+    return [_text(page, mask, repeat) for page, mask in zip(cut, repeated(streams, same, repeat, least), strict=True)]
 
 
 def _host(url: str | None) -> str:

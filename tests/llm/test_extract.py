@@ -98,3 +98,16 @@ def test_unique_runs_outside_articles_stay_in_tables(spark):
     table = spark.createDataFrame([(n, f"http://h.org/{n}", h, 1, 2) for n, h in enumerate(html)], PAGES)
     got = {r["page_id"]: r["text"] for r in extract(table, chunk=1).collect()}
     assert got == {n: f"Teaser {n}\nstory{n} of its own" for n in range(4)}
+
+
+def test_only_repeated_words_of_a_block_go():
+    stock = " ".join(f"s{n}" for n in range(40))
+    own = [" ".join(f"w{n}_{k}" for k in range(4)) for n in range(4)]
+    # 91 % of the block are repeats, and their unique rest stays.
+    assert main_texts([page(f"<div><p>{stock} {t}</p></div>") for t in own]) == own
+    # 62 % are, and go from between unique runs.
+    short = [f"{t} {' '.join(stock.split()[:10])} x{n} y{n}" for n, t in enumerate(own)]
+    assert main_texts([page(f"<div><p>{t}</p></div>") for t in short]) == [f"{t} x{n} y{n}" for n, t in enumerate(own)]
+    # Short blocks are repeats together.
+    items = "".join(f"<div>item {n}</div>" for n in range(6))
+    assert main_texts([page(f"{items}<p>{t}</p>") for t in own]) == own
