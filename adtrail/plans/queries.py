@@ -678,6 +678,14 @@ def read_back(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table_rows(jobs.read_back(spark, tables))
 
 
+@query(table_rows_sql().rpartition("FROM b LEFT JOIN i")[0] + USER_JOIN_SQL)
+def read_back_by_user(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``read_back``, bids attributed by user alone as in the reference."""
+    tables = Tables(work_folder(spark, "batch"))
+    jobs.process_batch(batch_logs(spark, sf_dir), tables, JSON, windows=None)
+    return table_rows(jobs.read_back(spark, tables))
+
+
 @query(table_rows_sql((6, 6)))
 def batch_job_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
     """C4 K4: the batch job run again on the same log leaves the same tables."""

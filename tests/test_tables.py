@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 from adtrail.operators import quality
 from adtrail.plans import jobs
+from adtrail.plans.queries import ORACLE, USER_JOIN_SQL
 from adtrail.plans.ingest import ingest
 from adtrail.registry import IMPRESSIONS, json_sources
 from adtrail.session import settings, work_folder
@@ -84,6 +85,10 @@ def test_preview_is_ordered_and_complete(spark):
     assert [r.id for r in preview(df, ["id"]).collect()] == list(range(20))
 
 
+def test_a_query_runs_the_batch_job_by_user():
+    assert "attribution" in ORACLE["read_back_by_user"] and ORACLE["read_back_by_user"].endswith(USER_JOIN_SQL)
+
+
 def test_batch_job_and_read_back(spark, log, tmp_path, capsys):
     sources = json_sources()
     same = {"user_id": "u1", "timestamp": "2024-05-31T12:00:00Z"}
