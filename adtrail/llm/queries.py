@@ -12,12 +12,15 @@ from adtrail.llm.common import table
 from adtrail.llm.decontaminate import contamination
 from adtrail.llm.exact_dedup import exact_groups
 from adtrail.llm.extract import extract
+from adtrail.llm.infill import restore, transform
+from adtrail.llm.interaction import audit
 from adtrail.llm.language import identify
 from adtrail.llm.packing import pack
 from adtrail.llm.quality import scored
 from adtrail.llm.sharding import shard
 from adtrail.llm.simhash import near_groups
 from adtrail.llm.substring_dedup import remove_repeats
+from adtrail.llm.token_counts import token_counts
 from adtrail.llm.warc import round_trip
 
 
@@ -62,6 +65,20 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_groups(table(spark, sf_dir, "documents")).drop("text_hash")
 
 
+def op11_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = restore(transform(table(spark, sf_dir, "documents")))
+    digests = [F.sha2(c, 256).alias(f"{c}_sha256") for c in ("output", "restored")]
+    return done.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *digests)
+
+
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(table(spark, sf_dir, "documents"))
+
+
+def op13_interaction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -75,6 +92,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_substrings,
         op9_sharding,
         op10_simhash,
+        op11_infill,
+        op12_token_counts,
+        op13_interaction,
     )
 }
 
