@@ -118,12 +118,20 @@ def check(counts: DataFrame, allowed: int = 0) -> int:
     return total
 
 
-def observed(decoded: DataFrame, spec: SourceSpec) -> DataFrame:
-    """Count rows while they pass, for batch writes and for every micro-batch."""
-    reasons = [UNDECODABLE, *(rule.reason for rule in spec.rules)]
-    return decoded.observe(
-        f"{METRIC_NAME}_{spec.name}",
+def reasons_of(spec: SourceSpec) -> list[str]:
+    """All reasons a row of the source can be rejected for."""
+    return [UNDECODABLE, *(rule.reason for rule in spec.rules)]
+
+
+def count_columns(spec: SourceSpec) -> list[Column]:
+    """Counts of decoded rows: all, invalid ones, and those by reason."""
+    return [
         F.count(F.lit(1)).alias("rows_read"),
         F.count_if(F.col(REASON).isNotNull()).alias("data_quality_errors"),
-        *[F.count_if(F.col(REASON) == r).alias(r) for r in reasons],
-    )
+        *[F.count_if(F.col(REASON) == r).alias(r) for r in reasons_of(spec)],
+    ]
+
+
+def observed(decoded: DataFrame, spec: SourceSpec) -> DataFrame:
+    """Count rows while they pass, for batch writes and for streams that keep no counts."""
+    return decoded.observe(f"{METRIC_NAME}_{spec.name}", *count_columns(spec))

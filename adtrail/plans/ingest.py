@@ -40,10 +40,20 @@ def ingest(
     decoded = quality.decode_log(log, spec)
     if observe:
         decoded = quality.observed(decoded, spec)
+    return split(decoded, spec, delay, collapse_copies)
+
+
+def split(
+    decoded: DataFrame,
+    spec: SourceSpec,
+    delay: timedelta = DELAY,
+    collapse_copies: bool = False,
+) -> Ingested:
+    """The second half of ``ingest``: a decoded topic by the rules of its source, without copies."""
     invalid = quality.dead_letters(decoded, spec)
     valid = quality.valid_part(decoded, spec)
     keys = list(spec.dedup_keys)
-    if log.isStreaming:
+    if decoded.isStreaming:
         curated = quality.curated_columns(valid, spec)
         unique = stream_dedup.drop_copies(curated, keys, delay, collapse_copies)
     else:

@@ -23,7 +23,7 @@ from adtrail.sources.tables import Tables, preview
 from adtrail.sources.topics import FileTopics, read_streams, read_topics, schema_text
 from adtrail.streaming.dedup import drop_copies as drop_stream_copies
 from adtrail.streaming import jobs as streaming
-from adtrail.streaming.metrics import batch_counts, forget
+from adtrail.streaming.metrics import batch_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -695,6 +695,37 @@ def batch_job_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table_rows(jobs.read_back(spark, tables))
 
 
+@query(table_rows_sql((6, 6)))
+def batch_job_by_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The batch job on a topic that grows, each run reading what is new.
+
+    The log comes in three parts by time; a fourth run finds nothing.
+    """
+    folder = work_folder(spark, "by-days")
+    tables, topics = Tables(f"{folder}/tables"), FileTopics(f"{folder}/topics")
+    logs = batch_logs(spark, sf_dir)
+    span = topics_of.read_events(spark, sf_dir).agg(F.min("ts"), F.max("ts")).first()
+    edges = [span[0] + (span[1] - span[0]) * share for share in (0.6, 0.97, 2.0)]
+    before = None
+    for until in [*edges, None]:
+        if until is not None:
+            for name, log in logs.items():
+                part = log.where(F.col("timestamp") < F.lit(until).cast("timestamp"))
+                if before is not None:
+                    part = part.where(F.col("timestamp") >= F.lit(before).cast("timestamp"))
+                numbered_by_time(part, 0 if before is None else edges.index(until)).write.mode("append").parquet(topics.path(name))
+            before = until
+        read = jobs.process_new(spark, topics, tables, JSON, (WINDOW, WINDOW))
+        if until is None and any(read.values()):
+            raise AssertionError(f"messages read again: {read}")
+    return table_rows(jobs.read_back(spark, tables))
+
+
+def numbered_by_time(log: DataFrame, part: int) -> DataFrame:
+    """A log whose later parts have higher offsets, as a topic's messages have."""
+    return log.withColumn("offset", F.col("offset") + F.lit(part) * (1 << 40))
+
+
 @query(ERROR_COUNTS_SQL)
 def quality_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Errors counted in the dead-letter tables of a job."""
@@ -811,7 +842,6 @@ def stream_quality_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     with settings(spark, {"spark.sql.streaming.numRecentProgressUpdates": "1"}):
         running = [streaming.start_dead_letters(logs[name], spec, tables) for name, spec in JSON.items()]
         streaming.finish(running)
-    forget(spark, tables)
     names = ["rows_read", "data_quality_errors", "undecodable", "missing_user_id"]
     totals = [
         batch_counts(spark, tables, spec)

@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
-from functools import reduce
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from datetime import date as Date
 
-from pyspark.sql import Column, DataFrame
+from pyspark import inheritable_thread_target
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from adtrail.session import STREAM_CONF, settings, state_partitions
-from adtrail.sources.tables import Tables, remove_folder
+from adtrail.sinks.keys import KEY, KeyIndex, by_date, digest, without_held_by_table
+from adtrail.sources.tables import Tables, files_in, remove_folder
 
 EVENT_DATE = "event_date"
 INGEST_DATE = "ingest_date"
@@ -31,13 +35,18 @@ def create_if_absent(
 
 
 def append(
-    df: DataFrame, tables: Tables, table: str, partition_by: str | None = EVENT_DATE
+    df: DataFrame,
+    tables: Tables,
+    table: str,
+    partition_by: str | None = EVENT_DATE,
+    rows: int | None = None,
 ) -> None:
     """Append a batch frame.
 
     The rebalance hint gathers the rows of a date into files of the advisory
     size: many small tasks do not each leave a file per date, and a date with
-    very many rows is still written by many tasks.
+    very many rows is still written by many tasks. Few ``rows``, if their number is
+    known, need no such care, and their dates are written side by side.
     """
     if tables.in_catalog:
         create_if_absent(df, tables, table, partition_by)
@@ -46,7 +55,7 @@ def append(
     if partition_by is None:
         df.write.format(tables.fmt).mode("append").save(tables.path(table))
         return
-    writer = df.hint("rebalance", partition_by).write.format(tables.fmt).mode("append")
+    writer = by_date(df, partition_by, rows).write.format(tables.fmt).mode("append")
     writer.partitionBy(partition_by).save(tables.path(table))
 
 
@@ -77,56 +86,94 @@ def replace_dates(
         create_if_absent(df, tables, table, date)
         df.writeTo(tables.path(table)).overwrite(period)
         return
-    old = set()
+    old = {}
     if tables.exists(spark, table):
         held = tables.read(spark, table).where(period).select(date).distinct()
-        old = {row[0] for row in held.collect()}  # a row per date of the period
+        days = [row[0] for row in held.collect()]  # a row per date of the period
+        parts = [f"{tables.path(table)}/{date}={'__HIVE_DEFAULT_PARTITION__' if d is None else d}" for d in days]
+        old = {part: files_in(spark, part) for part in parts}
     writer = df.hint("rebalance", date).write.format(tables.fmt).mode("overwrite")
     writer.option("partitionOverwriteMode", "dynamic").partitionBy(date).save(tables.path(table))
-    if old:
-        new = {row[0] for row in df.select(date).distinct().collect()}
-        for day in old - new:
-            name = "__HIVE_DEFAULT_PARTITION__" if day is None else day
-            remove_folder(spark, f"{tables.path(table)}/{date}={name}")
+    for part, files in old.items():
+        if files_in(spark, part) == files:  # not written again: ``df`` has no row of that date
+            remove_folder(spark, part)
 
 
 def append_once(
-    df: DataFrame, tables: Tables, table: str, keys: list[str], date: str
-) -> None:
-    """Append the rows whose key the table does not hold yet.
-
-    Equal keys have equal dates, so only the dates of ``df`` are read from the
-    table, and of those only the keys. Copies inside ``df`` are dropped before
-    the shuffle. Running this again with the same rows adds nothing, which
-    makes it safe for a micro-batch that is repeated after a failure.
-
-    Of the table's keys only those of ``df`` go on to the second join; Spark
-    broadcasts the keys of a small ``df`` by their size. NULL keys equal each
-    other.
+    df: DataFrame,
+    tables: Tables,
+    table: str,
+    keys: list[str],
+    date: str,
+    unique: bool = False,
+    days: list[Date | None] | None = None,
+) -> int:
+    """Append the rows whose key the table does not hold yet; how many they were.
+
+    Equal keys have equal dates, so of the table's key index only the dates of
+    ``df`` are read, and of the table nothing: the cost follows ``df``. Copies
+    inside ``df`` are dropped before the shuffle, unless it is ``unique`` by key;
+    ``days`` spares the look for its dates. Running this again with the same rows
+    adds nothing, which makes it safe for a micro-batch that is repeated after a
+    failure, also one between table and index. NULL keys equal each other.
+
+    All appends to such a table have to come through here, one at a time.
     """
     spark = df.sparkSession
-    fresh = df.dropDuplicates(keys)
-    if tables.exists(spark, table):
-        on = [date, *keys]
-        held = tables.read(spark, table).filter(_dates_of(df, date)).select(*on)
-        held = _null_safe(held, df, on, "left_semi")
-        fresh = _null_safe(fresh, held, on, "left_anti")
-    append(fresh.select(*df.columns), tables, table, date)
+    index = KeyIndex(spark, tables, table, tuple(keys), date)
+    interrupted = index.interrupted
+    index.ensure()
+    index.begin()
+    if days is None:
+        days = dates_of(df, date)
+    if days is not None and len(days) > MAX_DATES:
+        days = None
+    rows = (df if unique else df.dropDuplicates(keys)).withColumn(KEY, digest(keys))
+    if interrupted and tables.exists(spark, table):
+        fresh = without_held_by_table(rows, tables.read(spark, table), keys, _among(df, days, date))
+    else:
+        fresh = index.without_held(rows, days)
+    fresh = fresh.persist()
+    try:
+        count = fresh.count()
+        steps = []
+        if count or not tables.exists(spark, table):
+            steps.append(lambda: append(fresh.select(*df.columns), tables, table, date, count))
+        if interrupted:
+            steps.append(lambda: index.add(rows, days))
+        elif count:
+            steps.append(lambda: index.add(fresh, days, count))
+        # In any order: while the marker stands, the next append trusts the table alone.
+        together(spark, steps)
+    finally:
+        fresh.unpersist()
+    index.end()
+    return count
+
+
+def together(spark: SparkSession, steps: list[Callable[[], object]]) -> None:
+    """Run steps side by side, as jobs of this thread's query, and raise what any of them raised."""
+    if len(steps) < 2:
+        for step in steps:
+            step()
+        return
+    with ThreadPoolExecutor(len(steps)) as pool:
+        done = [pool.submit(inheritable_thread_target(spark)(step)) for step in steps]
+    for step in done:
+        step.result()
 
 
-def _null_safe(left: DataFrame, right: DataFrame, on: list[str], kind: str) -> DataFrame:
-    """Join on columns of which NULLs equal each other."""
-    other = right.select(*[F.col(c).alias(f"__{c}") for c in on])
-    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in on])
-    return left.join(other, same, kind)
+def dates_of(df: DataFrame, date: str) -> list[Date | None] | None:
+    """The dates of ``df``; None where they are more than ``MAX_DATES``."""
+    days = [row[0] for row in df.select(date).distinct().limit(MAX_DATES + 1).collect()]
+    return days if len(days) <= MAX_DATES else None
 
 
-def _dates_of(df: DataFrame, date: str) -> Column:
+def _among(df: DataFrame, days: list[Date | None] | None, date: str) -> Column:
     """A partition filter for the dates of ``df``: each of them, or their span if they are many."""
-    dates = [row[0] for row in df.select(date).distinct().limit(MAX_DATES + 1).collect()]
     undated = F.col(date).isNull()
-    if len(dates) <= MAX_DATES:
-        return F.col(date).isin([d for d in dates if d is not None]) | (undated & F.lit(None in dates))
+    if days is not None:
+        return F.col(date).isin([d for d in days if d is not None]) | (undated & F.lit(None in days))
     span = df.agg(F.min(date).alias("low"), F.max(date).alias("high")).first()
     return F.col(date).between(span["low"], span["high"]) | undated
 

@@ -95,6 +95,24 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
 
 
+def files_in(spark: SparkSession, path: str) -> list[tuple[str, int]]:
+    """The data files right below a folder, and their sizes."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(hadoop_path)
+    files = [(f.getPath().getName(), f.getLen()) for f in found if f.isFile()]
+    return [(f"{path}/{name}", size) for name, size in files if not name.startswith(("_", "."))]
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file whole."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    stream = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).open(hadoop_path)
+    try:
+        return bytes(stream.readAllBytes()).decode("utf-8")
+    finally:
+        stream.close()
+
+
 def write_text(spark: SparkSession, path: str, text: str) -> None:
     """Write a small file, in place of one of that name."""
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)

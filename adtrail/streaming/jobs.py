@@ -3,21 +3,24 @@
 from __future__ import annotations
 
 from datetime import timedelta
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from adtrail.functions.timing import interval
+from adtrail.functions.timing import event_date, interval
 from adtrail.operators import quality
 from adtrail.operators.attribution import attribute_by_interval, nested
+from adtrail.operators.dedup import keep_first
 from adtrail.plans.ingest import DELAY, ingest
 from adtrail.registry import ATTRIBUTION_TABLE, BIDS, CLICKS, IMPRESSIONS, SourceSpec
 from adtrail.sinks import tables as sink
 from adtrail.sources.tables import Tables, make_folder, path_exists
-from adtrail.streaming.dedup import drop_copies, with_delay
-from adtrail.streaming.metrics import batch_counts, settle, watch
+from adtrail.streaming import metrics as metrics_log
+from adtrail.streaming.dedup import with_delay
+from adtrail.streaming.metrics import batch_counts
 
 IMPRESSION_WINDOW = timedelta(hours=1)
 CLICK_WINDOW = timedelta(hours=24)
@@ -44,11 +47,7 @@ def start_curated(
 
 def start_dead_letters(log: DataFrame, spec: SourceSpec, tables: Tables, **run) -> StreamingQuery:
     """Invalid rows of a topic into the dead-letter table, counted per micro-batch."""
-    watch(log.sparkSession, tables)
-    invalid = ingest(log, spec, observe=True).invalid
-    return sink.append_stream(
-        dead_letter_rows(invalid), tables, spec.dead_letter_table, sink.INGEST_DATE, **run
-    )
+    return _start_split(log, spec.with_event_time(), tables, spec.dead_letter_table, False, **run)
 
 
 def start_fan_out(
@@ -62,41 +61,65 @@ def start_fan_out(
     """Both tables from one read and one decode of the topic.
 
     Copies are valid rows with the same key of the source, or invalid ones with
-    the same place in the log. Most arrive within ``delay`` and are dropped by
-    the bounded state; the keys it lets through are compared with those the
-    tables hold for the dates of the micro-batch, so a copy is found however
-    late it is, and a micro-batch that is run again adds nothing.
+    the same place in the log. The first in the log stays. Copies are looked up in
+    the tables' key index, so one is found however late it is, a micro-batch that
+    is run again adds nothing, and the stream keeps no state. ``delay`` and
+    ``collapse_copies`` guard a state and change nothing here: copies are dropped
+    inside each task before the shuffle.
+    """
+    return _start_split(log, spec.with_event_time(), tables, f"fan_out_{spec.name}", True, **run)
+
+
+def _start_split(
+    log: DataFrame,
+    spec: SourceSpec,
+    tables: Tables,
+    name: str,
+    curated: bool,
+    files_per_date: int | None = None,
+    **run,
+) -> StreamingQuery:
+    """Micro-batches are counted, split and appended; files are gathered by size, not by ``files_per_date``.
+
+    One pass over the micro-batch gives its counts and dates. The calendar bounds
+    the dates; far fewer are usual.
     """
     spark = log.sparkSession
-    spec = spec.with_event_time()
-    watch(spark, tables)
-    decoded = quality.observed(quality.decode_log(log, spec), spec)
+    decoded = quality.decode_log(log, spec)
     is_valid = F.col(quality.REASON).isNull()
-    by_key, by_place = (F.to_json(F.array(*[F.col(c).cast("string") for c in names])) for names in (spec.dedup_keys, PLACE))
-    slim = decoded.withColumns(
-        {
-            "copy_of": F.when(is_valid, by_key).otherwise(by_place),
-            "raw_value": F.when(~is_valid, F.col("raw_value")),
-        }
-    )
-    unique = drop_copies(slim, ["copy_of"], delay, collapse_copies).drop("copy_of")
+    keys, places = list(spec.dedup_keys), PLACE
+    days = {
+        "valid": F.collect_set(F.struct(F.when(is_valid, event_date()).alias("day"), is_valid.alias("own"))),
+        "dead": F.collect_set(F.struct(F.to_date("ingest_time").alias("day"), (~is_valid).alias("own"))),
+    }
 
-    def write(batch: DataFrame, _batch_id: int) -> None:
+    def write(batch: DataFrame, number: int) -> None:
         batch.persist()
         try:
-            valid = quality.curated_columns(batch.filter(is_valid), spec)
-            dead = dead_letter_rows(batch.filter(~is_valid).select(*quality.DEAD_COLUMNS))
-            sink.append_once(valid, tables, spec.table, list(spec.dedup_keys), sink.EVENT_DATE)
-            sink.append_once(dead, tables, spec.dead_letter_table, PLACE, sink.INGEST_DATE)
+            seen = metrics_log.counted(batch, spec, days)
+            own = {kind: [d["day"] for d in seen[kind] if d["own"]] for kind in days}
+            metrics_log.commit(spark, tables, spec, metrics_log.query_of(spark), number, seen["counts"])
+            steps = []
+            if curated and own["valid"]:
+                rows = batch.filter(is_valid).select(*spec.fields, "event_time", "partition", "offset")
+                first = keep_first(rows, keys, ["partition", "offset"], drop_order=True)
+                valid = quality.curated_columns(first, spec)
+                to = (valid, tables, spec.table, keys, sink.EVENT_DATE, True, own["valid"])
+                steps.append(partial(sink.append_once, *to))
+            if own["dead"]:
+                dead = dead_letter_rows(batch.filter(~is_valid).select(*quality.DEAD_COLUMNS))
+                to = (dead, tables, spec.dead_letter_table, places, sink.INGEST_DATE, False, own["dead"])
+                steps.append(partial(sink.append_once, *to))
+            sink.together(spark, steps)
         finally:
             batch.unpersist()
 
     writer = (
-        unique.writeStream.foreachBatch(write)
-        .queryName(f"fan_out_{spec.name}")
-        .option("checkpointLocation", tables.checkpoint(f"fan_out_{spec.name}"))
+        decoded.writeStream.foreachBatch(write)
+        .queryName(name)
+        .option("checkpointLocation", tables.checkpoint(name))
     )
-    return sink.start(writer, unique, **run)
+    return sink.start(writer, decoded, **run)
 
 
 def curated_schema(spec: SourceSpec) -> T.StructType:
@@ -221,8 +244,6 @@ def finish(queries: list[StreamingQuery]) -> None:
     """Wait for queries over the available data; an error of any is raised."""
     for query in queries:
         query.awaitTermination()
-    for query in queries:
-        settle(query)
 
 
 def metrics(spark: SparkSession, tables: Tables, spec: SourceSpec) -> list[dict[str, int]]:
