@@ -7,13 +7,15 @@ from types import SimpleNamespace
 import pytest
 from pyspark.sql import functions as F
 from adtrail.operators import quality
-from adtrail.plans import jobs
+from adtrail.plans import jobs, ledger
 from adtrail.plans.queries import ORACLE, USER_JOIN_SQL
 from adtrail.plans.ingest import ingest
 from adtrail.registry import IMPRESSIONS, json_sources
 from adtrail.session import settings, work_folder
+from adtrail.sinks import keys as keys_of
 from adtrail.sinks import tables as sink
-from adtrail.sources.tables import Tables, preview
+from adtrail.sources.tables import Tables, files_in, preview
+from adtrail.sources.topics import FileTopics
 
 
 def impression(n, day=31, user=None):
@@ -211,3 +213,107 @@ def test_calls_on_a_catalog(spark, monkeypatch):
     assert [c[0] for c in writer.calls] == ["writeTo", "overwrite"]
     with pytest.raises(ValueError, match="side_root"):
         Tables("local.ads", fmt="iceberg").checkpoint("q")
+
+
+def test_key_index_merges_small_files_and_reads_only_the_days_asked(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(keys_of, "MANY", 3)
+    tables = Tables(str(tmp_path / "tables"))
+    schema = "id string, n int, event_date date"
+    first, other = date(2024, 5, 1), date(2024, 5, 2)
+    for n in range(6):
+        df = spark.createDataFrame([(f"k{n}", n, first), ("same", n, first), (None, n, None)], schema)
+        assert sink.append_once(df, tables, "t", ["id"], sink.EVENT_DATE) == (3 if n == 0 else 1)
+    sink.append_once(spark.createDataFrame([("k", 1, other)], schema), tables, "t", ["id"], sink.EVENT_DATE)
+    assert tables.read(spark, "t").count() == 9
+    index = keys_of.KeyIndex(spark, tables, "t", ("id",), sink.EVENT_DATE)
+    assert len(files_in(spark, index.part(first))) <= 4
+    assert index.read([first]).distinct().count() == 7 and index.read([other]).count() == 1
+    read = index.without_held(spark.createDataFrame([(bytearray(b"x"),)], f"{keys_of.KEY} binary"), [other])
+    assert str(other) in " ".join(read.inputFiles()) and str(first) not in " ".join(read.inputFiles())
+    assert index.read([date(2024, 6, 1)]) is None
+
+
+def test_key_index_of_a_table_that_had_none(spark, tmp_path):
+    tables = Tables(str(tmp_path / "tables"))
+    schema = "id string, event_date date"
+    rows = spark.createDataFrame([("a", date(2024, 5, 1)), (None, None)], schema)
+    sink.append(rows, tables, "t")
+    more = rows.union(spark.createDataFrame([("b", date(2024, 5, 1))], schema))
+    assert sink.append_once(more, tables, "t", ["id"], sink.EVENT_DATE) == 1
+    assert sorted(map(str, tables.read(spark, "t").collect())) == sorted(map(str, more.collect()))
+
+
+def topic_rows(day, users, first=0):
+    at = f"2024-05-{day:02d}T12:00:00Z"
+    return {
+        name: [json.dumps({"user_id": u, "timestamp": at, field: f"{u}-{day}"}) for u in users]
+        for name, field in (("ad_impressions", "ad_creative_id"), ("clicks_conversions", "campaign_id"), ("bid_requests", "auction_id"))
+    }
+
+
+@pytest.fixture
+def growing(spark, log, tmp_path):
+    topics = FileTopics(str(tmp_path / "topics"))
+    sent = {}
+
+    def send(day, users):
+        for name, texts in topic_rows(day, users).items():
+            first = sent.get(name, 0)
+            sent[name] = first + len(texts)
+            log(texts, name, first=first).coalesce(1).write.mode("append").parquet(topics.path(name))
+        return topics
+
+    return send
+
+
+def days_written(tmp_path):
+    folder = tmp_path / "tables" / "attribution"
+    return {p.parent.name.partition("=")[2]: p.name for p in folder.rglob("*.parquet")}
+
+
+def attributed_ids(spark, tables):
+    rows = tables.read(spark, "attribution").collect()
+    return sorted((r.bid_requests.auction_id, r.ad_impressions.ad_creative_id, r.clicks_conversions.campaign_id) for r in rows)
+
+
+def test_batch_job_reads_and_writes_only_what_is_new(spark, growing, tmp_path):
+    tables, sources = Tables(str(tmp_path / "tables")), json_sources()
+    topics = growing(1, ["u1", "u2"])
+    growing(9, ["u1"])
+    assert jobs.process_new(spark, topics, tables, sources) == dict.fromkeys(sources, 3)
+    before = days_written(tmp_path)
+    assert jobs.process_new(spark, topics, tables, sources) == dict.fromkeys(sources, 0)
+    assert days_written(tmp_path) == before and set(before) == {"2024-05-01", "2024-05-09"}
+    growing(20, ["u3"])
+    growing(9, ["u4"])
+    assert jobs.process_new(spark, topics, tables, sources) == dict.fromkeys(sources, 2)
+    after = days_written(tmp_path)
+    assert {d for d in after if after[d] != before.get(d)} == {"2024-05-09", "2024-05-20"}
+    assert attributed_ids(spark, tables) == sorted((f"{u}-{d}",) * 3 for u, d in (("u1", 1), ("u2", 1), ("u1", 9), ("u4", 9), ("u3", 20)))
+
+
+def test_batch_job_that_died_is_repeated(spark, growing, tmp_path, monkeypatch):
+    tables, sources = Tables(str(tmp_path / "tables")), json_sources()
+    topics = growing(1, ["u1"])
+    for place in ("attribute_period", "decode_once"):
+        with monkeypatch.context() as broken:
+
+            def fail(*_args, **_kwargs):
+                raise RuntimeError("the driver died")
+
+            broken.setattr(jobs, place, fail)
+            with pytest.raises(RuntimeError, match="died"):
+                jobs.process_new(spark, topics, tables, sources)
+    jobs.process_new(spark, topics, tables, sources)
+    assert attributed_ids(spark, tables) == [("u1-1",) * 3]
+    assert tables.read(spark, "bid_requests").count() == 1
+
+
+def test_offsets_survive_a_commit_cut_off(spark, tmp_path):
+    tables = Tables(str(tmp_path / "tables"))
+    ledger.commit(spark, tables, "t", {0: 5})
+    ledger.commit(spark, tables, "t", {0: 9, 1: 2})
+    assert ledger.next_offsets(spark, tables, "t") == {0: 9, 1: 2}
+    (tmp_path / "tables" / "_offsets" / "t.json").write_text('{"0": 1')
+    (tmp_path / "tables" / "_offsets" / ".t.json.crc").unlink(missing_ok=True)
+    assert ledger.next_offsets(spark, tables, "t") == {0: 5}
