@@ -16,6 +16,7 @@ import bisect
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from typing import Any
 
 import numpy as np
 import pandas as pd
@@ -204,28 +205,36 @@ def _best_fit(plan: Plan, runs: list[Run], left: dict[int, int]) -> None:
             n -= each * use
 
 
-_encoders: dict[str, tuple] = {}
+_encoders: dict[str, Any] = {}
 
 
 def encoder(vocabulary: str, ranks: str, pattern: str):
     """Ids of a text. Both libraries read one vocabulary and give equal ids; the
-    second, five times as fast, takes the texts that hold no special token."""
-    if vocabulary not in _encoders:
-        import base64
+    second, five times as fast, takes the texts that hold no special token. Each is
+    loaded for the first text that needs it."""
 
-        import tiktoken
-        from tokenizers import Tokenizer
+    def slow():
+        if vocabulary not in _encoders:
+            from tokenizers import Tokenizer
 
-        with open(ranks, "rb") as lines:
-            pairs = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-        fast = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=pairs, special_tokens={})
-        _encoders[vocabulary] = (Tokenizer.from_file(vocabulary), fast)
-    slow, fast = _encoders[vocabulary]
+            _encoders[vocabulary] = Tokenizer.from_file(vocabulary)
+        return _encoders[vocabulary]
+
+    def fast():
+        if ranks not in _encoders:
+            import base64
+
+            import tiktoken
+
+            with open(ranks, "rb") as lines:
+                pairs = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+            _encoders[ranks] = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=pairs, special_tokens={})
+        return _encoders[ranks]
 
     def ids(text: str) -> np.ndarray:
         if SPECIAL in text:
-            return np.array(slow.encode(text, add_special_tokens=False).ids, np.uint32)
-        return np.asarray(fast.encode_to_numpy(text, disallowed_special=()), np.uint32)
+            return np.array(slow().encode(text, add_special_tokens=False).ids, np.uint32)
+        return np.asarray(fast().encode_to_numpy(text, disallowed_special=()), np.uint32)
 
     return ids
 
@@ -252,8 +261,8 @@ def pieces(
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         ids = encoder(*(vocabulary or public_vocabulary()))
         for batch in batches:
-            out = []
-            for doc_id, body in zip(batch["doc_id"], batch["text"], strict=True):
+            out: list[tuple] = []
+            for doc_id, body in zip(batch["doc_id"], batch.pop("text"), strict=True):
                 tokens = np.append(ids(body) if body else np.zeros(0, np.uint32), np.uint32(END)).astype("<u4")
                 start, end, piece = 0, len(tokens) % capacity or min(capacity, len(tokens)), 0
                 while start < len(tokens):
@@ -268,9 +277,9 @@ def pieces(
 
 
 def place(cut: DataFrame, capacity: int = CAPACITY, small: int = SMALL, groups: int = GROUPS) -> DataFrame:
-    """``cut`` with ``sequence_id`` and ``offset``."""
-    numbered = stored(ranked(cut, "length", ["doc_id", "piece", "start"], "rank"), "packing-ranks")
-    counts = {row["length"]: row["count"] for row in numbered.groupBy("length").count().collect()}
+    """``cut``, which is read twice, with ``sequence_id`` and ``offset``."""
+    numbered = ranked(cut, "length", ["doc_id", "piece", "start"], "rank")
+    counts = {row["length"]: row["count"] for row in cut.groupBy("length").count().collect()}
     plan = make_plan(counts, capacity, small, groups)
     rows = np.array(sorted(plan.rows), np.int64).reshape(-1, 5)
     marks = rows[:, 0] * (1 << 44) + rows[:, 1]
