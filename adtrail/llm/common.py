@@ -39,6 +39,11 @@ def row_key(ident: Column, text: Column) -> Column:
     return F.struct(ident.alias("id"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("text_hash"))
 
 
+def whole_rows(df: DataFrame, **columns: Column) -> DataFrame:
+    """``df``'s rows as one column ``row``, beside columns that its names cannot clash with."""
+    return df.select(F.struct("*").alias("row"), *[c.alias(name) for name, c in columns.items()])
+
+
 def first_of(df: DataFrame, *keys: str) -> DataFrame:
     """One row of those that repeat ``keys``."""
     rows = Window.partitionBy(*keys).orderBy(F.lit(1))

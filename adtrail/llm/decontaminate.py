@@ -19,7 +19,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from adtrail.llm.common import ascii_lower, row_key, stored
+from adtrail.llm.common import ascii_lower, row_key, stored, whole_rows
 
 WINDOW = 10
 #: Words of a shingle; fewer where a window is shorter.
@@ -177,8 +177,14 @@ def keep_clean(
     ident: str = "doc_id",
     text: str = "text",
 ) -> DataFrame:
-    """The rows of ``docs`` in which no window occurs, all columns."""
+    """The rows of ``docs`` in which no window occurs, all columns.
+
+    Null, empty and wordless texts stay, repeated rows stay or go together, and
+    an empty benchmark or table changes nothing. Other columns go along
+    whatever their names.
+    """
     _, _, hits = _hits(docs, items, width, shingle, block, ident, text)
-    bad = hits.select(F.col("key.id").alias("__id"), F.col("key.text_hash").alias("__hash")).distinct()
-    own = F.xxhash64(F.coalesce(docs[text], F.lit("")))
-    return docs.join(bad, docs[ident].eqNullSafe(F.col("__id")) & (own == F.col("__hash")), "left_anti")
+    bad = hits.select(F.col("key.id").alias("bad_id"), F.col("key.text_hash").alias("bad_hash")).distinct()
+    rows = whole_rows(docs, id=docs[ident], hash=F.xxhash64(F.coalesce(docs[text], F.lit(""))))
+    same = F.col("id").eqNullSafe(F.col("bad_id")) & (F.col("hash") == F.col("bad_hash"))
+    return rows.join(bad, same, "left_anti").select("row.*")

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from adtrail.llm.common import ascii_lower, first_of, stored
+from adtrail.llm.common import ascii_lower, first_of, stored, whole_rows
 
 #: Groups a hot digest is dealt into. Each holds 1/SALTS of the copies.
 SALTS = 16
@@ -83,15 +83,16 @@ def exact_groups(docs: DataFrame, salts: int = SALTS, ident: str = "doc_id", tex
 
 
 def keep_distinct(docs: DataFrame, salts: int = SALTS, ident: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, all columns, one row per distinct text."""
-    stay = (
-        exact_groups(docs, salts, ident, text)
-        .where("kept")
-        .select(F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__sha"))
-        .distinct()
-    )
-    ours = F.sha2(ascii_lower(F.coalesce(docs[text], F.lit(""))), 256)
-    kept = docs.withColumn("__own", ours).join(
-        stay, docs[ident].eqNullSafe(F.col("__id")) & (F.col("__own") == F.col("__sha"))
-    )
-    return first_of(kept, "__id", "__sha").select(*[docs[c] for c in docs.columns])
+    """The rows of ``docs`` that stay, all columns, one row per distinct text.
+
+    Of equal texts, null and empty ones among them, the row with the largest id
+    stays, and one of those that repeat it; a row without an id stays only
+    where none of its group has one. An empty table stays empty; other columns
+    go along whatever their names.
+    """
+    groups = exact_groups(docs, salts, ident, text).where("kept")
+    stay = groups.select(F.col("doc_id").alias("keep_id"), F.col("text_sha256").alias("keep_sha")).distinct()
+    sha = F.sha2(ascii_lower(F.coalesce(docs[text], F.lit(""))), 256)
+    rows = whole_rows(docs, id=docs[ident].cast("long"), sha=sha)
+    kept = rows.join(stay, F.col("id").eqNullSafe(F.col("keep_id")) & (F.col("sha") == F.col("keep_sha")))
+    return first_of(kept, "id", "sha").select("row.*")

@@ -28,16 +28,27 @@ DOCUMENT = 300
 #: Stands at both ends of a word.
 EDGE = "_"
 UNKNOWN = "und"
+#: Runs of letters, numerals like ``½`` or ``Ⅷ`` among them.
 _WORD = re.compile(r"[^\W\d_]+")
 _BITS = np.uint64(21)
 
 
+def words(text: str) -> Counter:
+    """The lower-case words of a text, runs of code points of category L."""
+    counts = Counter(_WORD.findall(text.lower()))
+    for run in [w for w in counts if not w.isalpha()]:
+        times = counts.pop(run)
+        for word in "".join(c if c.isalpha() else " " for c in run).split():
+            counts[word] += times
+    return counts
+
+
 def ngrams(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     """Letter n-grams of one to three characters in a text's words, and their counts.
 
     An n-gram is its code points, 21 bits each, in one number.
     """
-    counts = Counter(_WORD.findall(text.lower())) if text else None
+    counts = words(text or "")
     if not counts:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
     joined = EDGE + EDGE.join(counts) + EDGE

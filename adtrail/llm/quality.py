@@ -252,6 +252,10 @@ def scored(
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, keep: float = KEEP, text: str = "text", **how) -> DataFrame:
-    """The rows of ``docs`` that are kept, all columns."""
+    """The rows of ``docs`` that are kept, all columns, each judged by its text alone.
+
+    A null text is judged as an empty one. With fewer than two grades among the
+    labels all rows stay; an empty table stays empty.
+    """
     model = fit(docs, labels, text=text, **how)
     return docs.where(graded(model, docs[text])["p_top"] >= keep)

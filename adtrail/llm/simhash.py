@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from adtrail.llm.common import first_of, row_key, stored
+from adtrail.llm.common import first_of, row_key, stored, whole_rows
 
 SHINGLE = 3
 DISTANCE = 2
@@ -284,16 +284,11 @@ def keep_one_each(docs: DataFrame, ident: str = "doc_id", text: str = "text", **
     """The rows of ``docs`` of the smallest id of each component, all columns.
 
     Of rows that repeat an id and a text one stays; a null id stays only where
-    its component has no other.
+    its component has no other. Null, empty and wordless texts are near each
+    other. An empty table stays empty; other columns go along whatever their names.
     """
-    stay = (
-        near_groups(docs, ident=ident, text=text, **how)
-        .where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-        .select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"))
-        .distinct()
-    )
-    mine = F.xxhash64(F.coalesce(docs[text], F.lit("")))
-    kept = docs.withColumn("__own", mine).join(
-        stay, docs[ident].eqNullSafe(F.col("__id")) & (F.col("__own") == F.col("__hash"))
-    )
-    return first_of(kept, "__id", "__own").select(*[docs[c] for c in docs.columns])
+    groups = near_groups(docs, ident=ident, text=text, **how).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    stay = groups.select(F.col("doc_id").alias("keep_id"), F.col("text_hash").alias("keep_hash")).distinct()
+    rows = whole_rows(docs, id=docs[ident].cast("long"), hash=F.xxhash64(F.coalesce(docs[text], F.lit(""))))
+    kept = rows.join(stay, F.col("id").eqNullSafe(F.col("keep_id")) & (F.col("hash") == F.col("keep_hash")))
+    return first_of(kept, "id", "hash").select("row.*")

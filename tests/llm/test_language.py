@@ -1,5 +1,5 @@
-import re
 from collections import Counter
+import unicodedata
 import zlib
 
 import numpy as np
@@ -25,6 +25,11 @@ def test_ngrams():
     assert got == codes
 
 
+def test_words_are_letters_only():
+    assert language.words("² ½ Ⅷ 12 _") == {}
+    assert language.words("x²y ab½ ab Ⅷ") == {"x": 1, "y": 1, "ab": 2}
+
+
 def test_distance():
     profiles = language.Profiles({"a": np.array([3, 1, 2], np.uint64), "b": np.array([9], np.uint64)}, length=5)
     own = np.array([1, 3, 7], np.uint64)
@@ -32,6 +37,7 @@ def test_distance():
     assert profiles.places[0, at[:2]].tolist() == [1, 0]
     assert profiles.nearest(None) == ("und", 0.0)
     assert profiles.nearest("12 - _") == ("und", 0.0)
+    assert profiles.nearest("² ½ Ⅷ") == ("und", 0.0)
 
 
 def test_held_out_accuracy(spark):
@@ -44,12 +50,13 @@ def test_held_out_accuracy(spark):
 
 
 def test_odd_rows(spark, docs, odd):
+    odd = [*odd, (40, "² ½ Ⅷ")]
     assert {r["lang_pred"] for r in language.identify(docs(odd)).collect()} == {"und"}
     rows = [(i, t, "xx" if i in (4, 9) else None, None, None) for i, t in odd]
     got = language.identify(spark.createDataFrame(rows, DOCS)).collect()
     assert len(got) == len(odd)
     for r, (_, t) in zip(sorted(got, key=repr), sorted(odd, key=repr), strict=False):
         assert r["lang_pred"] in ("xx", "und")
-    letters = sum(bool(re.search(r"[^\W\d_]", t or "")) for _, t in odd)
+    letters = sum(any(unicodedata.category(c).startswith("L") for c in t or "") for _, t in odd)
     assert sum(r["lang_pred"] == "xx" for r in got) == letters
     assert language.identify(spark.createDataFrame([], DOCS)).count() == 0
