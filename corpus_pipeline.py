@@ -3,6 +3,10 @@
 Stages in order: reject documents of low quality, keep one of equal texts, keep
 one of near copies, drop documents that hold benchmark passages, pack what is
 left. Each stage is written to the shared folder and read again by the next.
+
+An empty table passes all stages and packs into no rows. Rows that repeat an id and
+a text are one document from the second stage on. Columns beyond those of documents
+are carried to the packing, whatever their names, and dropped there.
 """
 
 from __future__ import annotations
@@ -18,23 +22,27 @@ from adtrail.llm.simhash import keep_one_each
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose text the labels teach to be good; a null text is judged as an empty one."""
     return keep_good(docs, table(spark, sf_dir, "labels"))
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The row with the largest id of each distinct text; null counts as empty."""
     return keep_distinct(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The smallest id of each group of near copies; all texts without words are one group."""
     return keep_one_each(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that no window of a benchmark item occurs in."""
+    """Documents that no window of a benchmark item occurs in; texts without words stay."""
     return keep_clean(docs, table(spark, sf_dir, "benchmark"))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents in sequences; a null or empty text is its end token alone."""
     return pack(docs)
 
 
