@@ -12,31 +12,26 @@ import json
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adtrail.sources.tables import Tables, path_exists, read_text, write_text
+from adtrail.sources.tables import Tables, keep_text, kept_text
 from adtrail.sources.topics import Offsets
 
 FOLDER = "_offsets"
 
 
-def next_offsets(spark: SparkSession, tables: Tables, source: str) -> Offsets:
-    """Where the next run begins; partitions that were never read are not in it.
+def _path(tables: Tables, source: str) -> str:
+    return tables.side_folder(f"{FOLDER}/{source}.json")
+
 
-    Of two files the one that was written whole last counts.
-    """
-    for name in (source, f"{source}.old"):
-        path = tables.side_folder(f"{FOLDER}/{name}.json")
-        text = read_text(spark, path) if path_exists(spark, path) else ""
-        if text.endswith("\n"):
-            return {int(p): n for p, n in json.loads(text).items()}
-    return {}
+def next_offsets(spark: SparkSession, tables: Tables, source: str) -> Offsets:
+    """Where the next run begins; partitions that were never read are not in it."""
+    text = kept_text(spark, _path(tables, source))
+    return {int(p): n for p, n in json.loads(text).items()} if text else {}
 
 
 def commit(spark: SparkSession, tables: Tables, source: str, offsets: Offsets) -> None:
-    """Let the next run begin at ``offsets``; a run that dies here leaves the old ones readable."""
-    before = next_offsets(spark, tables, source)
-    for name, kept in ((f"{source}.old", before), (source, before | offsets)):
-        path = tables.side_folder(f"{FOLDER}/{name}.json")
-        write_text(spark, path, json.dumps(kept) + "\n")
+    """Let the next run begin at ``offsets``."""
+    kept = next_offsets(spark, tables, source) | offsets
+    keep_text(spark, _path(tables, source), json.dumps(kept))
 
 
 def offsets_after(log: DataFrame) -> Offsets:

@@ -787,6 +787,27 @@ def stream_attribution(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flat_attribution(real)
 
 
+@query(interval_attribution_sql(sides_sql(), 6))
+def stream_late_attribution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two fifths of all rows come after the windows of their bids have closed.
+
+    The stream drops them; the days they reached are attributed again.
+    """
+    folder = work_folder(spark, "late-attribution")
+    topics, tables = FileTopics(f"{folder}/topics"), Tables(f"{folder}/tables")
+    late = F.pmod(F.xxhash64("offset"), F.lit(5)) < 2
+    options = dict(impression_window=WINDOW, click_window=WINDOW, delay=DELAY)
+    for part in (~late, late):
+        for name, log in batch_logs(spark, sf_dir).items():
+            log.where(part).write.mode("append").parquet(topics.path(name))
+        if part is not late:
+            deliver_sentinels(spark, sf_dir, topics)
+        jobs.process_streams(spark, topics, tables, JSON, **options)
+    jobs.attribute_late(spark, tables, **options)
+    real = jobs.read_attribution(spark, tables).filter(F.col("user_id") != "-1")
+    return flat_attribution(real)
+
+
 @query(
     f"""SELECT source AS "table", CAST(user_id AS VARCHAR) AS user_id, CAST(event_id AS VARCHAR) AS id,
     {ISO_SQL} AS "timestamp", detail, NULL AS "partition" FROM ({MAIN_ROWS_SQL})

@@ -55,6 +55,8 @@ LOG_SCHEMA = T.StructType(
 ATTRIBUTION_TABLE = "attribution"
 # Attribution of users too busy for the stream, written by batch runs.
 BUSY_ATTRIBUTION_TABLE = "attribution_busy"
+#: Days attributed again because rows came late, in place of the stream's.
+LATE_ATTRIBUTION_TABLE = "attribution_late"
 
 
 @dataclass(frozen=True)

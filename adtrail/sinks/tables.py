@@ -129,10 +129,12 @@ def append_once(
     if days is not None and len(days) > MAX_DATES:
         days = None
     rows = (df if unique else df.dropDuplicates(keys)).withColumn(KEY, digest(keys))
-    if interrupted and tables.exists(spark, table):
-        fresh = without_held_by_table(rows, tables.read(spark, table), keys, _among(df, days, date))
-    else:
+    if not interrupted:
         fresh = index.without_held(rows, days)
+    elif tables.exists(spark, table):
+        fresh = without_held_by_table(rows, tables.read(spark, table), keys, _among(df, days, date))
+    else:  # the index may have keys whose rows were never written
+        fresh = rows
     fresh = fresh.persist()
     try:
         count = fresh.count()

@@ -123,6 +123,21 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
         out.close()
 
 
+def keep_text(spark: SparkSession, path: str, line: str) -> None:
+    """Replace a line of text; a run that dies meanwhile leaves the old or the new one."""
+    write_text(spark, f"{path}.old", kept_text(spark, path) + "\n")
+    write_text(spark, path, line + "\n")
+
+
+def kept_text(spark: SparkSession, path: str) -> str:
+    """The line that was kept last, empty before the first."""
+    for name in (path, f"{path}.old"):
+        text = read_text(spark, name) if path_exists(spark, name) else ""
+        if text.endswith("\n"):
+            return text.removesuffix("\n")
+    return ""
+
+
 def read_curated(spark: SparkSession, tables: Tables) -> dict[str, DataFrame]:
     """The four curated tables."""
     return {name: tables.read(spark, name) for name in CURATED_TABLES}

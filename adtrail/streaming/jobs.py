@@ -18,6 +18,7 @@ from adtrail.plans.ingest import DELAY, ingest
 from adtrail.registry import ATTRIBUTION_TABLE, BIDS, CLICKS, IMPRESSIONS, SourceSpec
 from adtrail.sinks import tables as sink
 from adtrail.sources.tables import Tables, make_folder, path_exists
+from adtrail.streaming import late
 from adtrail.streaming import metrics as metrics_log
 from adtrail.streaming.dedup import with_delay
 from adtrail.streaming.metrics import batch_counts
@@ -63,11 +64,12 @@ def start_fan_out(
     Copies are valid rows with the same key of the source, or invalid ones with
     the same place in the log. The first in the log stays. Copies are looked up in
     the tables' key index, so one is found however late it is, a micro-batch that
-    is run again adds nothing, and the stream keeps no state. ``delay`` and
-    ``collapse_copies`` guard a state and change nothing here: copies are dropped
-    inside each task before the shuffle.
+    is run again adds nothing, and the stream keeps no state. ``collapse_copies``
+    guards a state and changes nothing here: copies are dropped inside each task
+    before the shuffle. Days of rows more than ``delay`` behind the source's event
+    time are noted for ``plans.jobs.attribute_late``.
     """
-    return _start_split(log, spec.with_event_time(), tables, f"fan_out_{spec.name}", True, **run)
+    return _start_split(log, spec.with_event_time(), tables, f"fan_out_{spec.name}", True, delay, **run)
 
 
 def _start_split(
@@ -76,6 +78,7 @@ def _start_split(
     tables: Tables,
     name: str,
     curated: bool,
+    delay: timedelta = DELAY,
     files_per_date: int | None = None,
     **run,
 ) -> StreamingQuery:
@@ -92,13 +95,15 @@ def _start_split(
         "valid": F.collect_set(F.struct(F.when(is_valid, event_date()).alias("day"), is_valid.alias("own"))),
         "dead": F.collect_set(F.struct(F.to_date("ingest_time").alias("day"), (~is_valid).alias("own"))),
     }
+    times = {f.__name__: f(F.when(is_valid, F.col("event_time").cast("timestamp_ntz"))) for f in (F.min, F.max)}
 
     def write(batch: DataFrame, number: int) -> None:
         batch.persist()
         try:
-            seen = metrics_log.counted(batch, spec, days)
+            seen = metrics_log.counted(batch, spec, days | times)
             own = {kind: [d["day"] for d in seen[kind] if d["own"]] for kind in days}
-            metrics_log.commit(spark, tables, spec, metrics_log.query_of(spark), number, seen["counts"])
+            query = metrics_log.query_of(spark)
+            metrics_log.commit(spark, tables, spec, query, number, seen["counts"])
             steps = []
             if curated and own["valid"]:
                 rows = batch.filter(is_valid).select(*spec.fields, "event_time", "partition", "offset")
@@ -111,6 +116,8 @@ def _start_split(
                 to = (dead, tables, spec.dead_letter_table, places, sink.INGEST_DATE, False, own["dead"])
                 steps.append(partial(sink.append_once, *to))
             sink.together(spark, steps)
+            if curated:
+                late.note(spark, tables, spec.name, f"{query}-{number}", own["valid"], seen["min"], seen["max"], delay)
         finally:
             batch.unpersist()
 
