@@ -178,13 +178,16 @@ def with_roles(pages: DataFrame, least: int = REVISIT_BYTES, salts: int = SALTS)
     """``pages`` with ``keep_id``: the largest page of those with an equal payload, null for small ones.
 
     Payloads are equal when their SHA-256 and length are. Groups are combined by
-    salt first, so a payload that most pages share is nobody's single group.
+    salt first, so a payload that most pages share is nobody's single group. Small
+    payloads have no partner; a salt of their own deals them evenly, however many are equal.
     """
+    size, by_page = F.octet_length(F.coalesce("html", F.lit(""))), F.xxhash64("page_id")
+    alone = (-1 - F.pmod(by_page, F.lit(1 << 30))).cast("int")
     keyed = pages.select("page_id", "url", "html").withColumns(
         {
-            "sha": F.sha2(_payload(F.col("html")), 256),
-            "bytes": F.octet_length(F.coalesce("html", F.lit(""))),
-            "salt": F.pmod(F.xxhash64("page_id"), F.lit(salts)).cast("int"),
+            "sha": F.when(size >= least, F.sha2(_payload(F.col("html")), 256)).otherwise(""),
+            "bytes": size,
+            "salt": F.when(size >= least, F.pmod(by_page, F.lit(salts)).cast("int")).otherwise(alone),
         }
     )
     key = ["sha", "bytes"]
@@ -283,10 +286,11 @@ def search(wanted: DataFrame, directory: DataFrame, folder: str) -> DataFrame:
     return met.mapInPandas(lines, "surt string, page_id long, file string, offset long, length long")
 
 
-def fetch(captures: DataFrame, folder: str, near: int = 8 << 20) -> DataFrame:
+def fetch(captures: DataFrame, folder: str, near: int = 1 << 20, task_bytes: int = 64 << 20) -> DataFrame:
     """Read records back: ``page_id, url, payload_bytes, payload_digest, record_type, refers_to``.
 
-    Places of a file within ``near`` bytes are read by one task, in order.
+    Places of a file within ``near`` bytes are read by one task, in order. The number
+    of tasks follows the bytes of the records: those of their places say nothing.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -304,8 +308,12 @@ def fetch(captures: DataFrame, folder: str, near: int = 8 << 20) -> DataFrame:
                 }
             )
 
+    spark = captures.sparkSession
+    places = stored(captures.select("file", "offset", "length"), "warc-places")
+    total = places.agg(F.sum("length")).first()[0] or 0
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // task_bytes))
     part = F.floor(F.col("offset") / near)
-    rows = captures.select("file", "offset", "length").repartition("file", part).sortWithinPartitions("file", "offset")
+    rows = places.repartition(tasks, "file", part).sortWithinPartitions("file", "offset")
     return rows.mapInPandas(
         run, "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long"
     )
