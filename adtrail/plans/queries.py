@@ -896,6 +896,19 @@ def stream_attribution_busy(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(interval_attribution_sql(sides_sql(*[busy_sql("1")] * 3), 1))
+def stream_attribution_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``stream_attribution_busy``, without a list: the job finds the busy user."""
+    hour = timedelta(hours=1)
+    folder = work_folder(spark, "stream-found")
+    topics, tables = staged_topics(spark, sf_dir, folder, user=busy("1")), Tables(f"{folder}/tables")
+    options = dict(impression_window=hour, click_window=hour, delay=DELAY, find_busy=True)
+    jobs.process_streams(spark, topics, tables, JSON, **options)
+    deliver_sentinels(spark, sf_dir, topics)
+    jobs.process_streams(spark, topics, tables, JSON, **options)
+    return flat_attribution(jobs.read_attribution(spark, tables).filter(F.col("user_id") != "-1"))
+
+
 SCHEMA_FIELDS = {
     "key": "binary",
     "value": "binary",
