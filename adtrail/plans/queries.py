@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from adtrail.functions.payload import CORRUPT, as_binary, as_text, from_json
-from adtrail.operators import attribution, dedup, quality
+from adtrail.operators import attribution, dedup, factorised, quality
 from adtrail.plans import event_topics as topics_of
 from adtrail.plans import jobs
 from adtrail.plans.ingest import ingest
@@ -19,6 +19,7 @@ from adtrail.registry import ATTRIBUTION_TABLE, BIDS, BUSY_ATTRIBUTION_TABLE, CL
 from adtrail.session import settings, work_folder
 from adtrail.sinks import publish, tables as sink
 from adtrail.sources.files import csv_with_header, json_arrays
+from adtrail.sources.json_splits import split_json_arrays
 from adtrail.sources.tables import Tables, preview
 from adtrail.sources.topics import FileTopics, read_streams, read_topics, schema_text
 from adtrail.streaming.dedup import drop_copies as drop_stream_copies
@@ -310,6 +311,20 @@ def bid_array_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flat_records(json_arrays(spark, path, BIDS))
 
 
+@query(
+    f"""SELECT CAST(user_id AS VARCHAR) AS user_id, CAST(event_id AS VARCHAR) AS auction_id,
+    {ISO_SQL} AS "timestamp", props->>'$.k' AS target_k FROM events"""
+)
+def split_array_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``bid_array_scan``, each array cut into ranges that tasks read on their own."""
+    path = work_folder(spark, "bids")
+    json_array_files(
+        topics_of.records(topics_of.read_events(spark, sf_dir), BIDS), BIDS.fields, path
+    )
+    with settings(spark, {"spark.sql.files.maxPartitionBytes": "50000", "spark.sql.files.openCostInBytes": "50000"}):
+        return flat_records(split_json_arrays(spark, path, BIDS))
+
+
 @query(
     f"""SELECT {ISO_SQL} AS "timestamp", CAST(user_id AS VARCHAR) AS user_id,
     CAST(event_id AS VARCHAR) AS campaign_id, event_type AS conversion_type FROM events"""
@@ -520,6 +535,25 @@ def attribution_reference_user(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flat_attribution(attribution.nested(flat, reference_user_id=True))
 
 
+@query(user_attribution_sql(sides_sql()))
+def attribution_factorised(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J3 kept as arrays per user, linear in the input, then expanded."""
+    path = work_folder(spark, "factorised")
+    factorised.factorise(*sides(spark, sf_dir)).write.parquet(path)
+    return flat_attribution(attribution.nested(factorised.expand(spark.read.parquet(path))))
+
+
+@query(
+    f"""{sides_sql()} SELECT b.user_id AS user_id, count(DISTINCT auction_id) AS bids,
+    count(DISTINCT ad_creative_id) AS impressions, count(DISTINCT campaign_id) AS clicks,
+    count(*) AS combinations FROM b LEFT JOIN i ON b.user_id = i.user_id
+    LEFT JOIN c ON b.user_id = c.user_id GROUP BY b.user_id"""
+)
+def attribution_combinations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many combinations each user has, from the sizes of the arrays alone."""
+    return factorised.combinations(factorised.factorise(*sides(spark, sf_dir)))
+
+
 BUSY = "value > 54"
 
 
