@@ -34,7 +34,7 @@ TASK_ROWS = 5_000_000
 
 def find_hot_groups(
     bids: DataFrame,
-    impressions: DataFrame,
+    impressions: DataFrame | None,
     clicks: DataFrame | None,
     keys: list[str],
     tasks: int | None = None,
@@ -74,7 +74,7 @@ def find_hot_groups(
 
 
 def _work(
-    bids: DataFrame, impressions: DataFrame, clicks: DataFrame | None, keys: list[str]
+    bids: DataFrame, impressions: DataFrame | None, clicks: DataFrame | None, keys: list[str]
 ) -> DataFrame:
     """Rows of each side per group, and the rows a join of the group reads and makes."""
     tagged = [
