@@ -1,17 +1,18 @@
 """Main text of web pages by a host suffix array, helped by the page's own marks.
 
-What several distinct pages of a host have is boilerplate. The pages of a host that
-a task reads are cut into chunks; the words of all blocks of a chunk form one stream,
-and its suffix array, sorted as deep as the shortest repeat of interest, puts equal
-substrings side by side. That combines the substrings of a chunk; those of
+What several distinct pages of a host have outside their articles is boilerplate. The
+pages of a host that a task reads are cut into chunks; the words of all blocks of a chunk
+form one stream, and its suffix array, sorted as deep as the shortest repeat of interest,
+puts equal substrings side by side. That combines the substrings of a chunk; those of
 all chunks are then counted by host, and the repeated ones go back to the chunks that
 have them. The words that they cover are removed, unique runs stay, also within a block.
 
-Elements that name their role (menus, footers, scripts, class names of adverts
-or comments, ...) are left out whatever the stream says. Blocks inside an
+Repeats judge every block outside an ``article``, on every page. Of what they leave, the
+elements that name their role (menus, footers, class names of adverts or comments, ...)
+go by these marks: a page's own advert or a reader's comment is no repeat. Blocks inside an
 ``article`` are kept even where pages share them, for copies of an article are still
-articles. All other blocks are judged by repeats, also those outside the ``article`` or
-``main`` of a page that has one. A page is never emptied by repeats alone.
+articles, and what stands in an article makes no boilerplate of its copy elsewhere. A page
+is never emptied by repeats alone. The result counts what each of the two took.
 """
 
 from __future__ import annotations
@@ -162,7 +163,8 @@ def _first_places(rank: np.ndarray, owner: np.ndarray) -> np.ndarray:
     """One suffix of each rank and page content, in the order of the suffix array."""
     order = np.lexsort((owner, rank))
     ranks, owners = rank[order], owner[order]
-    return order[np.concatenate(([True], (ranks[1:] != ranks[:-1]) | (owners[1:] != owners[:-1])))]
+    new = np.concatenate(([True], (ranks[1:] != ranks[:-1]) | (owners[1:] != owners[:-1])))
+    return order[new[: len(order)]]
 
 
 def _spread(starts: np.ndarray, depth: int) -> np.ndarray:
@@ -178,13 +180,28 @@ def _by_page(flat: np.ndarray, streams: list[np.ndarray]) -> list[np.ndarray]:
     return [part[:-1] for part in np.split(flat, ends[:-1])]
 
 
-def repeated(streams: list[np.ndarray], same: np.ndarray, depth: int = REPEAT, pages: int = PAGES) -> list[np.ndarray]:
+def _touching(judged: list[np.ndarray], depth: int) -> np.ndarray:
+    """The suffixes with a judged word among their first ``depth``; a word of its own ends each page."""
+    flat = np.concatenate([np.append(j, False) for j in judged]) if judged else np.zeros(0, bool)
+    reach = np.concatenate(([0], np.cumsum(flat), np.full(depth, flat.sum())))
+    return reach[depth : depth + len(flat)] > reach[: len(flat)]
+
+
+def repeated(
+    streams: list[np.ndarray],
+    same: np.ndarray,
+    depth: int = REPEAT,
+    pages: int = PAGES,
+    judged: list[np.ndarray] | None = None,
+) -> list[np.ndarray]:
     """Which words of each page lie in a substring of ``depth`` words that ``pages`` distinct pages have.
 
-    ``same`` numbers the pages by content; copies count once.
+    ``same`` numbers the pages by content; copies count once. With ``judged`` a page
+    counts where a word of the substring is judged in it.
     """
     rank, page = _ranks(streams, depth)
-    first = _first_places(rank, same[page])
+    at = np.arange(len(rank)) if judged is None else np.flatnonzero(_touching(judged, depth))
+    first = at[_first_places(rank[at], same[page[at]])]
     distinct = np.bincount(rank[first], minlength=len(rank))
     return _by_page(_spread(distinct[rank] >= pages, depth), streams)
 
@@ -193,8 +210,14 @@ Page = list[tuple[int, str]]
 
 
 def _is_open(page: Page) -> bool:
-    """Whether repeats decide on any block of the page."""
-    return any(zone in (PLAIN, MAIN) for zone, _ in page)
+    """Whether repeats judge any block of the page."""
+    return any(zone != ARTICLE for zone, _ in page)
+
+
+def _judged(page: Page) -> np.ndarray:
+    """The words that repeats judge: all outside articles."""
+    sizes = [text.count(" ") + 1 for _, text in page]
+    return np.repeat(np.array([zone != ARTICLE for zone, _ in page], bool), sizes)
 
 
 def _unique(text: str, mask: np.ndarray, depth: int = REPEAT) -> str:
@@ -213,21 +236,31 @@ def _unique(text: str, mask: np.ndarray, depth: int = REPEAT) -> str:
     return " ".join(left + words[at:])
 
 
-def _text(page: Page, mask: np.ndarray | None, depth: int = REPEAT) -> str:
-    """Main text of a page of whose words ``mask`` are repeats; None if no block is open.
+def _text(page: Page, mask: np.ndarray | None, depth: int = REPEAT) -> tuple[str, int, int]:
+    """Main text of a page of whose words ``mask`` are repeats, and the words that repeats and marks took.
 
     Where repeats leave nothing, the blocks in ``main`` stay, or all if there are none.
+    ``mask`` may be None where no block is judged.
     """
-    kept, at = [], 0
+    kept, at, repeats, marked, lost = [], 0, 0, 0, 0
     for zone, text in page:
         words = text.count(" ") + 1
         if zone == ARTICLE:
             kept.append(text)
-        elif zone != OUT and (left := _unique(text, mask[at : at + words], depth)):
-            kept.append(left)
+        elif zone == OUT:
+            gone = int(mask[at : at + words].sum())
+            repeats, marked = repeats + gone, marked + words - gone
+        else:
+            left = _unique(text, mask[at : at + words], depth)
+            lost += words - (left.count(" ") + 1 if left else 0)
+            if left:
+                kept.append(left)
         at += words
+    if kept:
+        return "\n".join(kept), repeats + lost, marked
     top = MAIN if any(zone == MAIN for zone, _ in page) else PLAIN
-    return "\n".join(kept or [text for zone, text in page if zone >= top])
+    under = sum(text.count(" ") + 1 for zone, text in page if OUT < zone < top)
+    return "\n".join([text for zone, text in page if zone >= top]), repeats + under, marked
 
 
 class Words:
@@ -272,25 +305,16 @@ def _digest(text: str) -> tuple[int, int]:
 
 
 def runs(host: str, pages: list[Page], depth: int = REPEAT, least: int = PAGES) -> pd.DataFrame:
-    """The runs of ``depth`` words of pages of a host: a row for each and each distinct page.
+    """The runs of ``depth`` words with a judged one among them: a row for each and each distinct page.
 
     The suffix array combines them: one that ``least`` pages have is one row
-    without ``content``. ``open`` tells whether repeats decide on a word of it here.
+    without ``content``.
     """
     words = Words(pages)
     content = words.contents()
     rank, page = _ranks(words.streams, depth)
-    whole = words.whole(depth)
-    undecided = [[zone in (PLAIN, MAIN)] * (t.count(" ") + 1) for p in pages for zone, t in p]
-    ends = np.cumsum([len(s) + 1 for s in words.streams]) - 1
-    undecided = np.concatenate([np.zeros(0, bool), *undecided]).astype(bool)
-    undecided = np.insert(undecided, ends - np.arange(len(ends)), False)
-    reach = np.concatenate(([0], np.cumsum(undecided), np.full(depth, undecided.sum())))
-    touches = (reach[depth : depth + len(rank)] - reach[: len(rank)]) > 0
-    is_open = np.zeros(len(rank), bool)
-    is_open[rank[whole & touches]] = True
-    first = _first_places(rank, content[page])
-    first = first[whole[first]]
+    at = np.flatnonzero(words.whole(depth) & _touching([_judged(p) for p in pages], depth))
+    first = at[_first_places(rank[at], content[page[at]])]
     distinct = np.bincount(rank[first], minlength=len(rank))
     many = distinct[rank[first]] >= least
     one = np.concatenate(([True], rank[first][1:] != rank[first][:-1])) if len(first) else many
@@ -301,7 +325,6 @@ def runs(host: str, pages: list[Page], depth: int = REPEAT, least: int = PAGES)
             "key_1": keys[:, 0],
             "key_2": keys[:, 1],
             "content": pd.Series(content[page[first]], dtype="Int64").mask(many),
-            "open": is_open[rank[first]],
         }
     )
 
@@ -324,7 +347,8 @@ def main_texts(pages: list[str | None], repeat: int = REPEAT, least: int = PAGES
     streams = Words(cut).streams
     contents: dict[bytes, int] = {}
     same = np.array([contents.setdefault(s.tobytes(), len(contents)) for s in streams])
-    return [_text(page, mask, repeat) for page, mask in zip(cut, repeated(streams, same, repeat, least), strict=True)]
+    masks = repeated(streams, same, repeat, least, [_judged(p) for p in cut])
+    return [_text(page, mask, repeat)[0] for page, mask in zip(cut, masks, strict=True)]
 
 
 def _host(url: str | None) -> str:
@@ -342,20 +366,23 @@ def _split(page: str) -> Page:
     return [(int(line[0]), line[1:]) for line in page.split("\n")] if page else []
 
 
-def _result(rows: pd.DataFrame, texts: list[str]) -> pd.DataFrame:
+def _result(rows: pd.DataFrame, found: list[tuple[str, int, int]]) -> pd.DataFrame:
+    texts = [text for text, _, _ in found]
     return pd.DataFrame(
         {
             "page_id": pd.array([None if i is None else int(i) for i in rows["page_id"]], "Int64"),
             "url": rows["url"].tolist(),
             "text": texts,
             "n_chars": [len(t) for t in texts],
+            "repeat_words": [n for _, n, _ in found],
+            "marked_words": [n for _, _, n in found],
         }
     )
 
 
-RESULT = "page_id long, url string, text string, n_chars long"
+RESULT = "page_id long, url string, text string, n_chars long, repeat_words long, marked_words long"
 READ = "part binary, host string, open boolean, page_id string, url string, blocks string"
-RUNS = "part binary, key_1 long, key_2 long, content long, open boolean"
+RUNS = "part binary, key_1 long, key_2 long, content long"
 
 
 def _read(pages: DataFrame, chunk: int) -> DataFrame:
@@ -407,14 +434,16 @@ def _all_runs(rows: DataFrame) -> DataFrame:
 
 
 def extract(pages: DataFrame, chunk: int = CHUNK) -> DataFrame:
-    """One row per row of ``pages``: ``page_id, url, text, n_chars``.
+    """One row per row of ``pages``: ``page_id, url, text, n_chars, repeat_words, marked_words``.
+
+    The last two count the words left out because they repeat, and by marks alone.
 
     A null or empty html has an empty text; a null or broken url belongs to the
     host without a name. Broken markup is read as far as it goes. Repeated rows
     each get the result and count once among distinct pages. Repeats are counted over
     all pages of a host, wherever they are read: each chunk combines its runs of
     words by a suffix array, and runs of all chunks meet by 128 bits of host and
-    words. Hosts without a block that repeats decide on need no such count. An
+    words. Pages that are nothing but article have nothing to judge. An
     empty table gives an empty result. Columns beyond ``page_id, url, html`` are ignored.
     """
 
@@ -430,13 +459,11 @@ def extract(pages: DataFrame, chunk: int = CHUNK) -> DataFrame:
     read = stored(_read(pages, chunk), "blocks")
     plain = read.where("NOT open").mapInPandas(decided, RESULT)
     asked = read.where("open")
-    if asked.isEmpty():
-        return plain
-    found = stored(_all_runs(read.join(asked.select("host").distinct(), "host", "left_semi")), "runs")
+    found = stored(_all_runs(asked), "runs")
     repeats = (
         found.groupBy("key_1", "key_2")
         .agg(F.count_distinct("content").alias("pages"), F.max(F.col("content").isNull()).alias("many"))
         .where(F.col("many") | (F.col("pages") >= PAGES))
     )
-    hits = found.where("open").join(repeats, ["key_1", "key_2"], "left_semi").select("part", "key_1", "key_2")
+    hits = found.join(repeats, ["key_1", "key_2"], "left_semi").select("part", "key_1", "key_2")
     return plain.unionByName(asked.groupBy("part").cogroup(hits.groupBy("part")).applyInPandas(judged, RESULT))
