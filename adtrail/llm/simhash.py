@@ -2,7 +2,7 @@
 
 Two fingerprints of at most two differing bits agree in one of three blocks of
 bits, so each distinct fingerprint is sent to three groups, one per block
-value. In a group the fingerprints are sorted by their Gray rank and become the
+value; the blocks are as wide as leaves a group about ``SHARE`` fingerprints. In a group the fingerprints are sorted by their Gray rank and become the
 leaves of a tree. A node holds the bits on which all below it agree and which no
 node above it holds yet; a search walks down, adds up the differences and
 leaves a node as soon as they pass the limit. Links of a group leave it as
@@ -29,8 +29,12 @@ SEED = 42
 FAN = 16
 #: Distinct fingerprints of a group beyond which it is cut by three further blocks.
 GROUP = 50_000
-#: First bit and width of the blocks.
+#: First bit and full width of the blocks.
 BLOCKS = ((42, 22), (21, 21), (0, 21))
+#: Distinct fingerprints of a group, about, for which blocks are as narrow as can be.
+SHARE = 1024
+#: Rows of one task of the search.
+TASK_ROWS = 50_000
 ROUNDS = 60
 
 
@@ -182,17 +186,23 @@ def _bits(fp, first: int, width: int):
     return F.shiftrightunsigned(fp, first).bitwiseAND(F.lit((1 << width) - 1))
 
 
-def near_links(classes: DataFrame, distance: int = DISTANCE, group: int = GROUP) -> DataFrame:
+def near_links(
+    classes: DataFrame, distance: int = DISTANCE, group: int = GROUP, share: int = SHARE
+) -> DataFrame:
     """``high, low``: edges that connect what lies within ``distance`` bits.
 
-    ``classes`` has ``fp`` (distinct) and ``node``. Groups beyond ``group``
+    ``classes`` has ``fp`` (distinct) and ``node``. Near fingerprints share one of any
+    three separate blocks of bits, also of narrow ones, whose groups are worth a tree. Groups beyond ``group``
     distinct fingerprints go on to groups by a third of their other bits, which
     two near fingerprints share as well.
     """
     if not 0 <= distance < len(BLOCKS):
         raise ValueError("three blocks find at most two differing bits")
     fp = F.col("fp")
-    turns = F.array(*[F.struct(F.lit(n).alias("turn"), _bits(fp, *b).alias("value")) for n, b in enumerate(BLOCKS)])
+    count = classes.count()
+    width = max(1, (-(-count // share) - 1).bit_length())
+    blocks = [(first, min(width, full)) for first, full in BLOCKS]
+    turns = F.array(*[F.struct(F.lit(n).alias("turn"), _bits(fp, *b).alias("value")) for n, b in enumerate(blocks)])
     sent = classes.select("fp", "node", F.explode(turns).alias("t")).select("fp", "node", "t.*")
     large = sent.groupBy("turn", "value").count().where(F.col("count") > group).drop("count")
     sent = sent.join(large.withColumn("large", F.lit(True)), ["turn", "value"], "left")
@@ -208,7 +218,7 @@ def near_links(classes: DataFrame, distance: int = DISTANCE, group: int = GROUP)
     keys = ["turn", "value", "part", "part_value"]
     dealt = sent.withColumn("p", F.explode(cut)).select("fp", "node", "turn", "value", "p.*")
     return (
-        dealt.repartition(*keys)
+        dealt.repartition(-(-len(BLOCKS) * count // TASK_ROWS) or 1, *keys)
         .sortWithinPartitions(*keys)
         .mapInPandas(lambda batches: _linked(batches, distance), "high long, low long")
         .distinct()
