@@ -31,8 +31,8 @@ GRAM = 6
 SEGMENT = 64
 #: Words of a shard, about.
 SHARD = 100_000
-#: Distinct segments of a key beyond which its windows are compared one by one.
-HOT_KEY = 20_000
+#: Words of a key's distinct segments beyond which its windows are compared one by one.
+HOT_KEY = 200_000
 #: Bytes of text hashed at once, if a document is not longer.
 CHUNK = 2 << 20
 #: Larger than any document's id.
@@ -244,8 +244,6 @@ class Automaton:
 
 
 def _shard(rows: pd.DataFrame, window: int) -> pd.DataFrame:
-    same = {"owner": "min", "most": "max", "words": "first"}
-    rows = rows.groupby(["key", "low"], as_index=False, sort=False).agg(same)
     ids: dict[bytes, int] = {}
     sequences = [[ids.setdefault(w, len(ids)) for w in words.split()] for words in rows["words"]]
     reference = Automaton()
@@ -287,11 +285,19 @@ def removals(docs: DataFrame, window: int = WINDOW, shard_words: int = SHARD, ho
     found = stored(rows.mapInPandas(lambda b: _segment_rows(b, window), schema), "substring-segments")
     members = found.where("doc_id IS NOT NULL").select("key", "low", "doc_id", "text_hash", "first")
     reference = found.where("doc_id IS NULL").select("key", "low", "owner", "most", "words", "n")
-    shards = max(1, -(-(reference.agg(F.sum("n")).first()[0] or 0) // shard_words))
-    many = stored(reference.groupBy("key").count().where(F.col("count") > hot_key).select("key"), "substring-hot-keys")
+    words = reference.select("key", "low", "n").distinct().groupBy("key").agg(F.sum("n").alias("words"))
+    words = stored(words, "substring-key-words")
+    many = words.where(F.col("words") > hot_key).select("key")
+    shards = max(1, -(-(words.where(F.col("words") <= hot_key).agg(F.sum("words")).first()[0] or 0) // shard_words))
     hot = not many.isEmpty()
     cold = reference.join(many, "key", "left_anti") if hot else reference
     dealt = cold.select(F.pmod(F.xxhash64("key"), F.lit(shards)).alias("shard"), "key", "low", "owner", "most", "words")
+    # One shuffle serves both groupings: what is dealt by shard lies together by shard and content.
+    dealt = (
+        dealt.repartition("shard")
+        .groupBy("shard", "key", "low")
+        .agg(F.min("owner").alias("owner"), F.max("most").alias("most"), F.first("words").alias("words"))
+    )
     owners = dealt.groupBy("shard").applyInPandas(
         lambda r: _shard(r.drop(columns="shard"), window), "key long, low long, owners array<long>"
     )
