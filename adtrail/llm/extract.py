@@ -19,14 +19,17 @@ from __future__ import annotations
 
 import hashlib
 import html
+import json
+import random
 import re
-import uuid
 from collections.abc import Iterator
+from itertools import groupby
 from urllib.parse import urlsplit
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+import zstandard
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from adtrail.llm.common import stored
@@ -209,11 +212,6 @@ def repeated(
 Page = list[tuple[int, str]]
 
 
-def _is_open(page: Page) -> bool:
-    """Whether repeats judge any block of the page."""
-    return any(zone != ARTICLE for zone, _ in page)
-
-
 def _judged(page: Page) -> np.ndarray:
     """The words that repeats judge: all outside articles."""
     sizes = [text.count(" ") + 1 for _, text in page]
@@ -236,18 +234,18 @@ def _unique(text: str, mask: np.ndarray, depth: int = REPEAT) -> str:
     return " ".join(left + words[at:])
 
 
-def _text(page: Page, mask: np.ndarray | None, depth: int = REPEAT) -> tuple[str, int, int]:
-    """Main text of a page of whose words ``mask`` are repeats, and the words that repeats and marks took.
+def _text(page: Page, mask: np.ndarray, depth: int = REPEAT) -> tuple[str, int, int]:
+    """Main text of a page of whose judged words ``mask`` are repeats, and the words that repeats and marks took.
 
     Where repeats leave nothing, the blocks in ``main`` stay, or all if there are none.
-    ``mask`` may be None where no block is judged.
     """
     kept, at, repeats, marked, lost = [], 0, 0, 0, 0
     for zone, text in page:
         words = text.count(" ") + 1
         if zone == ARTICLE:
             kept.append(text)
-        elif zone == OUT:
+            continue
+        if zone == OUT:
             gone = int(mask[at : at + words].sum())
             repeats, marked = repeats + gone, marked + words - gone
         else:
@@ -263,37 +261,53 @@ def _text(page: Page, mask: np.ndarray | None, depth: int = REPEAT) -> tuple[str
     return "\n".join([text for zone, text in page if zone >= top]), repeats + under, marked
 
 
+def _near(page: Page, depth: int) -> Iterator[tuple[list[str], list[bool]]]:
+    """Words that share ``depth`` words with a judged one, in unbroken pieces, and which of them are judged.
+
+    What lies deeper in an article is in no run of interest.
+    """
+    words: list[str] = []
+    judged: list[bool] = []
+    for article, group in groupby(page, lambda block: block[0] == ARTICLE):
+        text = " ".join([t for _, t in group])
+        head = text.split(" ", depth - 1) if article else text.split(" ")
+        tail = head.pop().rsplit(" ", depth - 1) if article and len(head) == depth else []
+        words += head
+        judged += [not article] * len(head)
+        if len(tail) == depth:
+            yield words, judged
+            words, judged, tail = [], [], tail[1:]
+        words += tail
+        judged += [False] * len(tail)
+    yield words, judged
+
+
 class Words:
-    """Word numbers, and 128 bits for each word, of the pages of a host."""
-
-    def __init__(self, pages: list[Page]):
-        self.ids: dict[str, int] = {}
-        ids = self.ids
-        self.streams = [
-            np.array([ids.setdefault(w, len(ids)) for _, text in page for w in text.split(" ")], np.int64) for page in pages
-        ]
-
-    def contents(self) -> np.ndarray:
-        """64 bits of each page's words."""
-        words = list(self.ids)
-        texts = (" ".join([words[n] for n in s.tolist()]) for s in self.streams)
-        return np.array([_digest(t)[0] for t in texts], np.uint64).view(np.int64)
-
-    def keys(self, host: str, depth: int = REPEAT) -> np.ndarray:
-        """128 bits, in two columns, of the host and the ``depth`` words from each place; ends of pages are no words."""
-        digests = np.array([_digest(w) for w in self.ids] + [(0, 0)], np.uint64)
-        flat = digests[np.concatenate([np.append(s, len(self.ids)) for s in self.streams])]
-        flat = np.concatenate((flat, np.zeros((depth, 2), np.uint64)))
-        size = len(flat) - depth
-        out = np.tile(np.array(_digest("//" + host), np.uint64) * _FACTORS[depth], (size, 1))
-        for k in range(depth):
-            out += flat[k : k + size] * _FACTORS[k]
+    """The pieces of a host's pages near judged words, as word numbers, with the page of each."""
+
+    def __init__(self, pages: list[Page], depth: int = REPEAT):
+        ids: dict[str, int] = {}
+        pieces = [(n, *piece) for n, page in enumerate(pages) for piece in _near(page, depth)]
+        self.depth, self.words = depth, ids
+        self.streams = [np.array([ids.setdefault(w, len(ids)) for w in words], np.int64) for _, words, _ in pieces]
+        self.judged = [np.array(judged, bool) for _, _, judged in pieces]
+        self.page = np.array([n for n, _, _ in pieces], np.int64)
+        whole = np.concatenate([np.arange(len(s), -1, -1) >= depth for s in self.streams])
+        #: The places with a whole run ahead that touches a judged word.
+        self.at = np.flatnonzero(whole & _touching(self.judged, depth))
+
+    def keys(self, host: str) -> np.ndarray:
+        """128 bits, in two columns, of the host and the run from each place."""
+        flat = np.concatenate([np.append(s, -1) for s in self.streams])
+        used, run = np.unique(flat[self.at[:, None] + np.arange(self.depth)], return_inverse=True)
+        names = list(self.words)
+        digests = np.array([_digest(names[n]) for n in used.tolist()], np.uint64).reshape(-1, 2)
+        run = run.reshape(-1, self.depth)
+        out = np.tile(np.array(_digest("//" + host), np.uint64) * _FACTORS[self.depth], (len(self.at), 1))
+        for k in range(self.depth):
+            out += digests[run[:, k]] * _FACTORS[k]
         return out.view(np.int64)
 
-    def whole(self, depth: int = REPEAT) -> np.ndarray:
-        """The places with ``depth`` words of the page ahead."""
-        return np.concatenate([np.arange(len(s), -1, -1) >= depth for s in self.streams])
-
 
 # Odd, so that no bit of a word's digest is lost.
 _FACTORS = np.random.default_rng(8).integers(1 << 62, 1 << 63, (REPEAT + 1, 2), np.uint64) | np.uint64(1)
@@ -310,16 +324,18 @@ def runs(host: str, pages: list[Page], depth: int = REPEAT, least: int = PAGES)
     The suffix array combines them: one that ``least`` pages have is one row
     without ``content``.
     """
-    words = Words(pages)
-    content = words.contents()
-    rank, page = _ranks(words.streams, depth)
-    at = np.flatnonzero(words.whole(depth) & _touching([_judged(p) for p in pages], depth))
-    first = at[_first_places(rank[at], content[page[at]])]
+    words = Words(pages, depth)
+    texts = (" ".join([t for _, t in page]) for page in pages)
+    content = np.array([_digest(t)[0] for t in texts], np.uint64).view(np.int64)
+    rank, piece = _ranks(words.streams, depth)
+    page, at = words.page[piece], words.at
+    order = _first_places(rank[at], content[page[at]])
+    first = at[order]
     distinct = np.bincount(rank[first], minlength=len(rank))
     many = distinct[rank[first]] >= least
     one = np.concatenate(([True], rank[first][1:] != rank[first][:-1])) if len(first) else many
-    first, many = first[~many | one], many[~many | one]
-    keys = words.keys(host, depth)[first]
+    first, order, many = first[~many | one], order[~many | one], many[~many | one]
+    keys = words.keys(host)[order]
     return pd.DataFrame(
         {
             "key_1": keys[:, 0],
@@ -330,25 +346,28 @@ def runs(host: str, pages: list[Page], depth: int = REPEAT, least: int = PAGES)
 
 
 def _covered(host: str, pages: list[Page], key_1: np.ndarray, key_2: np.ndarray, depth: int = REPEAT) -> list[np.ndarray]:
-    """Which words of each page lie in one of the runs."""
-    words = Words(pages)
-    keys = words.keys(host, depth)
-    pair = np.dtype([("a", np.int64), ("b", np.int64)])
-    have = np.ascontiguousarray(keys).view(pair).ravel()
-    want = np.ascontiguousarray(np.column_stack((key_1, key_2)).astype(np.int64)).view(pair).ravel()
-    number = np.unique(np.concatenate((have, want)), return_inverse=True)[1]
-    starts = np.isin(number[: len(have)], number[len(have) :]) & words.whole(depth)
-    return _by_page(_spread(starts, depth), words.streams)
+    """Which judged words of each page lie in one of the runs."""
+    words = Words(pages, depth)
+    want = set(zip(key_1.tolist(), key_2.tolist(), strict=True))
+    hit = [(a, b) in want for a, b in words.keys(host).tolist()]
+    starts = np.zeros(sum(len(s) + 1 for s in words.streams), bool)
+    starts[words.at[np.array(hit, bool)]] = True
+    masks: list[list[np.ndarray]] = [[] for _ in pages]
+    for n, mask, judged in zip(words.page.tolist(), _by_page(_spread(starts, depth), words.streams), words.judged, strict=True):
+        masks[n].append(mask[judged])
+    return [np.concatenate(m) for m in masks]
 
 
 def main_texts(pages: list[str | None], repeat: int = REPEAT, least: int = PAGES) -> list[str]:
     """Main texts of pages of one host."""
     cut = [blocks(p) for p in pages]
-    streams = Words(cut).streams
+    ids: dict[str, int] = {}
+    streams = [np.array([ids.setdefault(w, len(ids)) for _, t in page for w in t.split(" ")], np.int64) for page in cut]
     contents: dict[bytes, int] = {}
     same = np.array([contents.setdefault(s.tobytes(), len(contents)) for s in streams])
-    masks = repeated(streams, same, repeat, least, [_judged(p) for p in cut])
-    return [_text(page, mask, repeat)[0] for page, mask in zip(cut, masks, strict=True)]
+    judged = [_judged(page) for page in cut]
+    masks = repeated(streams, same, repeat, least, judged)
+    return [_text(page, mask[j], repeat)[0] for page, mask, j in zip(cut, masks, judged, strict=True)]
 
 
 def _host(url: str | None) -> str:
@@ -358,20 +377,20 @@ def _host(url: str | None) -> str:
         return ""
 
 
-def _join(page: Page) -> str:
-    return "\n".join([f"{zone}{text}" for zone, text in page])
+def _pack(rows: list[tuple[str | None, str | None, Page]]) -> bytes:
+    return zstandard.compress(json.dumps(rows, ensure_ascii=False).encode("utf-8", "surrogatepass"), 6)
 
 
-def _split(page: str) -> Page:
-    return [(int(line[0]), line[1:]) for line in page.split("\n")] if page else []
+def _unpack(body: bytes) -> list[tuple[str | None, str | None, Page]]:
+    return json.loads(zstandard.decompress(body).decode("utf-8", "surrogatepass"))
 
 
-def _result(rows: pd.DataFrame, found: list[tuple[str, int, int]]) -> pd.DataFrame:
+def _result(rows: list[tuple[str | None, str | None, Page]], found: list[tuple[str, int, int]]) -> pd.DataFrame:
     texts = [text for text, _, _ in found]
     return pd.DataFrame(
         {
-            "page_id": pd.array([None if i is None else int(i) for i in rows["page_id"]], "Int64"),
-            "url": rows["url"].tolist(),
+            "page_id": pd.array([None if i is None else int(i) for i, _, _ in rows], "Int64"),
+            "url": [url for _, url, _ in rows],
             "text": texts,
             "n_chars": [len(t) for t in texts],
             "repeat_words": [n for _, n, _ in found],
@@ -381,33 +400,31 @@ def _result(rows: pd.DataFrame, found: list[tuple[str, int, int]]) -> pd.DataFra
 
 
 RESULT = "page_id long, url string, text string, n_chars long, repeat_words long, marked_words long"
-READ = "part binary, host string, open boolean, page_id string, url string, blocks string"
-RUNS = "part binary, key_1 long, key_2 long, content long"
+READ = "part long, host string, body binary"
+RUNS = "part long, key_1 long, key_2 long, content long"
 
 
 def _read(pages: DataFrame, chunk: int) -> DataFrame:
-    """The blocks of each page; rows of a host that one task read are of one ``part``, up to a chunk."""
+    """The blocks of pages of a host that one task read, up to a chunk, compressed together."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: dict[str, list[tuple]] = {}
         sizes: dict[str, int] = {}
+        part = random.SystemRandom()
 
         def done(hosts: list[str]) -> pd.DataFrame:
-            out = []
+            out = [(part.getrandbits(63), host, _pack(held.pop(host))) for host in hosts]
             for host in hosts:
-                rows, part = held.pop(host), uuid.uuid4().bytes
                 del sizes[host]
-                is_open = any(row[3] for row in rows)
-                out += [(part, host, is_open, *row[:3]) for row in rows]
-            return pd.DataFrame(out, columns=["part", "host", "open", "page_id", "url", "blocks"])
+            return pd.DataFrame(out, columns=["part", "host", "body"])
 
         for batch in batches:
             for page_id, url, page in batch.itertuples(index=False, name=None):
-                host, cut = _host(url), blocks(page)
+                host = _host(url)
                 size = len(page or "")
                 if host in held and sizes[host] + size > chunk:
                     yield done([host])
-                held.setdefault(host, []).append((page_id, url, _join(cut), _is_open(cut)))
+                held.setdefault(host, []).append((page_id, url, blocks(page)))
                 sizes[host] = sizes.get(host, 0) + size
                 if sum(sizes.values()) > 8 * chunk:
                     yield done(list(held))
@@ -417,20 +434,13 @@ def _read(pages: DataFrame, chunk: int) -> DataFrame:
     return pages.select(F.col("page_id").cast("string"), "url", "html").mapInPandas(run, READ)
 
 
-def _all_runs(rows: DataFrame) -> DataFrame:
+def _all_runs(read: DataFrame) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        part, host, held = None, "", []
         for batch in batches:
-            for now, name, page in batch.itertuples(index=False, name=None):
-                if held and now != part:
-                    yield runs(host, held).assign(part=part)
-                    held = []
-                part, host = now, name
-                held.append(_split(page))
-        if held:
-            yield runs(host, held).assign(part=part)
+            for part, host, body in batch.itertuples(index=False, name=None):
+                yield runs(host, [page for _, _, page in _unpack(body)]).assign(part=part)
 
-    return rows.select("part", "host", "blocks").sortWithinPartitions("part").mapInPandas(run, RUNS)
+    return read.mapInPandas(run, RUNS)
 
 
 def extract(pages: DataFrame, chunk: int = CHUNK) -> DataFrame:
@@ -443,27 +453,23 @@ def extract(pages: DataFrame, chunk: int = CHUNK) -> DataFrame:
     each get the result and count once among distinct pages. Repeats are counted over
     all pages of a host, wherever they are read: each chunk combines its runs of
     words by a suffix array, and runs of all chunks meet by 128 bits of host and
-    words. Pages that are nothing but article have nothing to judge. An
-    empty table gives an empty result. Columns beyond ``page_id, url, html`` are ignored.
+    words, at most two rows a chunk for each. An empty table gives an empty result. Columns beyond ``page_id, url, html`` are ignored.
     """
 
-    def decided(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            yield _result(batch, [_text(_split(p), None) for p in batch["blocks"]])
-
-    def judged(rows: pd.DataFrame, hits: pd.DataFrame) -> pd.DataFrame:
-        cut = [_split(p) for p in rows["blocks"]]
-        masks = _covered(rows["host"].iloc[0], cut, hits["key_1"].to_numpy(), hits["key_2"].to_numpy())
-        return _result(rows, [_text(p, m) for p, m in zip(cut, masks, strict=True)])
+    def judged(key: tuple, chunk: pd.DataFrame, hits: pd.DataFrame) -> pd.DataFrame:
+        rows = _unpack(chunk["body"].iloc[0])
+        cut = [page for _, _, page in rows]
+        masks = _covered(chunk["host"].iloc[0], cut, hits["key_1"].to_numpy(), hits["key_2"].to_numpy())
+        return _result(rows, [_text(page, mask) for page, mask in zip(cut, masks, strict=True)])
 
     read = stored(_read(pages, chunk), "blocks")
-    plain = read.where("NOT open").mapInPandas(decided, RESULT)
-    asked = read.where("open")
-    found = stored(_all_runs(asked), "runs")
-    repeats = (
-        found.groupBy("key_1", "key_2")
-        .agg(F.count_distinct("content").alias("pages"), F.max(F.col("content").isNull()).alias("many"))
+    run = Window.partitionBy("key_1", "key_2")
+    content = F.col("content")
+    seen = _all_runs(read).withColumn("nth", F.dense_rank().over(run.orderBy("content")))
+    pages_of = F.max("nth").over(run)  # without the null of a run that one chunk has often enough
+    hits = (
+        seen.withColumns({"pages": pages_of, "many": F.max(content.isNull()).over(run)})
         .where(F.col("many") | (F.col("pages") >= PAGES))
+        .select("part", "key_1", "key_2")
     )
-    hits = found.join(repeats, ["key_1", "key_2"], "left_semi").select("part", "key_1", "key_2")
-    return plain.unionByName(asked.groupBy("part").cogroup(hits.groupBy("part")).applyInPandas(judged, RESULT))
+    return read.groupBy("part").cogroup(hits.groupBy("part")).applyInPandas(judged, RESULT)
