@@ -32,7 +32,7 @@ SEGMENT = 64
 #: Words of a shard, about.
 SHARD = 100_000
 #: Words of a key's distinct segments beyond which its windows are compared one by one.
-HOT_KEY = 200_000
+HOT_KEY = 1_000_000
 #: Bytes of text hashed at once, if a document is not longer.
 CHUNK = 2 << 20
 #: Larger than any document's id.
