@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 from datetime import timedelta
 from functools import reduce
@@ -171,27 +172,38 @@ def batch_logs(spark: SparkSession, sf_dir: str, time_format: str = topics_of.IS
     return {name: topics_of.topic(events, spec, time_format, user) for name, spec in JSON.items()}
 
 
+#: Messages of one staged file, so that a micro-batch has as many tasks as its size needs.
+FILE_MESSAGES = 200_000
+
+
 def staged_topics(
     spark: SparkSession,
     sf_dir: str,
     folder: str,
     deliveries: int = 1,
     names=tuple(JSON),
-    files: int = 1,
+    parts: int = 1,
     user=None,
 ) -> FileTopics:
     """The derived topics as file logs; each message is delivered ``deliveries`` times.
 
-    With several ``files`` messages are dealt to them by a hash of their place,
-    so that each file spans the whole time: all but the first are full of late rows.
+    With several ``parts`` a micro-batch reads one of them. Messages are dealt to
+    files by a hash of their place, so that each part spans the whole time: all but
+    the first are full of late rows. A part is one file up to ``FILE_MESSAGES``
+    messages in the largest topic, and as many more as it needs beyond.
     """
     topics = FileTopics(f"{folder}/topics")
     logs = batch_logs(spark, sf_dir, user=user)
+    each = 1
+    if parts > 1:
+        most = max(logs[name].count() for name in names) * deliveries
+        each = max(1, math.ceil(most / parts / FILE_MESSAGES))
+        topics = FileTopics(topics.root, max_files_per_trigger=each)
     for name in names:
         delivery = F.explode(F.sequence(F.lit(0), F.lit(deliveries - 1)))
         copies = logs[name].withColumn("partition", delivery)
-        if files > 1:
-            copies = copies.repartition(files, F.xxhash64("offset", "partition"))
+        if parts > 1:
+            copies = copies.repartition(parts * each, F.xxhash64("offset", "partition"))
         copies.write.parquet(topics.path(name))
     return topics
 
@@ -386,10 +398,9 @@ def seed_job(spark: SparkSession, sf_dir: str) -> DataFrame:
 def topic_stream_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The three topics as streams, earliest first, at a limited rate."""
     folder = work_folder(spark, "scan")
-    staged = staged_topics(spark, sf_dir, folder, files=4)
-    limited = FileTopics(staged.root, max_files_per_trigger=1)
+    staged = staged_topics(spark, sf_dir, folder, parts=4)
     tables = Tables(f"{folder}/tables")
-    logs = read_streams(spark, limited, JSON)
+    logs = read_streams(spark, staged, JSON)
     running = [
         sink.append_stream(log.select("topic", "offset"), tables, name, None)
         for name, log in logs.items()
@@ -619,11 +630,11 @@ def table_append_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM events WHERE event_type = 'click'"""
 )
 def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Eight files that each span all time, one per micro-batch, default delay; no row is lost."""
+    """Eight parts that each span all time, one per micro-batch, default delay; no row is lost."""
     folder = work_folder(spark, "late")
-    staged = staged_topics(spark, sf_dir, folder, deliveries=2, names=(IMPRESSIONS.name,), files=8)
+    staged = staged_topics(spark, sf_dir, folder, deliveries=2, names=(IMPRESSIONS.name,), parts=8)
     tables = Tables(f"{folder}/tables")
-    log = FileTopics(staged.root, max_files_per_trigger=1).stream(spark, IMPRESSIONS.name)
+    log = staged.stream(spark, IMPRESSIONS.name)
     streaming.finish([streaming.start_curated(log, IMPRESSIONS, tables)])
     return tables.read(spark, IMPRESSIONS.table).select(
         *IMPRESSIONS.fields, F.col("event_date").cast("string").alias("event_date")
@@ -856,8 +867,8 @@ def stream_fan_out(spark: SparkSession, sf_dir: str) -> DataFrame:
     once per place in the log (dead letters) or once per key (curated).
     """
     folder = work_folder(spark, "fan-out")
-    staged, tables = staged_topics(spark, sf_dir, folder, deliveries=2, files=2), Tables(f"{folder}/tables")
-    logs = read_streams(spark, FileTopics(staged.root, max_files_per_trigger=1), JSON)
+    staged, tables = staged_topics(spark, sf_dir, folder, deliveries=2, parts=2), Tables(f"{folder}/tables")
+    logs = read_streams(spark, staged, JSON)
     streaming.finish(
         [streaming.start_fan_out(logs[name], spec, tables) for name, spec in JSON.items()]
     )
@@ -892,8 +903,8 @@ def stream_quality_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     Many micro-batches, while Spark itself remembers the progress of one.
     """
     folder = work_folder(spark, "metrics")
-    staged, tables = staged_topics(spark, sf_dir, folder, files=4), Tables(f"{folder}/tables")
-    logs = read_streams(spark, FileTopics(staged.root, max_files_per_trigger=1), JSON)
+    staged, tables = staged_topics(spark, sf_dir, folder, parts=4), Tables(f"{folder}/tables")
+    logs = read_streams(spark, staged, JSON)
     with settings(spark, {"spark.sql.streaming.numRecentProgressUpdates": "1"}):
         running = [streaming.start_dead_letters(logs[name], spec, tables) for name, spec in JSON.items()]
         streaming.finish(running)
