@@ -31,3 +31,16 @@ def test_few_messages_stay_one_file_a_part(spark, tmp_path):
     topics = queries.staged_topics(spark, SF_DIR, str(tmp_path), names=(IMPRESSIONS.name,), parts=4)
     assert topics.max_files_per_trigger == 1
     assert len(list(Path(topics.path(IMPRESSIONS.name)).glob("*.parquet"))) == 4
+
+
+def test_metrics_of_cut_parts_count_each_part_once(spark, small_files, monkeypatch):
+    batches = []
+    commit = queries.streaming.metrics_log.commit
+    monkeypatch.setattr(
+        queries.streaming.metrics_log, "commit", lambda *a: (batches.append((a[2].name, a[4])), commit(*a))
+    )
+    rows = {r["source"]: r for r in queries.QUERIES["stream_quality_metrics"](spark, SF_DIR).collect()}
+    for name, log in queries.batch_logs(spark, SF_DIR).items():
+        assert rows[name]["rows_read"] == log.count()
+        # Four micro-batches as before, however many files each reads.
+        assert sum(source == name for source, _ in batches) == 4
