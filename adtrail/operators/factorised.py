@@ -4,6 +4,9 @@ A user with ``b`` bids, ``i`` impressions and ``c`` clicks has ``b * i * c`` com
 but only ``b + i + c`` events. Here the events of a side are rows of at most ``CHUNK``
 events of a user, in time order. What is known from numbers alone, such as how many
 combinations a user has, is read from the sizes; ``expand`` gives all combinations.
+
+``packed`` is between the two: a bid with arrays of its user's impressions and clicks,
+which may be shuffled once more before ``opened`` makes the combinations.
 """
 
 from __future__ import annotations
@@ -20,6 +23,10 @@ SIDES = ("bids", "impressions", "clicks")
 IDENTITIES = (attribution.BID_IDENTITY, attribution.IMPRESSION_IDENTITY, attribution.CLICK_IDENTITY)
 #: Cells that bids without a user are dealt to; they match nothing.
 SPREAD = 4096
+#: Events of an array beside a bid. So few, because a task gets rows by their bytes: the
+#: combinations of a row are at most ``PACK / 2`` times its events.
+PACK = 32
+PACKED = {"impressions": ["ad_creative_id", "website", "timestamp"], "clicks": ["campaign_id", "conversion_type", "timestamp"]}
 
 
 def factorise(
@@ -105,3 +112,78 @@ def combinations(parts: DataFrame) -> DataFrame:
     shown = F.col("impressions") > 0
     each = F.when(shown, F.col("impressions") * F.greatest("clicks", F.lit(1))).otherwise(1)
     return totals.where("bids > 0").withColumn("combinations", F.col("bids") * each)
+
+
+def packed(
+    bids: DataFrame,
+    impressions: DataFrame,
+    clicks: DataFrame,
+    hot: DataFrame | None = None,
+    tasks: int | None = None,
+    pack: int = PACK,
+) -> DataFrame:
+    """``attribute_by_user`` before its combinations: bids, each with arrays of impressions and clicks.
+
+    A bid is in a row for each pair of its user's arrays, which have at most ``pack``
+    events; NULL arrays stand for a side without rows. ``hot`` users are dealt to cells
+    as there, and both joins keep the partitioning by user.
+    """
+    tasks = tasks or int(bids.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keys = list(attribution.USER)
+    if hot is not None:
+        b, i, c = attribution.BID_IDENTITY, attribution.IMPRESSION_IDENTITY, attribution.CLICK_IDENTITY
+        bids = skew.spread_bids(bids, hot, keys, b, F.col(skew.ANY_IMPRESSIONS))
+        impressions = skew.spread_impressions(impressions, hot, keys, i, F.col(skew.ANY_CLICKS))
+        clicks = skew.spread_clicks(clicks, hot, keys, c)
+        keys.append(skew.CELL)
+    else:
+        bids = bids.withColumn(skew.HAS_IMPRESSION, F.lit(False))
+        impressions = impressions.withColumn(skew.HAS_CLICK, F.lit(False))
+    shown = _arrays(impressions, "impressions", keys, tasks, pack, skew.HAS_CLICK)
+    clicked = _arrays(clicks, "clicks", keys, tasks, pack)
+    bid = F.struct("auction_id", "targeting_criteria", "timestamp").alias("bid")
+    found = F.col("impressions").isNotNull()
+    first = (
+        bids.select(*keys, bid, skew.HAS_IMPRESSION)
+        .repartition(tasks, *keys)
+        .join(shown, keys, "left")
+        .where(found | ~F.col(skew.HAS_IMPRESSION))
+    )
+    # A click joins where there is an impression.
+    first, clicked = first.alias("first"), clicked.alias("clicked")
+    same = [F.col(f"first.{key}") == F.col(f"clicked.{key}") for key in keys]
+    return (
+        first.join(clicked, reduce(lambda x, y: x & y, same) & found, "left")
+        .where(F.col("clicks").isNotNull() | ~found | ~F.col(skew.HAS_CLICK))
+        .select("first.user_id", "bid", "impressions", "clicks")
+    )
+
+
+def _arrays(df: DataFrame, name: str, keys: list[str], tasks: int, pack: int, *flags: str) -> DataFrame:
+    """The events of a side that have a user as arrays, in one shuffle, that of the joins."""
+    dealt = F.xxhash64(*PACKED[name])
+    rows = df.where("user_id IS NOT NULL").select(*keys, *flags, F.struct(*PACKED[name]).alias("event"), dealt.alias("dealt"))
+    number = F.row_number().over(Window.partitionBy(*keys).orderBy("dealt"))
+    numbered = rows.repartition(tasks, *keys).withColumn("chunk", F.floor((number - 1) / pack))
+    return numbered.groupBy(*keys, *flags, "chunk").agg(F.collect_list("event").alias(name)).drop("chunk")
+
+
+def opened(rows: DataFrame, *others: str) -> DataFrame:
+    """All combinations of ``packed`` rows, flat as ``attribute_by_user`` gives them, and columns to keep."""
+    shown = F.col("impressions").isNotNull()
+    one = rows.select("*", shown.alias("shown"), F.explode_outer("impressions").alias("impression"))
+    all_of = one.select("*", F.explode_outer("clicks").alias("click"))
+    return all_of.select(
+        "user_id",
+        F.when(F.col("shown"), F.col("user_id")).alias("impression_user_id"),
+        "bid.auction_id",
+        "bid.targeting_criteria",
+        F.col("bid.timestamp").alias("bid_requests_timestamp"),
+        "impression.ad_creative_id",
+        "impression.website",
+        F.col("impression.timestamp").alias("ad_impressions_timestamp"),
+        "click.campaign_id",
+        "click.conversion_type",
+        F.col("click.timestamp").alias("clicks_conversions_timestamp"),
+        *others,
+    )
