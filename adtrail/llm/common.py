@@ -20,9 +20,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     It is computed once, its lineage ends there, and a lost executor loses
     nothing of it.
     """
+    return stored_for_now(df, name)[0]
+
+
+def stored_for_now(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """The same and its folder, for a caller that removes it once nothing reads it any more."""
     path = work_folder(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 
 def ascii_lower(text: Column) -> Column:

@@ -23,7 +23,9 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from adtrail.llm.common import stored
+from adtrail.llm.common import stored, stored_for_now
+from adtrail.session import settings, work_folder
+from adtrail.sources.tables import make_folder, remove_folder
 
 WINDOW = 13
 GRAM = 6
@@ -278,15 +280,25 @@ def removals(docs: DataFrame, window: int = WINDOW, shard_words: int = SHARD, ho
     """
     known = docs.where("doc_id IS NOT NULL AND text IS NOT NULL")
     keys = known.select("doc_id", "text").mapInPandas(lambda b: _keys(b, window), "key long, doc_id long")
-    keys = stored(keys, "substring-all-keys")
+    keys, all_keys = stored_for_now(keys, "substring-all-keys")
     # A key in two rows is in two documents or in rows that repeat an id; the latter costs time only.
-    shared = stored(keys.groupBy("key").count().where("count > 1").select("key"), "substring-keys")
+    shared, shared_keys = stored_for_now(keys.groupBy("key").count().where("count > 1").select("key"), "substring-keys")
     wanted = keys.join(shared, "key").groupBy("doc_id").agg(F.collect_list("key").alias("wanted"))
     rows = packed(known).join(wanted, "doc_id").select("doc_id", "text_hash", "body", "wanted")
     schema = "key long, low long, doc_id long, text_hash long, first int, owner long, most long, n int, words binary"
-    found = stored(rows.mapInPandas(lambda b: _segment_rows(b, window), schema), "substring-segments")
-    members = found.where("doc_id IS NOT NULL").select("key", "low", "doc_id", "text_hash", "first")
-    reference = found.where("doc_id IS NULL").select("key", "low", "owner", "most", "words", "n")
+    found = rows.mapInPandas(lambda b: _segment_rows(b, window), schema)
+    # Places and contents in folders of their own, as the latter are read no more once they have owners.
+    spark, parts = docs.sparkSession, work_folder(docs.sparkSession, "substring-segments")
+    folders = [f"{parts}/content={n}" for n in (0, 1)]
+    for folder in folders:
+        make_folder(spark, folder)
+    with settings(spark, {"spark.sql.maxConcurrentOutputFileWriters": "2"}):  # else each task sorts its rows
+        found.withColumn("content", F.col("doc_id").isNull().cast("int")).write.mode("append").partitionBy("content").parquet(parts)
+    for folder in (all_keys, shared_keys):
+        remove_folder(spark, folder)
+    places, contents = (spark.read.schema(schema).parquet(folder) for folder in folders)
+    members = places.select("key", "low", "doc_id", "text_hash", "first")
+    reference = contents.select("key", "low", "owner", "most", "words", "n")
     shards = max(1, -(-(reference.agg(F.sum("n")).first()[0] or 0) // shard_words))
     many = stored(reference.groupBy("key").count().where(F.col("count") > hot_key).select("key"), "substring-hot-keys")
     hot = not many.isEmpty()
@@ -298,6 +310,7 @@ def removals(docs: DataFrame, window: int = WINDOW, shard_words: int = SHARD, ho
     if hot:
         owners = owners.unionByName(_window_owners(reference.join(many, "key", "left_semi"), window))
     owners = stored(owners, "substring-owners")
+    remove_folder(spark, folders[1])
     spent = F.transform("owners", lambda owner, at: F.when(owner < F.col("doc_id"), F.col("first") + at))
     return (
         members.join(owners, ["key", "low"])

@@ -3,6 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from adtrail.llm import common, substring_dedup
 from adtrail.llm.substring_dedup import NOBODY, Automaton, remove_repeats, word_hashes
 from tests.llm import brute
 from tests.llm.conftest import rows_of
@@ -38,6 +39,15 @@ def test_odd_rows(docs, odd):
     assert remove_repeats(docs([])).count() == 0
 
 
+def test_tables_that_are_read_no_more_leave_the_disk(docs, mixed, tmp_path, monkeypatch):
+    for module in (common, substring_dedup):
+        monkeypatch.setattr(module, "work_folder", lambda spark, name: str(tmp_path / name), raising=False)
+    done = remove_repeats(docs(mixed))
+    left = {str(p.parent.relative_to(tmp_path)) for p in tmp_path.rglob("*.parquet")}
+    assert left == {"substring-segments/content=0", "substring-owners", "substring-hot-keys"}
+    assert result(done) == sorted(brute.substrings(mixed), key=repr)
+
+
 def test_automaton_names_the_smallest_owner():
     rng = random.Random(4)
     sequences = [[rng.randrange(3) for _ in range(rng.randint(1, 40))] for _ in range(40)]
