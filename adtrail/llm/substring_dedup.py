@@ -260,14 +260,19 @@ def _shard(rows: pd.DataFrame, window: int) -> pd.DataFrame:
 
 
 def _window_owners(hot: DataFrame, window: int) -> DataFrame:
-    """The same for keys with too many segments for one shard, window by window."""
+    """The same for keys with too many segments for one shard, window by window.
+
+    A window goes by 16 bytes of its SHA-256, two of which are never equal by chance.
+    """
     hot = hot.groupBy("key", "low", "words").agg(F.min("owner").alias("owner"))
     cut = hot.select("key", "low", "owner", F.split(F.col("words").cast("string"), " ").alias("w"))
-    texts = F.expr(f"transform(sequence(1, size(w) - {window - 1}), i -> array_join(slice(w, i, {window}), ' '))")
-    one = cut.select("key", "low", "owner", F.posexplode(texts).alias("at", "text"))
-    least = one.groupBy("text").agg(F.min("owner").alias("least"))
+    mark = f"substring(unhex(sha2(array_join(slice(w, i, {window}), ' '), 256)), 1, 16)"
+    marks = F.expr(f"transform(sequence(1, size(w) - {window - 1}), i -> {mark})")
+    one = cut.select("key", "low", "owner", F.posexplode(marks).alias("at", "mark"))
+    least = one.groupBy("mark").agg(F.min("owner").alias("least"))
     return (
-        one.join(least, "text")
+        one.drop("owner")
+        .join(least, "mark")
         .groupBy("key", "low")
         .agg(F.transform(F.array_sort(F.collect_list(F.struct("at", "least"))), lambda x: x["least"]).alias("owners"))
     )
