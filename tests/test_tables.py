@@ -65,6 +65,28 @@ def test_append_once_adds_no_row_twice(spark, log, tmp_path):
     assert arrive([undated, first[1]]) == 9
 
 
+def test_append_once_shuffles_rows_once_for_copies_and_index(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(sink, "append", lambda *a: None)
+    plans, without_held = [], keys_of.KeyIndex.without_held
+
+    def look(self, df, days):
+        found = without_held(self, df, days)
+        plans.append(found._jdf.queryExecution().executedPlan().toString())
+        return found
+
+    monkeypatch.setattr(keys_of.KeyIndex, "without_held", look)
+    tables, schema = Tables(str(tmp_path)), "a string, b int, more string, event_date date"
+    rows = [(None, 1, "x", date(2024, 5, 1)), ("a", 1, "y", date(2024, 5, 1))]
+    with settings(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        for new in (2, 1):
+            df = spark.createDataFrame([*rows, *rows], schema)
+            assert sink.append_once(df, tables, "t", ["a", "b"], sink.EVENT_DATE) == new
+            rows.append((None, None, "z", date(2024, 5, 1)))
+    # One exchange of the rows, and one of the index once there is one.
+    assert [plan.count("Exchange hashpartitioning") for plan in plans] == [1, 2]
+    assert all("Exchange hashpartitioning(key_digest" in plan for plan in plans)
+
+
 def test_append_once_with_more_dates_than_a_list_takes(spark, log, tmp_path, monkeypatch):
     monkeypatch.setattr(sink, "MAX_DATES", 2)
     tables = Tables(str(tmp_path))
