@@ -279,6 +279,29 @@ def test_any_grid_keeps_the_result(spark, bids, imps, clicks, w1, w2, splits):
     assert result(pairs) == expected(bids, imps, [])
 
 
+def test_clicks_in_blocks_are_all_compared(spark, monkeypatch):
+    """More clicks than a block has, several at one time, at and beyond both bounds, and none for one bid."""
+    monkeypatch.setattr(attribution, "BLOCK", 3)
+    clicks = [("u1", m / 2) for m in range(40)] + [("u1", 5)] * 4 + [("u1", 16)] * 7
+    data = ([("u1", 0), ("u1", 3), ("u1", 500)], [("u1", 5), ("u1", 6), ("u1", 501)], clicks)
+    windows = (timedelta(minutes=5), timedelta(minutes=11))
+    sides = frames(spark, *data)
+    assert attribution._blocks(sides[2], ["user_id"], windows[1]).count() > len(clicks) // 3
+    assert result(attribution.attribute_by_interval(*sides, *windows)) == expected(*data, window=(5, 11))
+
+
+def test_interval_joins_have_tasks_by_their_output(spark, monkeypatch):
+    """Adaptive execution would merge them by their input; no time is found by the calendar."""
+    monkeypatch.setattr(attribution, "TASK_ROWS", 10)
+    sides = frames(spark, *[[("u1", n / 10) for n in range(30)]] * 3)
+    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    tasks = attribution.interval_tasks(*sides, HOUR, HOUR)
+    assert tasks > width
+    flat = attribution.attribute_by_interval(*sides, HOUR, HOUR, tasks=tasks)
+    assert flat.rdd.getNumPartitions() == tasks
+    assert "INTERVAL" not in plan_of(flat)
+
+
 def test_bid_without_time_is_kept_unmatched(spark):
     b, i, c = frames(spark, [("u1", 0)], [("u1", 1)], [("u1", 2)])
     b = b.withColumn("event_time", F.lit(None).cast("timestamp"))
