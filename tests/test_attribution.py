@@ -290,6 +290,17 @@ def test_clicks_in_blocks_are_all_compared(spark, monkeypatch):
     assert result(attribution.attribute_by_interval(*sides, *windows)) == expected(*data, window=(5, 11))
 
 
+def test_blocks_are_few_rows_until_opened(spark):
+    """What a table of busy users shuffles by date: rows per block of clicks, not per click."""
+    data = [[("u1", n / 10) for n in range(20)]] * 3
+    windows = (timedelta(minutes=5), timedelta(minutes=11))
+    blocks = attribution.blocks_by_interval(*frames(spark, *data), *windows)
+    whole = expected(*data, window=(5, 11))
+    assert blocks.count() < sum(whole.values()) / 4
+    flat = attribution.opened_blocks(blocks.withColumn("kept", F.lit(1)), windows[1], "kept")
+    assert result(flat) == whole and "kept" in flat.columns
+
+
 def test_interval_joins_have_tasks_by_their_output(spark, monkeypatch):
     """Adaptive execution would merge them by their input; no time is found by the calendar."""
     monkeypatch.setattr(attribution, "TASK_ROWS", 10)
