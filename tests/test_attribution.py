@@ -290,6 +290,23 @@ def test_clicks_in_blocks_are_all_compared(spark, monkeypatch):
     assert result(attribution.attribute_by_interval(*sides, *windows)) == expected(*data, window=(5, 11))
 
 
+def test_blocks_of_a_stream_hold_every_click_once(spark, monkeypatch):
+    """Made in Arrow batches: users, buckets and cells apart, short in time and in rows, NULLs kept."""
+    monkeypatch.setattr(attribution, "BLOCK", 3)
+    clicks = [("u1", m / 2) for m in range(40)] + [("u2", 5)] * 7 + [("u3", m) for m in (1, 9, 300)]
+    window = timedelta(minutes=8)
+    side = frames(spark, [], [], clicks)[2].withColumn("conversion_type", F.lit(None).cast("string"))
+    side = side.withColumn("time_bucket", F.lit(1)).repartition(2, "user_id")
+    blocks = attribution._stream_blocks(side, ["user_id", "time_bucket"], window).collect()
+    assert all(1 <= len(b.clicks) <= 3 for b in blocks) and 20 < len(blocks) < len(clicks) * 2 // 3
+    for b in blocks:
+        times = [c.event_time for c in b.clicks]
+        assert b.first == min(times) and b.event_time == max(times)
+        assert b.event_time - b.first <= attribution.block_length(window) and b.time_bucket == 1
+    held = Counter((b.user_id, c.campaign_id, c.timestamp, c.conversion_type) for b in blocks for c in b.clicks)
+    assert held == Counter((u, f"p{n}", stamp(m), None) for n, (u, m) in enumerate(clicks))
+
+
 def test_blocks_are_few_rows_until_opened(spark):
     """What a table of busy users shuffles by date: rows per block of clicks, not per click."""
     data = [[("u1", n / 10) for n in range(20)]] * 3
