@@ -7,7 +7,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from adtrail.functions.payload import ConnectorMissing, avro_available
+from adtrail.functions.payload import ConnectorMissing, avro_available, decode, from_json
 from adtrail.operators import quality
 from adtrail.plans.ingest import ingest
 from adtrail.registry import BIDS, CLICKS, IMPRESSIONS
@@ -37,6 +37,22 @@ def test_reason_of_every_edge_payload(log):
     assert [(r.reason, r.ad_creative_id) for r in rows] == [c[1:] for c in IMPRESSION_CASES]
 
 
+def test_text_without_a_closing_brace_is_not_parsed(log):
+    """And comes out as the parser would have it, as does other text that was cut off."""
+    texts = ["", " ", "null", "[]", "5", "{", '{"user_id":"u1","ad_creative_id":"1"', "\x00", '"a}', "}", "{}}", '{"user_id":"u"}x', None]
+    texts += ['{"user_id":{"a":"b"}', '{"user_id":"u","ad_creative_id":"}"', '{"ad_creative_id":"1","user_id":"u"} {']
+    parsed = [r[0] for r in log(texts).select(from_json("value", IMPRESSIONS.schema)).collect()]
+    decoded = [r[0] for r in log(texts).select(decode("value", IMPRESSIONS)).collect()]
+
+    def seen(record):
+        broken = record is None or record["_corrupt_record"] is not None
+        return broken, *(None if record is None else record[name] for name in IMPRESSIONS.fields)
+
+    assert list(map(seen, decoded)) == list(map(seen, parsed)) and len(parsed) == len(texts)
+    skipped = [t for t, d, p in zip(texts, decoded, parsed) if d is None and p is not None]
+    assert skipped == ["null", "[]", "5", "{", '{"user_id":"u1","ad_creative_id":"1"', "\x00"]
+
+
 def test_parts_are_disjoint_and_whole(log):
     decoded = quality.decode_log(log([case[0] for case in IMPRESSION_CASES]), IMPRESSIONS)
     valid = {r.offset for r in quality.valid_part(decoded, IMPRESSIONS).collect()}
